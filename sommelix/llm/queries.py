@@ -5,7 +5,9 @@ from __future__ import annotations
 from sommelix.llm.decontaminate import OP3_SQL, op3_decontaminate
 from sommelix.llm.host_rules import OP10_SQL, op10_host_rules
 from sommelix.llm.language_id import op6_language_id
+from sommelix.llm.line_dedup import OP8_SQL, op8_line_dedup
 from sommelix.llm.mixing import op5_mixing
+from sommelix.llm.quality_crf import op7_quality_crf
 from sommelix.llm.secret_scan import op1_secret_scan
 from sommelix.llm.token_count import op2_token_count
 
@@ -15,10 +17,13 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op5_mixing": op5_mixing,
     "op6_language_id": op6_language_id,
+    "op7_quality_crf": op7_quality_crf,
+    "op8_line_dedup": op8_line_dedup,
     "op10_host_rules": op10_host_rules,
 }
 
 ORACLES = {
     "op3_decontaminate": OP3_SQL,
+    "op8_line_dedup": OP8_SQL,
     "op10_host_rules": OP10_SQL,
 }
