@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from sommelix.llm.decontaminate import OP3_SQL, op3_decontaminate
 from sommelix.llm.host_rules import OP10_SQL, op10_host_rules
+from sommelix.llm.jaccard_join import OP9_SQL, op9_jaccard_join
 from sommelix.llm.language_id import op6_language_id
 from sommelix.llm.line_dedup import OP8_SQL, op8_line_dedup
 from sommelix.llm.mixing import op5_mixing
@@ -19,11 +20,13 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_quality_crf": op7_quality_crf,
     "op8_line_dedup": op8_line_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_host_rules": op10_host_rules,
 }
 
 ORACLES = {
     "op3_decontaminate": OP3_SQL,
     "op8_line_dedup": OP8_SQL,
+    "op9_jaccard_join": OP9_SQL,
     "op10_host_rules": OP10_SQL,
 }
