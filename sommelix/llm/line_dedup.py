@@ -14,9 +14,9 @@ place, is equal or near to it; whether that line stays itself does not matter, s
 4. The word edit distance of line and candidate is verified on the words.
 
 Everything is DataFrame expressions. Keys are pre-aggregated before they are joined back, and the joins are
-plain equi-joins that adaptive execution may split, so a very common line or half does not gather in a task. Texts
-move by document: whole ones once, and those with lines from step 2 once more. Which documents those are is told by a
-broadcast of at most ``BUCKETS`` numbers.
+plain equi-joins that adaptive execution may split, so a very common line or half does not gather in a task. Whole texts
+are shuffled once, at the end. Before each join back, rows without a partner are mostly left out by a broadcast of at
+most ``BUCKETS`` numbers (hashes of the wanted keys), which only saves work: the join that follows decides.
 
 Defined cases: null texts have no lines and stay null; blank lines stay and never match; repeated rows of a document
 are later copies whose lines all go; null ids are last; an empty table gives an empty result; extra columns of any
@@ -28,10 +28,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sommelix.llm.common import cut, words
+from sommelix.llm.common import cut, saved, words
 
 NEAR_WORDS = 8
-BUCKETS = 1 << 20
+BUCKETS = 1 << 22
 
 # the running xors of h(word, place) and h(word, place - 1), and from them the hash of the line without each word
 _XORS = """
@@ -56,20 +56,24 @@ transform(array(CAST({_SHARED} AS INT)), p -> CASE size(w) - size(v)
 """
 
 
-def _key(columns: list[Column]) -> Column:
-    return F.unhex(F.md5(F.concat_ws("\x1f", *columns).cast("binary")))
+def _buckets(*columns) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).cast("int")
+
+
+def _maybe_in(rows: DataFrame, columns: list[str], wanted: DataFrame) -> DataFrame:
+    """rows without most of those whose columns are not in ``wanted``; a broadcast of at most BUCKETS numbers tells."""
+    told = wanted.select(_buckets(*columns).alias("_bucket")).distinct()
+    return rows.join(F.broadcast(told), _buckets(*columns) == F.col("_bucket"), "left_semi")
+
+
+def _doc() -> Column:
+    """A document's key, in the order that decides which line is earlier: null ids last, then id, then the text's hash."""
+    return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("hash"))
 
 
 def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
-    """doc, removed: for each document key the numbers of the lines that go. docs has doc, doc_id and text."""
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "doc", "n")
-    line = F.array_join("w", " ")
-    lines = (
-        docs.select("doc", "doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line"))
-        .withColumn("w", words(F.col("line")))
-        .where(F.size("w") > 0)
-        .select(place.alias("at"), F.unhex(F.md5(line.cast("binary"))).alias("line"), "w")
-    )
+    """doc, removed: the numbers of the lines that go, for each document that has any."""
+    raw = docs.select(_doc().alias("doc"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
     half, less = "CAST(floor(size(w) / 2) AS INT)", "CAST(floor((size(w) - 1) / 2) AS INT)"
     halves = F.when(
         F.size("w") >= near_words,
@@ -80,69 +84,72 @@ def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
             )
         ),
     )
-    lines = cut(lines.select("at", "line", halves.alias("halves")))
-
-    # 1: distinct lines with their earliest place
-    first = cut(lines.groupBy("line").agg(F.min(F.struct("at", "halves")).alias("x")).select("line", "x.at", "x.halves"))
-
-    # 2: those that share a half with another distinct line
-    keyed = first.where("halves IS NOT NULL").select(F.xxhash64("line").alias("id"), F.explode("halves").alias("half"), "at")
-    shared = keyed.groupBy("half").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("half")
-    going_on = cut(keyed.join(shared, "half").select("at").distinct())
+    lines = saved(
+        raw.select("doc", "n", words(F.col("line")).alias("w")).where(F.size("w") > 0)
+        .select("doc", "n", F.unhex(F.md5(F.array_join("w", " ").cast("binary"))).alias("line"), halves.alias("halves"))
+    )
+    at = F.struct("doc", "n")
+
+    # 1: the earliest place of lines that occur more than once
+    several = cut(lines.groupBy("line").agg(F.min(at).alias("lead"), F.count("*").alias("times")).where("times > 1").drop("times"))
+    again = _maybe_in(lines.select("doc", "n", "line"), ["line"], several).join(several, "line").select("line", "lead", at.alias("at"))
+
+    # 2: distinct lines that share a half with another one, at their earliest place, numbered in order
+    keyed = lines.where("halves IS NOT NULL").select("line", "doc", "n", F.explode("halves").alias("half"))
+    code = F.xxhash64("line")
+    shared = cut(keyed.groupBy("half").agg(F.min(code).alias("a"), F.max(code).alias("b")).where("a <> b").select("half"))
+    sharing = _maybe_in(keyed, ["half"], shared).join(shared, "half").groupBy("line").agg(F.min(at).alias("at"))
+    ranked = cut(
+        sharing.repartitionByRange("at").sortWithinPartitions("at")
+        .select("line", "at", F.monotonically_increasing_id().alias("pos"))
+    )
 
     # 3: their words and variants
-    buckets = going_on.select(F.pmod(F.xxhash64("at.doc"), F.lit(BUCKETS)).cast("int").alias("bucket")).distinct()
-    texts = docs.select("doc", "text").join(
-        F.broadcast(buckets), F.pmod(F.xxhash64("doc"), F.lit(BUCKETS)).cast("int") == F.col("bucket"), "left_semi"
-    )
-    by_doc = going_on.groupBy(F.col("at.doc").alias("doc")).agg(F.collect_list("at").alias("ats"))
-    kept = texts.dropDuplicates(["doc"]).join(by_doc, "doc").select(F.split("text", "\n").alias("all"), F.explode("ats").alias("at"))
-    near = cut(kept.select("at", words(F.element_at("all", F.col("at.n") + 1)).alias("w")))
-    hashed = near.select("at", F.size("w").alias("size"), F.expr(_XORS).alias("h"))
-    without = hashed.select("at", F.posexplode("h.without").alias("i", "v"), F.xxhash64(F.lit("less"), F.col("size") - 1).alias("s"))
-    without = cut(without.select("at", "i", F.col("v").bitwiseXOR(F.col("s")).alias("v")))
-    whole = hashed.select("at", F.col("h.whole").bitwiseXOR(F.xxhash64(F.lit("less"), "size")).alias("v"))
-
-    earliest = F.min("at").alias("lead")
-    replaced = without.groupBy("v", "i").agg(earliest, F.count("*").alias("n")).where("n > 1").select("v", "i", "lead")
-    longer = without.groupBy("v").agg(earliest)
-    shorter = whole.groupBy("v").agg(earliest)
+    places = ranked.select("at.doc", "at.n", "pos")
+    near = cut(_maybe_in(raw, ["doc", "n"], places).join(places, ["doc", "n"]).select("pos", words(F.col("line")).alias("w")))
+    hashed = near.select("pos", F.size("w").alias("size"), F.expr(_XORS).alias("h"))
+    salt = lambda size: F.xxhash64(F.lit("words"), size)
+    without = hashed.select("pos", salt(F.col("size") - 1).alias("s"), F.posexplode("h.without").alias("i", "v"))
+    without = without.select("pos", "i", F.col("v").bitwiseXOR(F.col("s")).alias("v"))
+    whole = cut(hashed.select("pos", F.col("h.whole").bitwiseXOR(salt(F.col("size"))).alias("v")))
+
+    earliest = F.min("pos").alias("lead")
+    replaced = cut(without.groupBy("v", "i").agg(earliest, F.count("*").alias("n")).where("n > 1").select("v", "i", "lead"))
+    without = cut(_maybe_in(without, ["v"], replaced.select("v").union(whole.select("v"))))
     candidates = (
-        without.join(replaced, ["v", "i"]).select("at", "lead")
-        .union(without.join(shorter, "v").select("at", "lead"))
-        .union(whole.join(longer, "v").select("at", "lead"))
-        .where("lead < at").distinct()
+        without.join(replaced, ["v", "i"]).select("pos", "lead")
+        .union(without.join(whole.groupBy("v").agg(earliest), "v").select("pos", "lead"))
+        .union(whole.join(without.groupBy("v").agg(earliest), "v").select("pos", "lead"))
+        .where("lead < pos").distinct()
     )
 
     # 4: verified on the words
-    own = candidates.join(near, "at")
-    other = near.select(F.col("at").alias("lead"), F.col("w").alias("v"))
-    gone = own.join(other, "lead").where(F.expr(_NEAR)).select("at").distinct()
-
-    verdict = first.select("line", F.col("at").alias("lead"))
-    verdict = verdict.join(gone.select(F.col("at").alias("lead"), F.lit(True).alias("near")), "lead", "left")
-    return (
-        lines.select("line", "at").join(verdict, "line").where("near OR at <> lead")
-        .groupBy(F.col("at.doc").alias("doc")).agg(F.collect_set("at.n").alias("removed"))
-    )
+    other = near.select(F.col("pos").alias("lead"), F.col("w").alias("v"))
+    gone = candidates.join(near, "pos").join(other, "lead").where(F.expr(_NEAR)).select("pos").distinct()
+    too_near = ranked.join(gone, "pos").select("at")
+
+    removed = again.where("at <> lead").select("at").union(too_near)
+    return removed.groupBy(F.col("at.doc").alias("doc")).agg(F.collect_set("at.n").alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
-    """docs with ``text`` without repeated lines, as struct ``row`` beside n_lines (with words) and n_removed."""
-    packed = docs.select(
-        F.struct("*").alias("row"), "doc_id", "text", _key([F.coalesce(F.col("doc_id").cast("string"), F.lit("\x1e")), F.col("text")]).alias("doc")
-    )
-    removed = removed_lines(packed.where("text IS NOT NULL").select("doc", "doc_id", "text"), near_words)
+    """docs as struct ``row``, its ``text`` without the lines that go, beside n_lines (with words) and n_removed."""
+    packed = docs.select(_doc().alias("doc"), F.struct("*").alias("row"))
+    removed = removed_lines(docs.where("text IS NOT NULL").select("doc_id", "text"), near_words)
     copy = F.row_number().over(Window.partitionBy("doc").orderBy(F.lit(1)))
-    joined = packed.select("row", "doc", copy.alias("copy")).join(removed, "doc", "left")
-    worded = F.expr(r"filter(transform(split(row.text, '\n'), (x, i) -> struct(x AS x, i AS i)), s -> s.x RLIKE '[^\\x20\\x09-\\x0D]')")
-    gone = F.when(F.col("copy") > 1, F.transform(worded, lambda s: s["i"])).otherwise(F.coalesce("removed", F.array().cast("array<int>")))
-    out = joined.select("row", F.size(F.coalesce(worded, F.array().cast("array<struct<x:string,i:int>>"))).cast("long").alias("n_lines"), gone.alias("gone"))
+    joined = packed.withColumn("copy", copy).join(removed, "doc", "left")
+    none = F.array().cast("array<int>")
+    worded = F.expr(
+        r"filter(transform(split(row.text, '\n'), (x, i) -> if(x RLIKE '[^\\x20\\x09-\\x0D]', i, -1)), i -> i >= 0)"
+    )
+    out = joined.select("row", "copy", F.coalesce(worded, none).alias("worded"), F.coalesce("removed", none).alias("removed")).select(
+        "row", F.size("worded").cast("long").alias("n_lines"), F.when(F.col("copy") > 1, F.col("worded")).otherwise(F.col("removed")).alias("gone")
+    )
     text = F.expr(r"array_join(filter(split(row.text, '\n'), (x, i) -> NOT array_contains(gone, i)), '\n')")
     return out.select(
         F.col("row").withField("text", F.when(F.size("gone") > 0, text).otherwise(F.col("row.text"))).alias("row"),
         "n_lines",
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.size("gone").cast("long").alias("n_removed"),
     )
 
 
