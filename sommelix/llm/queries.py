@@ -10,12 +10,14 @@ from sommelix.llm.line_dedup import OP8_SQL, op8_line_dedup
 from sommelix.llm.mixing import op5_mixing
 from sommelix.llm.quality_crf import op7_quality_crf
 from sommelix.llm.secret_scan import op1_secret_scan
+from sommelix.llm.substring_dedup import OP4_SQL, op4_substring_dedup
 from sommelix.llm.token_count import op2_token_count
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_token_count": op2_token_count,
     "op3_decontaminate": op3_decontaminate,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_mixing": op5_mixing,
     "op6_language_id": op6_language_id,
     "op7_quality_crf": op7_quality_crf,
@@ -26,6 +28,7 @@ QUERIES = {
 
 ORACLES = {
     "op3_decontaminate": OP3_SQL,
+    "op4_substring_dedup": OP4_SQL,
     "op8_line_dedup": OP8_SQL,
     "op9_jaccard_join": OP9_SQL,
     "op10_host_rules": OP10_SQL,
