@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a folder of our own only where none is set."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -30,7 +32,7 @@ def saved(df: DataFrame) -> DataFrame:
     """Cut the lineage through a compressed table in the shared folder; it goes when the driver ends. For larger tables
     that are read more than once."""
     spark = df.sparkSession
-    name = f"{_shared_folder(spark)}/{uuid.uuid4().hex}"
+    name = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(name)
     atexit.register(_remove, spark, name)
     return spark.read.parquet(name)
@@ -46,7 +48,7 @@ def _remove(spark: SparkSession, name: str) -> None:
 
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared checkpoint folder."""
-    _shared_folder(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -67,3 +69,46 @@ def learnable(doc_id: Column) -> Column:
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def per_text(docs: DataFrame, make: Callable, fields: dict[str, tuple[str, pa.DataType]], keep: tuple[str, ...] | None = None) -> DataFrame:
+    """``row``, a struct of the columns to keep (all, unless named), and new columns computed from the texts in batches.
+
+    ``make()`` gives a function from a list of texts to a list of columns; fields has their Spark and Arrow types. Other
+    columns pass through as Arrow arrays under names of their own, so nulls, large integers and clashing names stay as
+    they are.
+    """
+    keep = tuple(docs.columns) if keep is None else keep
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col("text").alias("t"))
+    # a text that is kept anyway goes to Python and back once
+    source = f"c{keep.index('text')}" if "text" in keep else "t"
+    inner = inner.drop("t") if "text" in keep else inner
+    kept = [f"c{i}" for i in range(len(keep))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            made = work(batch.column(source).to_pylist())
+            new = [pa.array(values, kind) for values, (_, kind) in zip(made, fields.values())]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *new], names=[*kept, *fields])
+
+    types = dict(inner.dtypes)
+    schema = ", ".join([*[f"{c} {types[c]}" for c in kept], *[f"{n} {t}" for n, (t, _) in fields.items()]])
+    row = F.struct(*[F.col(k).alias(c) for k, c in zip(kept, keep)])
+    return inner.mapInArrow(run, schema).select(row.alias("row"), *fields)
+
+
+def _buckets(columns: list[str], n: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
+
+
+def maybe_in(rows: DataFrame, columns: list[str], wanted: DataFrame, how: str = "left_semi", n: int = 1 << 22) -> DataFrame:
+    """rows whose columns may be in ``wanted`` (or, left_anti, surely are not). A broadcast of at most n numbers, hashes
+    of what is wanted, tells. It only saves moving rows: what is in must still be decided by a join."""
+    told = wanted.select(_buckets(columns, n).alias("_bucket")).distinct()
+    return rows.join(F.broadcast(told), _buckets(columns, n) == F.col("_bucket"), how)
+
+
+def doc_key() -> Column:
+    """A document's key, in the order that decides which is earlier: null ids last, then id, then the text's hash."""
+    return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("hash"))

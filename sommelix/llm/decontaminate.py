@@ -5,8 +5,8 @@ between single spaces, and searched for " w1 w2 ... w13 ". A table over blocks o
 when a block ends at the current place; where it says 0 the block's bucket gives the windows to compare directly. Windows
 are searched in bands of similar length, so a very short item does not shorten the jumps of the others.
 
-The windows are split into parts of at most ``part_chars`` characters of items; each part is one compiled, broadcast
-table and one step over the documents, so what a worker holds is bounded whatever the benchmark's size.
+A large benchmark is split into parts of about ``part_chars`` characters. They are broadcast compressed, and a worker holds
+one compiled part at a time, so its tables are bounded whatever the benchmark's size.
 
 Defined cases: null texts and items have no words; an item without words is no window; repeated items and ids count
 once; null item ids hit words but are not listed; an empty benchmark hits nothing; repeated documents are rows of their
@@ -15,14 +15,18 @@ own; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sommelix.llm.common import per_text
+
 WINDOW = 13
 PART_CHARS = 16_000_000
 #: Bytes to one form: A-Z lower-cased; digits, a-z and bytes from 0x80 on stay; all else separates words.
@@ -96,50 +100,52 @@ def _merged(spans: list) -> list[list[int]]:
     return out
 
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_chars: int = PART_CHARS) -> DataFrame:
-    """doc_id, n_words, hits (first word and number of words of merged hit spans) and the ids of items found."""
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_chars: int = PART_CHARS, keep=None) -> DataFrame:
+    """row (the kept columns), n_words, hits (first word and number of words of merged hit spans), ids of items found."""
     spark = docs.sparkSession
     items = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n_parts = chars // part_chars + 1
     part = F.pmod(F.xxhash64("text"), F.lit(n_parts))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, text binary, n_words bigint, hits array<array<int>>, items array<string>"
-
-    def prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            w = [word_list(t) for t in batch["text"]]
-            text = [b" " + b" ".join(x) + b" " for x in w]
-            none = [[] for _ in w]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "text": text, "n_words": list(map(len, w)), "hits": none, "items": none})
-
-    def searching(shared):
-        def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            searcher = Searcher(shared.value, window)
-            for batch in batches:
-                hits, items = [], []
-                for text, old, known in zip(batch["text"], batch["hits"], batch["items"]):
-                    spans, new = searcher(text)
-                    hits.append(_merged([*map(tuple, old), *spans]) if spans else old)
-                    items.append(sorted({*known, *(i for i in new if i is not None)}) if new else known)
-                yield batch.assign(hits=hits, items=items)
+    packed = [[tuple(r) for r in items.where(part == k).collect()] for k in range(n_parts)]
+    shared = spark.sparkContext.broadcast([zlib.compress(pickle.dumps(rows)) for rows in packed])
+
+    def make():
+        def compiled(k: int) -> Searcher:
+            return Searcher(pickle.loads(zlib.decompress(shared.value[k])), window)
+
+        only = compiled(0) if n_parts == 1 else None  # of several parts, one at a time is held
+
+        def search(texts):
+            forms = [word_list(t) for t in texts]
+            n_words = list(map(len, forms))
+            forms = [b" " + b" ".join(w) + b" " for w in forms]
+            spans: list[list] = [[] for _ in texts]
+            items: list[set] = [set() for _ in texts]
+            for k in range(n_parts):
+                searcher = only or compiled(k)
+                for own, ids, form in zip(spans, items, forms):
+                    hit, found = searcher(form)
+                    own += hit
+                    ids |= found
+            return [n_words, [_merged(x) for x in spans], [sorted(i for i in x if i is not None) for x in items]]
 
         return search
 
-    out = docs.select("doc_id", "text").mapInPandas(prepare, schema)
-    for k in range(n_parts):
-        rows = [tuple(r) for r in items.where(part == k).collect()]
-        if rows:
-            out = out.mapInPandas(searching(spark.sparkContext.broadcast(rows)), schema)
-    return out.drop("text")
+    fields = {
+        "n_words": ("bigint", pa.int64()),
+        "hits": ("array<array<int>>", pa.list_(pa.list_(pa.int32()))),
+        "items": ("array<string>", pa.list_(pa.string())),
+    }
+    return per_text(docs, make, fields, keep)
 
 
-def decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Verdict for every document: contaminated if at least a twentieth of its words is hit."""
-    found = find_benchmark(docs, benchmark)
+def decontamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """row (the kept columns) and the verdict: contaminated if at least a twentieth of a document's words is hit."""
+    found = find_benchmark(docs, benchmark, keep=keep)
     n_hit = F.expr("aggregate(hits, 0L, (n, h) -> n + h[1])")
-    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), "items").select(
-        "doc_id",
+    return found.select("row", "n_words", n_hit.alias("n_hit"), "items").select(
+        "row",
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
@@ -149,8 +155,9 @@ def decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op3_decontaminate(spark, sf_dir) -> DataFrame:
-    return decontamination(
-        spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    docs, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    return decontamination(docs, benchmark, ("doc_id",)).select(
+        "row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
     )
 
 

@@ -20,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sommelix.llm.common import held_out, learnable
+from sommelix.llm.common import held_out, learnable, per_text
 
 DIMS = 1 << 16
 ORDERS = 4
@@ -90,17 +91,25 @@ def presence(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     """languages in order, and weights of DIMS x languages."""
 
-    def __init__(self, bits: np.ndarray, labels: np.ndarray, landmarks: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE):
+    def __init__(self, packed: np.ndarray, labels: np.ndarray, landmarks: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE):
+        """packed: presence bits of the training texts, 8 places a byte. They are unpacked a few places at a time."""
         self.languages = sorted(set(labels))
-        x = bits.astype(np.float32)
-        x /= np.sqrt(np.maximum(1, x.sum(1, keepdims=True)))
         chosen = np.concatenate([np.flatnonzero(labels == c)[:landmarks] for c in self.languages])
-        marks = x[chosen]
-        k_nm = (x @ marks.T).astype(np.float64)
-        k_mm = (marks @ marks.T).astype(np.float64)
+        blocks = [slice(at, at + 512) for at in range(0, packed.shape[1], 512)]
+        open_ = lambda rows, at: np.unpackbits(rows[:, at], axis=1).astype(np.float32)
+        k_nm = np.zeros((len(packed), len(chosen)))
+        size = np.zeros(len(packed))
+        for at in blocks:
+            x = open_(packed, at)
+            k_nm += x @ x[chosen].T
+            size += x.sum(1)
+        root = np.sqrt(np.maximum(1, size))
+        k_nm /= root[:, None] * root[chosen][None, :]
+        k_mm = k_nm[chosen]
         y = np.where(labels[:, None] == np.array(self.languages)[None, :], 1.0, -1.0)
-        left = k_nm.T @ k_nm + ridge * len(x) * k_mm + 1e-8 * len(x) * np.eye(len(chosen))
-        self.weights = (marks.T @ np.linalg.solve(left, k_nm.T @ y)).astype(np.float32)
+        left = k_nm.T @ k_nm + ridge * len(packed) * k_mm + 1e-8 * len(packed) * np.eye(len(chosen))
+        solved = np.linalg.solve(left, k_nm.T @ y) / root[chosen][:, None]
+        self.weights = np.vstack([open_(packed[chosen], at).T @ solved for at in blocks]).astype(np.float32)
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         bits, lettered = presence(texts)
@@ -119,7 +128,7 @@ def training_rows(docs: DataFrame, label: str, per_label: int) -> DataFrame:
     known = docs.where(learnable(F.col("doc_id")) & F.col(label).isNotNull() & F.col("text").isNotNull())
     mark = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 40))
     share = known.groupBy(label).agg((F.lit(float(1 << 40)) * 2 * per_label / F.count("*")).alias("below"))
-    near = known.select(label, "text", mark.alias("mark")).join(share, label).where(F.col("mark") <= F.col("below"))
+    near = known.select(label, "text", mark.alias("mark")).join(F.broadcast(share), label).where(F.col("mark") <= F.col("below"))
     order = Window.partitionBy(label).orderBy("mark", F.xxhash64("text"))
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_label).select(label, "text", "mark")
 
@@ -136,30 +145,31 @@ def train(docs: DataFrame, label: str = "lang", per_language: int = PER_LANGUAGE
     if not rows:
         return None
     rows.sort(key=lambda r: (r["label"], r["mark"], bytes(r["bits"])))
-    on = np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8)).reshape(len(rows), DIMS)
-    return Model(on, np.array([r["label"] for r in rows]))
+    packed = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8).reshape(len(rows), DIMS // 8)
+    return Model(packed, np.array([r["label"] for r in rows]))
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """docs with lang_pred and score."""
+def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """row (the kept columns), lang_pred and score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def make():
+        def predict(texts):
             names: list[str] = []
             scores: list[float] = []
-            for at in range(0, len(batch), BLOCK_ROWS):
-                texts = list(batch["text"].iloc[at : at + BLOCK_ROWS])
-                n, s = shared.value(texts) if shared.value else (["und"] * len(texts), [0.0] * len(texts))
+            for at in range(0, len(texts), BLOCK_ROWS):
+                part = texts[at : at + BLOCK_ROWS]
+                n, s = shared.value(part) if shared.value else (["und"] * len(part), [0.0] * len(part))
                 names += n
                 scores += s
-            yield batch.assign(lang_pred=names, score=scores)
+            return [names, scores]
+
+        return predict
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInPandas(predict, f"{fields}, lang_pred string, score double")
+    return per_text(docs, make, {"lang_pred": ("string", pa.string()), "score": ("double", pa.float64())}, keep)
 
 
 def op6_language_id(spark, sf_dir) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    found = identify(docs.select("doc_id", "text"), train(docs))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    found = identify(docs, train(docs), ("doc_id",))
+    return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score")

@@ -15,8 +15,8 @@ place, is equal or near to it; whether that line stays itself does not matter, s
 
 Everything is DataFrame expressions. Keys are pre-aggregated before they are joined back, and the joins are
 plain equi-joins that adaptive execution may split, so a very common line or half does not gather in a task. Whole texts
-are shuffled once, at the end. Before each join back, rows without a partner are mostly left out by a broadcast of at
-most ``BUCKETS`` numbers (hashes of the wanted keys), which only saves work: the join that follows decides.
+are shuffled once, at the end, and only of documents that may have lines to remove. Before each join back, rows without a partner are mostly left out by a broadcast of at
+most 2^22 numbers (hashes of the wanted keys), which only saves work: the join that follows decides.
 
 Defined cases: null texts have no lines and stay null; blank lines stay and never match; repeated rows of a document
 are later copies whose lines all go; null ids are last; an empty table gives an empty result; extra columns of any
@@ -28,10 +28,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sommelix.llm.common import cut, saved, words
+from sommelix.llm.common import cut, doc_key, maybe_in, saved, words
 
 NEAR_WORDS = 8
-BUCKETS = 1 << 22
 
 # the running xors of h(word, place) and h(word, place - 1), and from them the hash of the line without each word
 _XORS = """
@@ -56,24 +55,9 @@ transform(array(CAST({_SHARED} AS INT)), p -> CASE size(w) - size(v)
 """
 
 
-def _buckets(*columns) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).cast("int")
-
-
-def _maybe_in(rows: DataFrame, columns: list[str], wanted: DataFrame) -> DataFrame:
-    """rows without most of those whose columns are not in ``wanted``; a broadcast of at most BUCKETS numbers tells."""
-    told = wanted.select(_buckets(*columns).alias("_bucket")).distinct()
-    return rows.join(F.broadcast(told), _buckets(*columns) == F.col("_bucket"), "left_semi")
-
-
-def _doc() -> Column:
-    """A document's key, in the order that decides which line is earlier: null ids last, then id, then the text's hash."""
-    return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("hash"))
-
-
 def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     """doc, removed: the numbers of the lines that go, for each document that has any."""
-    raw = docs.select(_doc().alias("doc"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    raw = docs.select(doc_key().alias("doc"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
     half, less = "CAST(floor(size(w) / 2) AS INT)", "CAST(floor((size(w) - 1) / 2) AS INT)"
     halves = F.when(
         F.size("w") >= near_words,
@@ -92,13 +76,13 @@ def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
 
     # 1: the earliest place of lines that occur more than once
     several = cut(lines.groupBy("line").agg(F.min(at).alias("lead"), F.count("*").alias("times")).where("times > 1").drop("times"))
-    again = _maybe_in(lines.select("doc", "n", "line"), ["line"], several).join(several, "line").select("line", "lead", at.alias("at"))
+    again = maybe_in(lines.select("doc", "n", "line"), ["line"], several).join(several, "line").select("line", "lead", at.alias("at"))
 
     # 2: distinct lines that share a half with another one, at their earliest place, numbered in order
     keyed = lines.where("halves IS NOT NULL").select("line", "doc", "n", F.explode("halves").alias("half"))
     code = F.xxhash64("line")
     shared = cut(keyed.groupBy("half").agg(F.min(code).alias("a"), F.max(code).alias("b")).where("a <> b").select("half"))
-    sharing = _maybe_in(keyed, ["half"], shared).join(shared, "half").groupBy("line").agg(F.min(at).alias("at"))
+    sharing = maybe_in(keyed, ["half"], shared).join(shared, "half").groupBy("line").agg(F.min(at).alias("at"))
     ranked = cut(
         sharing.repartitionByRange("at").sortWithinPartitions("at")
         .select("line", "at", F.monotonically_increasing_id().alias("pos"))
@@ -106,7 +90,7 @@ def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
 
     # 3: their words and variants
     places = ranked.select("at.doc", "at.n", "pos")
-    near = cut(_maybe_in(raw, ["doc", "n"], places).join(places, ["doc", "n"]).select("pos", words(F.col("line")).alias("w")))
+    near = cut(maybe_in(raw, ["doc", "n"], places).join(places, ["doc", "n"]).select("pos", words(F.col("line")).alias("w")))
     hashed = near.select("pos", F.size("w").alias("size"), F.expr(_XORS).alias("h"))
     salt = lambda size: F.xxhash64(F.lit("words"), size)
     without = hashed.select("pos", salt(F.col("size") - 1).alias("s"), F.posexplode("h.without").alias("i", "v"))
@@ -115,7 +99,7 @@ def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
 
     earliest = F.min("pos").alias("lead")
     replaced = cut(without.groupBy("v", "i").agg(earliest, F.count("*").alias("n")).where("n > 1").select("v", "i", "lead"))
-    without = cut(_maybe_in(without, ["v"], replaced.select("v").union(whole.select("v"))))
+    without = cut(maybe_in(without, ["v"], replaced.select("v").union(whole.select("v"))))
     candidates = (
         without.join(replaced, ["v", "i"]).select("pos", "lead")
         .union(without.join(whole.groupBy("v").agg(earliest), "v").select("pos", "lead"))
@@ -134,10 +118,16 @@ def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     """docs as struct ``row``, its ``text`` without the lines that go, beside n_lines (with words) and n_removed."""
-    packed = docs.select(_doc().alias("doc"), F.struct("*").alias("row"))
-    removed = removed_lines(docs.where("text IS NOT NULL").select("doc_id", "text"), near_words)
+    packed = docs.select(doc_key().alias("doc"), F.struct("*").alias("row"))
+    removed = saved(removed_lines(docs.where("text IS NOT NULL").select("doc_id", "text"), near_words))
+    # only documents that may have lines to remove (repeated rows always have) are moved
+    moved = maybe_in(packed, ["doc"], removed)
     copy = F.row_number().over(Window.partitionBy("doc").orderBy(F.lit(1)))
-    joined = packed.withColumn("copy", copy).join(removed, "doc", "left")
+    joined = moved.withColumn("copy", copy).join(removed, "doc", "left")
+    untouched = maybe_in(packed, ["doc"], removed, "left_anti").select(
+        "doc", "row", F.lit(1).alias("copy"), F.array().cast("array<int>").alias("removed")
+    )
+    joined = joined.select("doc", "row", "copy", "removed").union(untouched)
     none = F.array().cast("array<int>")
     worded = F.expr(
         r"filter(transform(split(row.text, '\n'), (x, i) -> if(x RLIKE '[^\\x20\\x09-\\x0D]', i, -1)), i -> i >= 0)"

@@ -19,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sommelix.llm.common import held_out, learnable
+from sommelix.llm.common import held_out, learnable, per_text
 
 PER_LABEL = 800
 TRAIN_LINES = 64
@@ -171,10 +172,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label:
     known = labels.where(learnable(F.col("doc_id")) & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("label"))
     mark = F.xxhash64("doc_id", F.lit("train"))
     share = known.groupBy("label").agg(F.count("*").alias("n"))
-    # ids first: about twice as many as wanted, as documents may be missing or have too many lines
+    # ids first: about twice as many as wanted, as documents may be missing or have too many lines; that bounds the
+    # broadcast, and no text is moved but theirs
     near = known.join(share, "label").where(F.pmod(mark, F.lit(1 << 30)) * F.col("n") <= F.lit((1 << 30) * 2 * per_label))
     short = docs.where(F.col("text").isNotNull() & (F.regexp_count("text", F.lit("\n")) < TRAIN_LINES)).select("doc_id", "text")
-    chosen = short.join(near.select("doc_id", "label"), "doc_id").withColumn(
+    chosen = short.join(F.broadcast(near.select("doc_id", "label")), "doc_id").withColumn(
         "rank", F.row_number().over(Window.partitionBy("label").orderBy(mark, F.xxhash64("text")))
     )
 
@@ -195,15 +197,14 @@ def score_quality(docs: DataFrame, model: Crf) -> DataFrame:
     """doc_id and score (probability of good) of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), 1000):
-                part = batch.iloc[at : at + 1000]
-                scores = shared.value.score([document_lines(t) for t in part["text"]])
-                yield pd.DataFrame({"doc_id": part["doc_id"], "score": scores})
+    def make():
+        def predict(texts):
+            parts = [texts[at : at + 1000] for at in range(0, len(texts), 1000)]
+            return [np.concatenate([np.zeros(0)] + [shared.value.score([document_lines(t) for t in p]) for p in parts])]
+
+        return predict
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(predict, f"doc_id {kind}, score double")
+    return per_text(docs, make, {"score": ("double", pa.float64())}, ("doc_id",)).select("row.doc_id", "score")
 
 
 def op7_quality_crf(spark, sf_dir) -> DataFrame:

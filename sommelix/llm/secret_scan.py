@@ -15,17 +15,17 @@ rows are rows of their own; an empty table gives an empty result; other columns
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 from re import _constants as sre
 from re import _parser as parser
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from sommelix.llm.common import per_text
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -309,18 +309,17 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id and the spans (kind, start, end) of every document, ordered by start, then by rule."""
     automaton = build(rules)
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         scanner = Scanner(automaton)
-        for batch in batches:
-            spans = [
-                [{"kind": rules[r].kind, "start": s, "end": e} for s, r, e in scanner(text)] for text in batch["text"]
-            ]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "spans": spans})
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
-        scan, f"doc_id {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>"
-    )
+
+        def scan(texts):
+            return [[[(rules[r].kind, s, e) for s, r, e in scanner(text)] for text in texts]]
+
+        return scan
+
+    span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    found = per_text(docs, make, {"spans": ("array<struct<kind:string,start:bigint,end:bigint>>", span)}, ("doc_id",))
+    return found.select("row.doc_id", "spans")
 
 
 def op1_secret_scan(spark, sf_dir) -> DataFrame:

@@ -26,11 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sommelix.llm.bitmap import PACKED, bitmap, known, n_buckets, pack, present
-from sommelix.llm.common import cut, saved
+from sommelix.llm.common import cut, maybe_in, saved
 from sommelix.llm.jaccard_join import WordHashes, mix
 
 WINDOW = 35
@@ -340,33 +341,37 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = S
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed and the kept words joined by single spaces, of every document."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
     keyed = docs.select(
         "doc_id",
         "text",
         F.xxhash64("doc_id", "text").alias("kd"),
         F.xxhash64(F.lit("other"), "text", "doc_id").alias("th"),
     )
-    runs = repeated_windows(keyed.select("kd", "th", "text"), window, shard_words, hot)
+    runs = saved(repeated_windows(keyed.select("kd", "th", "text"), window, shard_words, hot))
 
-    def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc, text, starts, counts in zip(batch["doc_id"], batch["text"], batch["starts"], batch["counts"]):
+            sizes, removed, kept = [], [], []
+            for text, own in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
                 words = split_words(text)
-                gone = 0
-                if starts is not None and len(starts):
+                sizes.append(len(words))
+                if own:
                     edge = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(edge, starts, 1)
-                    np.add.at(edge, np.asarray(starts) + counts + window - 1, -1)
-                    stay = np.cumsum(edge[:-1]) == 0
-                    gone = len(words) - int(stay.sum())
-                    words, n = [w for w, s in zip(words, stay.tolist()) if s], len(words)
-                rows.append((doc, len(words) + gone, gone, b" ".join(words).decode("utf-8", "surrogatepass")))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept"]).astype({"doc_id": batch["doc_id"].dtype})
-
-    placed = keyed.join(runs, ["kd", "th"], "left").selectExpr("doc_id", "text", "runs.start AS starts", "runs.count AS counts")
-    return placed.mapInPandas(remove, f"doc_id {kind}, n_words bigint, n_removed bigint, kept string")
+                    np.add.at(edge, [r["start"] for r in own], 1)
+                    np.add.at(edge, [r["start"] + r["count"] + window - 1 for r in own], -1)
+                    words = [w for w, n in zip(words, np.cumsum(edge).tolist()) if not n]
+                removed.append(sizes[-1] - len(words))
+                kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
+            new = [pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *new], names=["doc_id", "n_words", "n_removed", "kept"])
+
+    # only texts that may have windows to remove are moved
+    keys = ["kd", "th"]
+    placed = maybe_in(keyed, keys, runs).join(runs, keys, "left").select("doc_id", "text", "runs")
+    kind = runs.schema["runs"].dataType.simpleString()
+    rest = maybe_in(keyed, keys, runs, "left_anti").select("doc_id", "text", F.lit(None).cast(kind).alias("runs"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return placed.union(rest).mapInArrow(remove, f"doc_id {kind}, n_words bigint, n_removed bigint, kept string")
 
 
 def op4_substring_dedup(spark, sf_dir) -> DataFrame:

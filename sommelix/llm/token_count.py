@@ -12,12 +12,13 @@ repeated rows count as often as they occur; an empty table gives an empty histog
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sommelix.llm.common import per_text
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the public pattern that splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -30,17 +31,14 @@ def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str =
         ranks = f.read()
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         import tiktoken
 
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, shared.value.splitlines())}
         encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        for batch in batches:
-            n = [len(encoding.encode_ordinary(t)) if t else 0 for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": n})
+        return lambda texts: [[len(encoding.encode_ordinary(t)) if t else 0 for t in texts]]
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(encode, f"doc_id {kind}, n_tokens bigint")
+    return per_text(docs, make, {"n_tokens": ("bigint", pa.int64())}, ("doc_id",)).select("row.doc_id", "n_tokens")
 
 
 def length_histogram(lengths: DataFrame) -> DataFrame:
