@@ -32,57 +32,22 @@ from pyspark.sql import functions as F
 
 from sommelix.llm.bitmap import PACKED, bitmap, known, n_buckets, pack, present
 from sommelix.llm.common import cut, maybe_in, saved
-from sommelix.llm.jaccard_join import WordHashes, mix
+from sommelix.llm.hashing import ODD, OTHER, RunHasher, WordHasher, mix
 
 WINDOW = 35
 RUN = 12
 SHARD_WORDS = 400_000
 HOT = 4000
 
-_P = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_OTHER = np.uint64(0xD1B54A32D192ED03)
-
 
 def split_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
-class Powers:
-    """Powers of an odd number and of its inverse modulo 2^64, as far as asked for."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) <= n:
-            n = 2 * n
-            self.up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _P)]), dtype=np.uint64)
-            self.down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _INVERSE)]), dtype=np.uint64)
-        return self.up, self.down
-
-
-class Hasher:
-    """Hashes of word runs at any place from one running sum."""
-
-    def __init__(self):
-        self.words, self.powers = WordHashes(), Powers()
-
-    def load(self, words: list[bytes]) -> None:
-        h = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
-        up, self.down = self.powers.upto(len(words) + 1)
-        self.sums = np.concatenate([[np.uint64(0)], np.cumsum(h * up[: len(h)], dtype=np.uint64)])
-        self.more = np.concatenate([[np.uint64(0)], np.cumsum(mix(h + _OTHER) * up[: len(h)], dtype=np.uint64)])
-
-    def runs(self, starts: np.ndarray, ends: np.ndarray, second: bool = False) -> np.ndarray:
-        sums = self.more if second else self.sums
-        return mix((sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64) * _OTHER)
-
-
 class Segments:
     """A document's segments: first window, number of windows, minimizer, hash of all words."""
 
-    def __init__(self, hasher: Hasher, words: list[bytes], window: int = WINDOW, run: int = RUN):
+    def __init__(self, hasher: RunHasher, words: np.ndarray, window: int = WINDOW, run: int = RUN):
         n = len(words) - window + 1
         if n <= 0:
             self.starts = self.counts = np.zeros(0, np.int64)
@@ -91,7 +56,7 @@ class Segments:
             return
         hasher.load(words)
         at = np.arange(len(words) - run + 1)
-        low = every = hasher.runs(at, at + run)
+        low = every = hasher(at, at + run)
         width, span = window - run + 1, 1
         while 2 * span <= width:
             low = np.minimum(low[:-span], low[span:])
@@ -101,7 +66,7 @@ class Segments:
         self.starts = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
         self.counts = np.diff(np.append(self.starts, n))
         self.keys = low[self.starts]
-        self.codes = hasher.runs(self.starts, self.starts + self.counts + window - 1)
+        self.codes = hasher(self.starts, self.starts + self.counts + window - 1)
         #: the minimizer stands at two places in the segment, so the segment may overlap itself
         self.folded = np.zeros(len(self.starts), bool)
         ordered = np.sort(every)
@@ -215,7 +180,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 def _places(kd: int, th: int, starts: np.ndarray) -> np.ndarray:
     """A 64-bit hash of a place."""
     doc = np.array([kd, th], np.int64).view(np.uint64)
-    return mix(mix(doc[:1] * _P + doc[1:]) + starts.astype(np.uint64) * _OTHER)
+    return mix(mix(doc[:1] * ODD + doc[1:]) + starts.astype(np.uint64) * OTHER)
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, hot: int = HOT) -> DataFrame:
@@ -225,13 +190,12 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = S
     context, buckets = spark.sparkContext, n_buckets(spark)
 
     def of_documents(batches: Iterator[pd.DataFrame]):
-        hasher = Hasher()
+        words, hasher = WordHasher(), RunHasher()
         for batch in batches:
             for kd, th, text in zip(batch["kd"], batch["th"], batch["text"]):
-                words = split_words(text)
-                segments = Segments(hasher, words, window)
+                segments = Segments(hasher, words(text), window)
                 if len(segments.keys):
-                    yield kd, th, words, segments, hasher
+                    yield kd, th, text, segments, hasher
 
     def minimizers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found = of_documents(batches)
@@ -277,9 +241,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = S
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
-        for kd, th, words, s, _ in of_documents(batches):
+        for kd, th, whole, s, _ in of_documents(batches):
             on = known(twice.value, s.keys)
             on[on] = known(wanted.value, _places(kd, th, s.starts[on]))
+            words = split_words(whole) if on.any() else []
             for i in np.flatnonzero(on).tolist():
                 text = b" ".join(words[s.starts[i] : s.starts[i] + s.counts[i] + window - 1])
                 rows.append((_signed(s.keys)[i], _signed(s.codes)[i], text))
@@ -329,7 +294,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = S
             for kd, th, _, s, hasher in of_documents(batches):
                 if (on := known(hot_keys.value, s.keys)).any():
                     at = np.concatenate([np.arange(a, a + c) for a, c in zip(s.starts[on], s.counts[on])])
-                    one, two = (_signed(hasher.runs(at, at + window, second)) for second in (False, True))
+                    one, two = (_signed(hasher(at, at + window, second)) for second in (False, True))
                     yield pd.DataFrame({"kd": kd, "th": th, "start": at, "one": one, "two": two})
 
         each = saved(docs.mapInPandas(windows, "kd bigint, th bigint, start int, one bigint, two bigint"))
