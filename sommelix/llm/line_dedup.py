@@ -15,8 +15,9 @@ place, is equal or near to it; whether that line stays itself does not matter, s
 
 Everything is DataFrame expressions. Keys are pre-aggregated before they are joined back, and the joins are
 plain equi-joins that adaptive execution may split, so a very common line or half does not gather in a task. Whole texts
-are shuffled once, at the end, and only of documents that may have lines to remove. Before each join back, rows without a partner are mostly left out by a broadcast of at
-most 2^22 numbers (hashes of the wanted keys), which only saves work: the join that follows decides.
+are shuffled once, at the end, and only of documents that may have lines to remove. Before each join back, rows without a
+partner are mostly left out by a broadcast of at most 2^22 numbers (hashes of the wanted keys), which only saves work: the
+join that follows decides.
 
 Defined cases: null texts have no lines and stay null; blank lines stay and never match; repeated rows of a document
 are later copies whose lines all go; null ids are last; an empty table gives an empty result; extra columns of any
@@ -56,7 +57,7 @@ transform(array(CAST({_SHARED} AS INT)), p -> CASE size(w) - size(v)
 
 
 def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
-    """doc, removed: the numbers of the lines that go, for each document that has any."""
+    """doc, removed: the numbers of the lines that go, for each document that has any or is a repeated row."""
     raw = docs.select(doc_key().alias("doc"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
     half, less = "CAST(floor(size(w) / 2) AS INT)", "CAST(floor((size(w) - 1) / 2) AS INT)"
     halves = F.when(
@@ -112,8 +113,14 @@ def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     gone = candidates.join(near, "pos").join(other, "lead").where(F.expr(_NEAR)).select("pos").distinct()
     too_near = ranked.join(gone, "pos").select("at")
 
-    removed = again.where("at <> lead").select("at").union(too_near)
-    return removed.groupBy(F.col("at.doc").alias("doc")).agg(F.collect_set("at.n").alias("removed"))
+    found = again.select("at", (F.col("at") == F.col("lead")).alias("first")).union(too_near.select("at", F.lit(False)))
+    of = found.groupBy(F.col("at.doc").alias("doc")).agg(
+        F.collect_set(F.when(~F.col("first"), F.col("at.n"))).alias("removed"),
+        F.count_if("first").alias("firsts"),
+        F.collect_set(F.when(F.col("first"), F.col("at.n"))).alias("places"),
+    )
+    # a place that is first more than once belongs to repeated rows of a document
+    return of.where((F.size("removed") > 0) | (F.col("firsts") > F.size("places"))).select("doc", "removed")
 
 
 def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:

@@ -422,7 +422,7 @@ def many_sizes():
 @pytest.mark.parametrize("few", [False, True])
 def test_jaccard_groups(spark, docs, rows, empty, few, monkeypatch):
     if few:  # far too few segments: what the pigeonhole cannot cover must still be found
-        monkeypatch.setattr(jaccard_join, "_short_links", lambda d, s, block=3, f=jaccard_join._short_links: f(d, s, block))
+        monkeypatch.setattr(jaccard_join, "_short_links", lambda d, s, c, block=3, f=jaccard_join._short_links: f(d, s, c, block))
     columns = ("doc_id", "n_shingles", "component_id")
     out = jaccard_join.with_component_ids(jaccard_join.jaccard_groups(docs))
     assert found(out, *columns) == brute_groups(rows)
