@@ -6,13 +6,14 @@ has the same size for every input. A key that occurs often enough always has its
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-BITS = 1 << 28
+BITS = 1 << 27
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 PACKED = "bucket int, keys binary"
 
@@ -29,14 +30,14 @@ def _slot(keys: np.ndarray, slots: int) -> np.ndarray:
     return ((keys * _ODD) >> np.uint64(8)) % np.uint64(slots)
 
 
-def pack(arrays: Iterator[np.ndarray], buckets: int, flush: int = 2_000_000) -> Iterator[pd.DataFrame]:
-    """Rows of PACKED; keys that occur twice or more among about ``flush`` keys are written twice, not more often."""
+def pack(arrays: Iterator[np.ndarray], buckets: int, most: int = 2, flush: int = 2_000_000) -> Iterator[pd.DataFrame]:
+    """Rows of PACKED; keys that occur more than ``most`` times among about ``flush`` keys are written so many times."""
     held: list[np.ndarray] = []
     n = 0
 
     def written() -> pd.DataFrame:
         keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        keys = np.sort(np.concatenate([keys, keys[counts > 1]]))
+        keys = np.repeat(keys, np.minimum(counts, most))
         ends = np.searchsorted(keys >> _shift(buckets), np.arange(buckets, dtype=np.uint64), "right")
         raw = keys.view(np.uint8).reshape(-1, 8)[:, :7]  # a bucket has its keys' highest byte
         parts = [(b, raw[s:e].tobytes()) for b, (s, e) in enumerate(zip(np.append(0, ends[:-1]), ends)) if e > s]
@@ -54,28 +55,35 @@ def pack(arrays: Iterator[np.ndarray], buckets: int, flush: int = 2_000_000) ->
         yield written()
 
 
-def bitmap(packed: DataFrame, buckets: int, at_least: int, bits: int = BITS) -> np.ndarray:
-    """buckets x bytes, of the keys that occur at least once or twice."""
-    slots = bits // buckets
+def bitmaps(packed: DataFrame, buckets: int, wanted: tuple[tuple[int, int], ...]) -> list[np.ndarray]:
+    """For each (times, bits) a bitmap, buckets x bytes, of the keys that occur at least so many times."""
+    slots = [bits // buckets for _, bits in wanted]
 
     def mark(rows: pd.DataFrame) -> pd.DataFrame:
         raw = np.frombuffer(b"".join(rows["keys"]), np.uint8).reshape(-1, 7)
         wide = np.zeros((len(raw), 8), np.uint8)
         wide[:, :7] = raw
-        keys = wide.view(np.uint64).ravel()
-        if at_least == 2:
-            keys = np.sort(keys)
-            keys = keys[1:][keys[1:] == keys[:-1]]
-        on = np.zeros(slots, bool)
-        on[_slot(keys, slots)] = True
-        return pd.DataFrame({"bucket": [rows["bucket"].iloc[0]], "bits": [np.packbits(on).tobytes()]})
-
-    out = np.zeros((buckets, slots // 8), np.uint8)
+        keys = np.sort(wide.view(np.uint64).ravel())
+        made = []
+        for (times, _), n in zip(wanted, slots):
+            on = np.zeros(n, bool)
+            last = keys[times - 1 :]  # a key that equals the one times - 1 places before
+            on[_slot(last[last == keys[: len(last)]], n)] = True
+            made.append(np.packbits(on).tobytes())
+        return pd.DataFrame({"bucket": [rows["bucket"].iloc[0]], "bits": [zlib.compress(b"".join(made), 1)]})
+
+    out = [np.zeros((buckets, n // 8), np.uint8) for n in slots]
+    ends = np.cumsum([n // 8 for n in slots])[:-1]
     for r in packed.groupBy("bucket").applyInPandas(mark, "bucket int, bits binary").toLocalIterator():
-        out[r["bucket"]] = np.frombuffer(r["bits"], np.uint8)
+        for bitmap, part in zip(out, np.split(np.frombuffer(zlib.decompress(r["bits"]), np.uint8), ends)):
+            bitmap[r["bucket"]] = part
     return out
 
 
+def bitmap(packed: DataFrame, buckets: int, at_least: int, bits: int = BITS) -> np.ndarray:
+    return bitmaps(packed, buckets, ((at_least, bits),))[0]
+
+
 def present(keys: DataFrame, buckets: int, bits: int = BITS) -> np.ndarray:
     """Bitmap of the values of a DataFrame's only column, a bigint."""
 

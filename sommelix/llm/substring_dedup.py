@@ -185,7 +185,7 @@ def _places(kd: int, th: int, starts: np.ndarray) -> np.ndarray:
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, hot: int = HOT) -> DataFrame:
     """kd, th, runs: for each document with any, runs (first, count) of windows whose words also start elsewhere. docs has
-    kd, th (together a document's key) and text."""
+    kd, th (together a document's key) and text. The result is a table, so the bitmaps can go."""
     spark = docs.sparkSession
     context, buckets = spark.sparkContext, n_buckets(spark)
 
@@ -202,6 +202,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = S
         yield from pack((np.concatenate([s.keys, s.keys[s.folded]]) for _, _, _, s, _ in found), buckets)
 
     twice = context.broadcast(bitmap(docs.mapInPandas(minimizers, PACKED), buckets, 2))
+    held = [twice]
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts, n = [], 0
@@ -238,6 +239,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = S
     # segments to search, each different one once
     searched = contents.join(keys.where(F.col("n") <= hot).select("key"), "key")
     wanted = context.broadcast(present(searched.select("at.place"), buckets))
+    held.append(wanted)
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
@@ -289,6 +291,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = S
     many = keys.where(F.col("n") > hot).select("key")
     if not many.isEmpty():
         hot_keys = context.broadcast(present(many, buckets))
+        held.append(hot_keys)
 
         def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for kd, th, _, s, hasher in of_documents(batches):
@@ -301,7 +304,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = S
         again = each.groupBy("one", "two").count().where("count > 1").select("one", "two")
         marks = marks.union(each.join(again, ["one", "two"]).select("kd", "th", "start", F.lit(1)))
 
-    return marks.groupBy("kd", "th").agg(F.collect_list(F.struct("start", "count")).alias("runs"))
+    runs = saved(marks.groupBy("kd", "th").agg(F.collect_list(F.struct("start", "count")).alias("runs")))
+    for shared in held:
+        shared.destroy()
+    return runs
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, hot: int = HOT) -> DataFrame:
@@ -312,7 +318,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, shard_words: int = S
         F.xxhash64("doc_id", "text").alias("kd"),
         F.xxhash64(F.lit("other"), "text", "doc_id").alias("th"),
     )
-    runs = saved(repeated_windows(keyed.select("kd", "th", "text"), window, shard_words, hot))
+    runs = repeated_windows(keyed.select("kd", "th", "text"), window, shard_words, hot)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
