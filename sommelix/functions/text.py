@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType, StringType
 
 NBSP = " "
 
@@ -49,32 +50,32 @@ def similarity(a: str, b: str) -> float:
     return difflib.SequenceMatcher(None, a, b).ratio()
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def normalized_text(s: pd.Series) -> pd.Series:
     return s.map(lambda x: plain(None if pd.isna(x) else x))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def normalized_name(s: pd.Series) -> pd.Series:
     return s.map(lambda x: plain_name(None if pd.isna(x) else x))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def slugified(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if pd.isna(x) else slug(x))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def normalized_url(s: pd.Series) -> pd.Series:
     return s.map(lambda x: plain_url(None if pd.isna(x) else x))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def sequence_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similarity(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def float_text(s: pd.Series) -> pd.Series:
     """Shortest text of a double, as in 0.0001 (Spark would print 1.0E-4)."""
     return s.map(lambda x: None if pd.isna(x) else repr(float(x)))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sommelix.functions import text
 from sommelix.functions.geo import haversine_km
 from sommelix.operators.joins import first_by, unique_match
+from sommelix.operators.lineage import cut
 from sommelix.operators.quality import QualityError
 
 # The tiers in order (method, keys), distances and the least score of a candidate.
@@ -117,10 +118,11 @@ def fuzzy_candidates(previous: DataFrame, current: DataFrame, per_row: int = FUZ
     )
 
 
-def link(previous: DataFrame, current: DataFrame, overrides: DataFrame | None = None, cut=lambda frame: frame) -> Linkage:
-    """The waterfall over prepared frames. ``overrides`` (previous_row, current_row, evidence) come first; ``cut`` may
-    cut the lineage between tiers."""
+def link(previous: DataFrame, current: DataFrame, overrides: DataFrame | None = None, cut=cut) -> Linkage:
+    """The waterfall over prepared frames. ``overrides`` (previous_row, current_row, evidence) come first; ``cut``
+    cuts the lineage of the prepared frames and between tiers, or the plan would double with each tier."""
     spark = previous.sparkSession
+    previous, current = cut(previous), cut(current)
     matches = spark.createDataFrame([], MATCH)
     if overrides is not None:
         for side in ("previous_row", "current_row"):
@@ -146,6 +148,7 @@ def link(previous: DataFrame, current: DataFrame, overrides: DataFrame | None =
     )
     matches = cut(matches.unionByName(near))
     a, b = _without(previous, matches, "previous_row"), _without(current, matches, "current_row")
+    a, b = cut(a), cut(b)
     return Linkage(matches, a, b, duplicate_conflicts(a, b), fuzzy_candidates(a, b))
 
 
@@ -236,9 +239,9 @@ def summary(records: DataFrame) -> DataFrame:
 
 def check_accounting(records: DataFrame, n_previous: int, n_current: int) -> None:
     one = records.where("record_type = 'comparison'").agg(
-        F.count_if("previous_row IS NOT NULL AND current_row IS NOT NULL").alias("matched"),
-        F.count_if("current_row IS NULL").alias("removed"),
-        F.count_if("previous_row IS NULL").alias("new"),
+        F.count_if(F.expr("previous_row IS NOT NULL AND current_row IS NOT NULL")).alias("matched"),
+        F.count_if(F.expr("current_row IS NULL")).alias("removed"),
+        F.count_if(F.expr("previous_row IS NULL")).alias("new"),
         F.count_distinct("previous_row").alias("p"),
         F.count_distinct("current_row").alias("c"),
     ).first()

@@ -43,7 +43,7 @@ def weighted_means(frame: DataFrame, keys: list[str], weight: str, columns: list
 
 def ordered_lists(frame: DataFrame, keys: list[str], order: str, fields: list[str], name: str) -> DataFrame:
     """The fields of each key's rows in source order, as an array of structs."""
-    rows = F.array_sort(F.collect_list(F.struct(order, *fields)))
+    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_order"), *fields)))
     return frame.groupBy(*keys).agg(F.transform(rows, lambda r: F.struct(*[r[f].alias(f) for f in fields])).alias(name))
 
 
@@ -65,7 +65,7 @@ def locations_text(frame: DataFrame, keys: list[str]) -> DataFrame:
 def parse_address(address: Column) -> dict[str, Column]:
     """Postcode, town and short location of 'street, town, 75001, France'; problem says what is wrong, null if nothing."""
     text = without_nbsp(address)
-    parts = F.transform(F.split(text, ","), F.trim)
+    parts = F.transform(F.split(text, ","), lambda p: F.trim(p))
     n = F.size(parts)
     codes = F.regexp_count(text, F.lit(r"\b\d{5}\b"))
     code = F.when(n >= 2, F.element_at(parts, F.when(n >= 2, -2).otherwise(-1)))
@@ -123,7 +123,7 @@ def region_rollup(restaurants: DataFrame, statistics: DataFrame) -> DataFrame:
 
 def parse_monaco_address(address: Column) -> dict[str, Column]:
     text = without_nbsp(address)
-    parts = F.transform(F.split(text, ","), F.trim)
+    parts = F.transform(F.split(text, ","), lambda p: F.trim(p))
     n = F.size(parts)
     code = F.when(n >= 4, F.get(parts, n - 2))
     town = F.when(n >= 4, F.get(parts, n - 3))
