@@ -432,6 +432,23 @@ def test_jaccard_groups(spark, docs, rows, empty, few, monkeypatch):
     assert jaccard_join.jaccard_groups(empty).count() == 0
 
 
+def test_jaccard_partners_in_neighbouring_bands(spark):
+    rnd = random.Random(9)
+    rows = []
+    for size in (5, 7, 9, 13, 15, 18, 27, 31, 36, 40, 58, 63, 70, 120, 127, 140, 250, 300):
+        base = [f"p{rnd.randrange(10**9)}" for _ in range(size + 4)]
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(base[size // 5 :])), (len(rows) + 2, " ".join(base + base[: size // 6]))]
+    hub = [f"h{k}" for k in range(44)]  # copies link with their original, but not with each other
+    for k in range(40):
+        w = [*hub]
+        w[5 + k % 35] = f"x{k}"
+        rows.append((1000 - k, " ".join(w)))
+    rows.append((5000, " ".join(hub)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = jaccard_join.with_component_ids(jaccard_join.jaccard_groups(df))
+    assert found(got, "doc_id", "n_shingles", "component_id") == brute_groups(rows)
+
+
 def test_pigeonhole_never_misses():
     import numpy as np
 
