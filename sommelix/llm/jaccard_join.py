@@ -45,6 +45,8 @@ from sommelix.llm.components import components
 from sommelix.llm.hashing import ODD, OTHER, RunHasher, WordHasher, mix, sorted_distinct
 
 SHINGLE = 5
+#: Sets of up to so many elements have only equal partners.
+ALONE = 2
 #: Sizes below FINE: each element is a segment. Below DELETING: few segments with one-deletion neighbourhoods.
 FINE = 32
 DELETING = 128
@@ -145,8 +147,8 @@ def elements(tokens: np.ndarray) -> np.ndarray:
 
 
 def written(tokens: np.ndarray) -> np.ndarray:
-    """All keys a set writes in step 1; sets of up to 3 elements have no partner but equal sets. Partners of sets below
-    DELETING are below twice that, and write their elements too."""
+    """All keys a set writes in step 1; sets of up to 2 elements have no partner but equal sets (2 of 3 is below 3/4, 3 of 4
+    is not). Partners of sets below DELETING are below twice that, and write their elements too."""
     own, low = signatures(tokens)
     keys = [own.keys] if low is None else [own.keys, low[0].keys[low[0].only(low[1])]]
     return np.concatenate([*keys, elements(tokens)] if len(tokens) < 2 * DELETING else keys)
@@ -158,7 +160,7 @@ def repeated(docs: DataFrame, buckets: int, bits: int) -> list[np.ndarray]:
     def packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
         sets = (shingles(text) for batch in batches for text in batch.column("text").to_pylist())
-        for rows in pack((written(s) for s in sets if len(s) > 3), buckets, OFTEN):
+        for rows in pack((written(s) for s in sets if len(s) > ALONE), buckets, OFTEN):
             yield pa.RecordBatch.from_pandas(rows, pa.schema([("bucket", pa.int32()), ("keys", pa.binary())]), preserve_index=False)
 
     return bitmaps(docs.select("text").mapInArrow(packing, PACKED), buckets, ((2, bits), (OFTEN, bits // 4)))
@@ -181,7 +183,7 @@ class Looker:
             allowed[:] = False
             allowed[among] = True
         sure = int(parts.worth[~open_ & allowed].sum())
-        need = may_differ + 1 - sure
+        need = may_differ + 1 - sure if may_differ else 0  # equal sets are one class, others differ
         often = np.zeros(len(parts.sizes), bool)
         often[parts.owner[hit][known(self.often, parts.keys[hit])]] = True
         picked = parts.pick(open_ & allowed, need, often) if need > 0 else np.zeros(0, np.int64)
@@ -241,7 +243,7 @@ def open_sets(docs: DataFrame, shared: Broadcast) -> DataFrame:
             columns: list[list] = [[] for _ in fields]
             for text in texts:
                 tokens, row = shingles(text), [None] * len(fields)
-                if len(tokens) > 3:
+                if len(tokens) > ALONE:
                     kept, picked, short, sure, alone = look(tokens)
                     if len(kept) or len(picked) or short:
                         row = [class_of(tokens), len(tokens), kept.tobytes(), picked.tobytes(), short, sure, alone]
@@ -299,8 +301,9 @@ def _exploded(rows: DataFrame, column: str) -> DataFrame:
 
 
 def _fit() -> Column:
-    """Sizes m, n of sets that may link, and elements of their own that do not exceed what may differ."""
-    sizes = 100 * F.least("m", "n") >= 75 * F.greatest("m", "n")
+    """Sizes m, n of different sets that may link, and elements of their own that do not exceed what may differ. Different
+    sets of one size differ in two elements at least."""
+    sizes = (100 * F.least("m", "n") >= 75 * F.greatest("m", "n")) & ((F.col("m") != F.col("n")) | (F.col("m") >= 7))
     return sizes & (7 * (F.col("alone") + F.col("other_alone")) <= F.col("m") + F.col("n"))
 
 
