@@ -14,15 +14,31 @@ from pyspark.sql import functions as F
 from sommelix.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing
 from sommelix.llm.common import doc_key, maybe_in, saved, shared_folder
 
-#: A prediction below this share of certainty over languages rejects a document, if it is long enough to tell.
+#: A prediction below this share of certainty, among LEAST_AMONG languages, rejects a document of LEAST_LETTERS letters or
+#: more; shorter ones are not long enough to tell.
 LEAST_SCORE = 0.3
+LEAST_AMONG = 4
+LEAST_LETTERS = 20
+LETTERS = r"\p{L}"
+
+
+def least_score(n_languages: int) -> float:
+    """The bound among so many languages: as far between chance, 1 / n, and certainty as LEAST_SCORE is among LEAST_AMONG.
+    A single language is always certain and rejects nothing."""
+    chance = 1 / LEAST_AMONG
+    return 1 / n_languages + (LEAST_SCORE - chance) / (1 - chance) * (1 - 1 / n_languages)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without any letter (``und``) and those that look like none of the learned languages."""
+    """Rejects documents without any letter (``und``) and those long enough to tell that look like none of the learned
+    languages. Where there are no labels to learn from, only the former go."""
     model = language_id.train(docs)
+    if model is None:
+        return docs.where(F.col("text").rlike(LETTERS))
     found = language_id.identify(docs, model)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    sure = F.col("score") >= least_score(len(model.languages))
+    short = F.regexp_count("row.text", F.lit(LETTERS)) < LEAST_LETTERS
+    return found.where((F.col("lang_pred") != "und") & (sure | short)).select("row.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
