@@ -304,7 +304,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = S
         again = each.groupBy("one", "two").count().where("count > 1").select("one", "two")
         marks = marks.union(each.join(again, ["one", "two"]).select("kd", "th", "start", F.lit(1)))
 
-    runs = saved(marks.groupBy("kd", "th").agg(F.collect_list(F.struct("start", "count")).alias("runs")))
+    runs = saved(marks.groupBy("kd", "th").agg(F.collect_set(F.struct("start", "count")).alias("runs")))
     for shared in held:
         shared.destroy()
     return runs
