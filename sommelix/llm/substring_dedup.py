@@ -12,7 +12,8 @@ sent to shards by minimizer, so equal windows always meet.
    Burrows-Wheeler transform in a wavelet matrix of packed bits) and streams the segments' windows through backward
    search; windows whose interval still holds two places after 35 words are reported.
 4. Minimizers with more than ``HOT`` different segments, as at the edges of a passage that very many documents
-   share, are not gathered: their windows are counted by a hash of 128 bits.
+   share, or with more than ``HOT_WORDS`` words in them, as in text that repeats a short line, are not gathered: their
+   windows are counted by a hash of 128 bits. So a shard has at most ``SHARD_WORDS`` and ``HOT_WORDS`` words together.
 5. Reported windows go back to their documents.
 
 Defined cases: null texts have no words and keep the empty string; texts shorter than a window stay; repeated rows repeat all
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sommelix.llm.bitmap import PACKED, bitmap, known, n_buckets, pack, present
@@ -38,6 +39,7 @@ WINDOW = 35
 RUN = 12
 SHARD_WORDS = 400_000
 HOT = 4000
+HOT_WORDS = 400_000
 
 
 def split_words(text: str | None) -> list[bytes]:
@@ -183,7 +185,9 @@ def _places(kd: int, th: int, starts: np.ndarray) -> np.ndarray:
     return mix(mix(doc[:1] * ODD + doc[1:]) + starts.astype(np.uint64) * OTHER)
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, hot: int = HOT) -> DataFrame:
+def repeated_windows(
+    docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, hot: int = HOT, hot_words: int = HOT_WORDS
+) -> DataFrame:
     """kd, th, runs: for each document with any, runs (first, count) of windows whose words also start elsewhere. docs has
     kd, th (together a document's key) and text. The result is a table, so the bitmaps can go."""
     spark = docs.sparkSession
@@ -229,7 +233,12 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = S
         )
     )
     keys = cut(
-        contents.groupBy("key").agg(F.count("*").alias("n"), F.max("folded").alias("folded")).where("n > 1 OR folded")
+        contents.groupBy("key")
+        .agg(
+            F.count("*").alias("n"), F.sum(F.col("at.count").cast("long") + (window - 1)).alias("words"), F.max("folded").alias("folded")
+        )
+        .where("n > 1 OR folded")
+        .select("key", ((F.col("n") > hot) | (F.col("words") > hot_words)).alias("hot"))
     )
 
     # whole segments that occur twice
@@ -237,7 +246,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = S
     marks = segments.join(copied, ["key", "code"]).select("kd", "th", "start", "count")
 
     # segments to search, each different one once
-    searched = contents.join(keys.where(F.col("n") <= hot).select("key"), "key")
+    searched = contents.join(keys.where("NOT hot").select("key"), "key")
     wanted = context.broadcast(present(searched.select("at.place"), buckets))
     held.append(wanted)
 
@@ -287,8 +296,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = S
         .selectExpr("at.kd", "at.th", "CAST(at.start + run[0] AS INT)", "run[1]")
     )
 
-    # windows of minimizers with very many different segments
-    many = keys.where(F.col("n") > hot).select("key")
+    # windows of minimizers with very many different segments, or very long ones
+    many = keys.where("hot").select("key")
     if not many.isEmpty():
         hot_keys = context.broadcast(present(many, buckets))
         held.append(hot_keys)
@@ -302,7 +311,11 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = S
 
         each = saved(docs.mapInPandas(windows, "kd bigint, th bigint, start int, one bigint, two bigint"))
         again = each.groupBy("one", "two").count().where("count > 1").select("one", "two")
-        marks = marks.union(each.join(again, ["one", "two"]).select("kd", "th", "start", F.lit(1)))
+        places = each.join(again, ["one", "two"]).select("kd", "th", "start").distinct()
+        # neighbouring windows become one run, so a document's runs stay few
+        rank = F.row_number().over(Window.partitionBy("kd", "th").orderBy("start"))
+        islands = places.withColumn("island", F.col("start") - rank).groupBy("kd", "th", "island")
+        marks = marks.union(islands.agg(F.min("start"), F.count("*").cast("int")).drop("island"))
 
     runs = saved(marks.groupBy("kd", "th").agg(F.collect_set(F.struct("start", "count")).alias("runs")))
     for shared in held:
@@ -310,7 +323,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = S
     return runs
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, hot: int = HOT) -> DataFrame:
+def dedup_substrings(
+    docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, hot: int = HOT, hot_words: int = HOT_WORDS
+) -> DataFrame:
     """doc_id, n_words, n_removed and the kept words joined by single spaces, of every document."""
     keyed = docs.select(
         "doc_id",
@@ -318,7 +333,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, shard_words: int = S
         F.xxhash64("doc_id", "text").alias("kd"),
         F.xxhash64(F.lit("other"), "text", "doc_id").alias("th"),
     )
-    runs = repeated_windows(keyed.select("kd", "th", "text"), window, shard_words, hot)
+    runs = repeated_windows(keyed.select("kd", "th", "text"), window, shard_words, hot, hot_words)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
