@@ -1,7 +1,8 @@
-"""Bitmaps of fixed size that tell which 64-bit keys occur often enough in a whole DataFrame.
+"""Bitmaps of bounded size that tell which 64-bit keys occur often enough in a whole DataFrame.
 
-Tasks pack their keys by ranges (buckets); each bucket sets its own bits, so a bitmap is made without gathering keys and
-has the same size for every input. A key that occurs often enough always has its bit; others may have it by chance.
+Tasks pack their keys by ranges (buckets), four bytes for each key; each bucket sets its own bits, so a bitmap is made
+without gathering keys. The number of buckets follows the number of keys, so a bucket's keys fit a task at every size of
+the input. A key that occurs often enough always has its bit; others may have it by chance.
 """
 
 from __future__ import annotations
@@ -11,23 +12,37 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+#: At most so many bits; a bitmap is sent to all executors.
 BITS = 1 << 27
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Keys a bucket holds, at most about twice.
+BUCKET_KEYS = 1 << 21
 PACKED = "bucket int, keys binary"
 
 
-def n_buckets(spark: SparkSession) -> int:
-    return 1 << max(10, (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length())
+def _power(n: int) -> int:
+    return 1 << max(0, int(n) - 1).bit_length()
 
 
-def _shift(buckets: int) -> np.uint64:
-    return np.uint64(64 - (buckets.bit_length() - 1))
+def n_buckets(n_keys: int) -> int:
+    """Enough buckets for so many keys."""
+    return max(1 << 10, _power(-(-n_keys // BUCKET_KEYS)))
 
 
-def _slot(keys: np.ndarray, slots: int) -> np.ndarray:
-    return ((keys * _ODD) >> np.uint64(8)) % np.uint64(slots)
+def n_bits(n_keys: int, most: int = BITS) -> int:
+    """Bits for so many keys: few by-chance hits while ``most`` allows."""
+    return min(most, max(1 << 18, _power(4 * n_keys)))
+
+
+def _split(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """A key's bucket, and the 32 bits that follow the bucket's own."""
+    n = np.uint64(buckets.bit_length() - 1)
+    return keys >> (np.uint64(64) - n), ((keys << n) >> np.uint64(32)).astype(np.uint32)
+
+
+def _slot(low: np.ndarray, slots: int) -> np.ndarray:
+    return ((low.astype(np.uint64) * np.uint64(slots)) >> np.uint64(32)).astype(np.int64)
 
 
 def pack(arrays: Iterator[np.ndarray], buckets: int, most: int = 2, flush: int = 2_000_000) -> Iterator[pd.DataFrame]:
@@ -36,11 +51,11 @@ def pack(arrays: Iterator[np.ndarray], buckets: int, most: int = 2, flush: int =
     n = 0
 
     def written() -> pd.DataFrame:
-        keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        keys = np.repeat(keys, np.minimum(counts, most))
-        ends = np.searchsorted(keys >> _shift(buckets), np.arange(buckets, dtype=np.uint64), "right")
-        raw = keys.view(np.uint8).reshape(-1, 8)[:, :7]  # a bucket has its keys' highest byte
-        parts = [(b, raw[s:e].tobytes()) for b, (s, e) in enumerate(zip(np.append(0, ends[:-1]), ends)) if e > s]
+        keys = np.sort(np.concatenate(held))
+        keys = keys[np.append(np.ones(min(most, len(keys)), bool), keys[most:] != keys[:-most])]
+        high, low = _split(keys, buckets)
+        ends = np.searchsorted(high, np.arange(buckets, dtype=np.uint64), "right")
+        parts = [(b, low[s:e].tobytes()) for b, (s, e) in enumerate(zip(np.append(0, ends[:-1]), ends)) if e > s]
         return pd.DataFrame(parts, columns=["bucket", "keys"])
 
     for keys in arrays:
@@ -56,14 +71,12 @@ def pack(arrays: Iterator[np.ndarray], buckets: int, most: int = 2, flush: int =
 
 
 def bitmaps(packed: DataFrame, buckets: int, wanted: tuple[tuple[int, int], ...]) -> list[np.ndarray]:
-    """For each (times, bits) a bitmap, buckets x bytes, of the keys that occur at least so many times."""
-    slots = [bits // buckets for _, bits in wanted]
+    """For each (times, bits) a bitmap, buckets x bytes, of the keys that occur at least so many times. The driver gets no
+    more than the bits, compressed."""
+    slots = [max(8, bits // buckets) for _, bits in wanted]
 
     def mark(rows: pd.DataFrame) -> pd.DataFrame:
-        raw = np.frombuffer(b"".join(rows["keys"]), np.uint8).reshape(-1, 7)
-        wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :7] = raw
-        keys = np.sort(wide.view(np.uint64).ravel())
+        keys = np.sort(np.frombuffer(b"".join(rows["keys"]), np.uint32))
         made = []
         for (times, _), n in zip(wanted, slots):
             on = np.zeros(n, bool)
@@ -74,7 +87,7 @@ def bitmaps(packed: DataFrame, buckets: int, wanted: tuple[tuple[int, int], ...]
 
     out = [np.zeros((buckets, n // 8), np.uint8) for n in slots]
     ends = np.cumsum([n // 8 for n in slots])[:-1]
-    for r in packed.groupBy("bucket").applyInPandas(mark, "bucket int, bits binary").toLocalIterator():
+    for r in packed.groupBy("bucket").applyInPandas(mark, "bucket int, bits binary").collect():
         for bitmap, part in zip(out, np.split(np.frombuffer(zlib.decompress(r["bits"]), np.uint8), ends)):
             bitmap[r["bucket"]] = part
     return out
@@ -95,7 +108,6 @@ def present(keys: DataFrame, buckets: int, bits: int = BITS) -> np.ndarray:
 
 def known(seen: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys have their bit."""
-    buckets, slots = len(seen), seen.shape[1] * 8
-    slot = _slot(keys & np.uint64((1 << 56) - 1), slots).astype(np.int64)
-    bucket = (keys >> _shift(buckets)).astype(np.int64)
-    return (seen[bucket, slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+    bucket, low = _split(keys, len(seen))
+    slot = _slot(low, seen.shape[1] * 8)
+    return (seen[bucket.astype(np.int64), slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1

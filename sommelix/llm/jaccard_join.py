@@ -1,36 +1,40 @@
 """Jaccard join of shingle sets by universe partition and pigeonhole.
 
-Sets are distinct hashes of five-word shingles. Two sets of sizes r >= s with a Jaccard similarity of 3/4 or more differ in
-at most (r + s) / 7 elements. The universe of hashes is split into segments, more of them the larger the sizes of the
-band (sizes from a power of two up to the next). If the segments picked from a set would all differ from the other set's,
-by one element or, where one-deletion neighbourhoods are used, by two, and that is more in all than the sets may differ,
-then the sets are not similar. So similar sets share a signature: the hash of a picked segment's part of the set, or of
-that part without one element.
-
-Documents with equal sets are one class, and one document stands for it from here on.
-
-1. All classes write the signatures of their own band, and of the band below where that may hold a smaller partner.
-   They are packed by ranges of signatures; bitmaps of fixed size tell those that were written at least twice, and often.
-2. Allocation by cost: a segment whose signatures nobody else wrote surely differs and costs nothing. A document whose such
-   segments already exceed what may differ has no partner and ends here; the others pick just as many more as needed,
-   those that are not frequent first, and of these those with most elements. Sets below DELETING also learn how many of
-   their elements no other set has; two sets whose own elements exceed what may differ are never compared.
-3. Each class is compared with one leader (of a picked signature's classes the one with the fewest parts of its own, as
-   the original of many copies is; the most frequent leader is taken), which connects large groups of near copies without
-   pairs; then all pairs of fitting sizes that share
-   a picked signature and are not yet in the same component are compared. Every comparison is exact, on the sets.
-
-A link between different sets is never lost: the pigeonhole holds for every document with enough parts, and the few whose
-hashes fall into too few segments are compared with all documents, in blocks of ``BLOCK`` (step 4).
-
-Hashes have 64 bits. Defined cases: null texts and texts without words have no set and link with nothing; fewer
-than five words are one shingle; null ids count as documents, a component of null ids only has a null id; repeated rows are
-equal sets; an empty table gives an empty result; other columns are ignored.
+Sets are distinct hashes of five-word shingles. Two sets of sizes r >= s have a Jaccard similarity of 3/4 or more exactly
+when they differ in at most (r + s) / 7 elements. Documents with equal sets are one class, and one document stands for
+it from here on.
+
+1. A bitmap tells which elements occur in at least two classes. An element of one class only differs from every partner, so
+   a class's own elements count against what may differ, and a pair's add up. A class that has more of them than may
+   differ ends here; of the others what is left, the shared part, is kept, and only shared parts are joined.
+2. The universe of hashes is split into segments, more of them the larger the sizes of the band (sizes from a power of two up
+   to the next). A class indexes its subset of each segment, and each subset of two or more also without each one of its
+   elements (one-deletion neighbourhood). A picked subset that finds no equal key in a partner differs by one element
+   at least, by two with its deletions. If the picked ones together exceed what may still differ, similar sets share a key.
+3. Allocation by cost: a segment whose keys nobody else wrote surely differs and costs nothing. The others are picked
+   as long as needed, those with frequent keys last, and of the rest those with most elements first. Below FINE each
+   element is a segment.
+4. Rounds of leaders: each class is compared with one leader, the class with the fewest elements of its own that shares a
+   key with it, as the original of many copies is. Those that do not link go on to the next round among themselves.
+   Large groups of near copies are connected by one comparison each.
+5. Classes that share a picked key and are still apart are compared, unless what they had against a common leader
+   already tells that they differ too much: with e and f differences from the leader, of which all but x and y are
+   elements of their own, two classes differ in e + f - 2 min(x, y) elements at least. Within a key, the members of
+   its largest component never meet each other. Every comparison is exact, on the sets.
+
+A link between different sets is never lost: the pigeonhole holds for every class with enough parts, and the few whose
+hashes fall into too few segments are compared with all classes, in blocks of ``BLOCK``.
+
+Classes have 128 bits, elements 64. Two different shingles of the same two compared sets take one hash with a chance of
+about 10^-13 for sets of a thousand shingles; a comparison is wrong only then. Defined cases: null texts and texts without words
+have no set and link with nothing; fewer than five words are one shingle; null ids count as documents, a component of
+null ids only has a null id; repeated rows are equal sets; an empty table gives an empty result; other columns, of any
+names, are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,20 +43,22 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sommelix.llm.bitmap import BITS, PACKED, bitmaps, known, n_buckets, pack
+from sommelix.llm.bitmap import BITS, PACKED, bitmaps, known, n_bits, n_buckets, pack
 from sommelix.llm.common import cut, maybe_in, per_text, saved
 from sommelix.llm.components import components
-from sommelix.llm.hashing import ODD, OTHER, RunHasher, WordHasher, mix, sorted_distinct
+from sommelix.llm.hashing import ODD, RunHasher, WordHasher, mix, sorted_distinct
 
 SHINGLE = 5
-#: Sets of up to so many elements have only equal partners.
+#: Sets of up to so many elements have only equal partners: 2 of 3 is below 3/4, 3 of 4 is not.
 ALONE = 2
-#: Sizes below FINE: each element is a segment. Below DELETING: few segments with one-deletion neighbourhoods.
+#: Sizes below FINE: each element is a segment.
 FINE = 32
-DELETING = 128
 BLOCK = 1000
-#: Signatures written so often are picked last; a bitmap of a quarter of the other's size tells them.
+#: Keys written so often are picked last; a bitmap of a quarter of the other's size tells them.
 OFTEN = 8
+ROUNDS = 3
+#: Keys by which a class looks for its leader.
+LEAD_KEYS = 8
 
 
 class Shingles:
@@ -70,112 +76,93 @@ class Shingles:
         return sorted_distinct(self.runs(starts, np.minimum(starts + self.k, len(words))))
 
 
-def class_of(tokens: np.ndarray) -> int:
-    """A signed 64-bit number for the set."""
+def class_of(tokens: np.ndarray) -> bytes:
+    """128 bits for the set."""
     import xxhash
 
-    return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).astype(np.int64))
+    return xxhash.xxh3_128_digest(tokens.tobytes())
 
 
 def band_of(size: int) -> int:
     return size.bit_length() - 1
 
 
-def n_segments(band: int) -> int:
-    """Enough segments that, with hashed elements, those not empty exceed what may differ with room to spare."""
-    high = (2 << band) - 1
-    if high < DELETING:
-        return high // 5 + 2
-    return int(high * (0.5 if high < 256 else 0.45 if high < 512 else 0.4 if high < 1024 else 0.36)) + 1
+def n_segments(band: int, spread: float = 1.0) -> int:
+    """So many segments that their worth, two for most, exceeds what may differ with room to spare."""
+    return int(spread * (((2 << band) - 1) // 5 + 2))
 
 
 class Parts:
-    """A set's non-empty segments in a band: signatures, the segment of each, and each segment's size and worth."""
+    """The non-empty segments of a set's shared part in a band: keys, the segment of each, and each segment's size and worth."""
 
-    def __init__(self, tokens: np.ndarray, band: int):
+    def __init__(self, tokens: np.ndarray, band: int, spread: float = 1.0):
         salt = np.uint64((band + 1) * 0x1000003)
-        high = (2 << band) - 1
         tokens = mix(tokens ^ salt)
-        if high < FINE:
+        if (2 << band) - 1 < FINE:
             self.keys = tokens
             self.owner = np.arange(len(tokens))
             self.sizes = self.worth = np.ones(len(tokens), np.int64)
             return
         tokens = np.sort(tokens)  # by segment too, as segments are ranges of hashes
-        segment = ((tokens >> np.uint64(32)) * np.uint64(n_segments(band))) >> np.uint64(32)
+        segment = ((tokens >> np.uint64(32)) * np.uint64(n_segments(band, spread))) >> np.uint64(32)
         starts = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
         self.sizes = np.diff(np.append(starts, len(tokens)))
         sums = np.add.reduceat(tokens, starts)
         at = segment[starts] * ODD + salt
-        self.keys, self.owner = mix(sums ^ at), np.arange(len(starts))
-        self.worth = np.ones(len(starts), np.int64)
-        if high < DELETING:  # parts of two or more also stand for what is left without an element
-            of = np.repeat(self.owner, self.sizes)
-            more = self.sizes[of] >= 2
-            self.keys = np.concatenate([self.keys, mix(((sums[of] - tokens) ^ at[of])[more])])
-            self.owner = np.concatenate([self.owner, of[more]])
-            self.worth = np.where(self.sizes >= 2, 2, 1)
+        of = np.repeat(np.arange(len(starts)), self.sizes)
+        more = self.sizes[of] >= 2  # these also stand for what is left without an element
+        self.keys = np.concatenate([mix(sums ^ at), mix(((sums[of] - tokens) ^ at[of])[more])])
+        self.owner = np.concatenate([np.arange(len(starts)), of[more]])
+        self.worth = np.where(self.sizes >= 2, 2, 1)
 
     def pick(self, open_: np.ndarray, need: int, often: np.ndarray | None = None) -> np.ndarray:
         """Segments to pick, of those open: not frequent, then largest ones first until their worth is enough."""
+        if need <= 0:
+            return np.zeros(0, np.int64)
         chosen = np.flatnonzero(open_)
         often = np.zeros(len(chosen), bool) if often is None else often[chosen]
         chosen = chosen[np.lexsort((-self.sizes[chosen], often))]
         return chosen[: int(np.searchsorted(np.cumsum(self.worth[chosen]), need)) + 1]
 
     def only(self, segments: np.ndarray) -> np.ndarray:
-        """Which signatures belong to these segments."""
+        """Which keys belong to these segments."""
         on = np.zeros(len(self.sizes), bool)
         on[segments] = True
         return on[self.owner]
 
 
-def signatures(tokens: np.ndarray) -> tuple[Parts, tuple[Parts, np.ndarray, int] | None]:
-    """Parts in the own band; in the band below (if a partner may be there) parts, the picked segments and the bound."""
-    r = len(tokens)
-    own, low = band_of(r), band_of(-(-3 * r // 4))
-    if low == own:
-        return Parts(tokens, own), None
-    below = Parts(tokens, low)
-    may_differ = (r + (2 << low) - 1) // 7
-    return Parts(tokens, own), (below, below.pick(np.ones(len(below.sizes), bool), may_differ + 1), may_differ)
+def may_differ(r: int, s: int) -> int:
+    """Elements in which linked sets of these sizes differ at most."""
+    return (r + s) // 7
 
 
-def elements(tokens: np.ndarray) -> np.ndarray:
-    """Keys of a set's elements themselves, the same in every band."""
-    return mix(tokens ^ OTHER)
+def below(r: int, own: int, tokens: np.ndarray, spread: float) -> tuple[Parts, np.ndarray, int] | None:
+    """If a smaller partner of a set of r elements, own of which nobody else has, may be in the band below: parts there,
+    the picked segments, and how many of their elements may differ."""
+    low = band_of(-(-3 * r // 4))
+    if low == band_of(r):
+        return None
+    parts, left = Parts(tokens, low, spread), may_differ(r, (2 << low) - 1) - own
+    return parts, parts.pick(np.ones(len(parts.sizes), bool), left + 1), left
 
 
-def written(tokens: np.ndarray) -> np.ndarray:
-    """All keys a set writes in step 1; sets of up to 2 elements have no partner but equal sets (2 of 3 is below 3/4, 3 of 4
-    is not). Partners of sets below DELETING are below twice that, and write their elements too."""
-    own, low = signatures(tokens)
-    keys = [own.keys] if low is None else [own.keys, low[0].keys[low[0].only(low[1])]]
-    return np.concatenate([*keys, elements(tokens)] if len(tokens) < 2 * DELETING else keys)
-
-
-def repeated(docs: DataFrame, buckets: int, bits: int) -> list[np.ndarray]:
-    """Bitmaps of the signatures that all documents together write at least twice, and OFTEN times."""
-
-    def packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles()
-        sets = (shingles(text) for batch in batches for text in batch.column("text").to_pylist())
-        for rows in pack((written(s) for s in sets if len(s) > ALONE), buckets, OFTEN):
-            yield pa.RecordBatch.from_pandas(rows, pa.schema([("bucket", pa.int32()), ("keys", pa.binary())]), preserve_index=False)
-
-    return bitmaps(docs.select("text").mapInArrow(packing, PACKED), buckets, ((2, bits), (OFTEN, bits // 4)))
+def written(r: int, own: int, tokens: np.ndarray, spread: float = 1.0) -> np.ndarray:
+    """All keys that a set writes: those of its own band, and the picked ones of the band below."""
+    keys, low = Parts(tokens, band_of(r), spread).keys, below(r, own, tokens, spread)
+    return keys if low is None else np.concatenate([keys, low[0].keys[low[0].only(low[1])]])
 
 
 class Looker:
-    """Allocation by cost: which of a set's signatures others may have written, and which to look for."""
+    """Allocation by cost: which of a set's keys others have written, and which to look for."""
 
-    def __init__(self, seen: np.ndarray, often: np.ndarray):
-        self.seen, self.often = seen, often
+    def __init__(self, seen: np.ndarray, often: np.ndarray, spread: float = 1.0):
+        self.seen, self.often, self.spread = seen, often, spread
 
-    def _ask(self, parts: Parts, among: np.ndarray | None, may_differ: int):
-        """Signatures others may have, the worth of segments that surely differ, the picked signatures, and whether the
-        segments were too few."""
+    def _ask(self, parts: Parts, among: np.ndarray | None, left: int):
+        """Keys others have and which of these are frequent, the worth of segments that surely differ, the picked keys, and
+        whether the segments were too few."""
         hit = known(self.seen, parts.keys)
+        frequent = known(self.often, parts.keys[hit])
         open_ = np.zeros(len(parts.sizes), bool)
         open_[parts.owner[hit]] = True
         allowed = np.ones(len(parts.sizes), bool)
@@ -183,29 +170,31 @@ class Looker:
             allowed[:] = False
             allowed[among] = True
         sure = int(parts.worth[~open_ & allowed].sum())
-        need = may_differ + 1 - sure if may_differ else 0  # equal sets are one class, others differ
         often = np.zeros(len(parts.sizes), bool)
-        often[parts.owner[hit][known(self.often, parts.keys[hit])]] = True
-        picked = parts.pick(open_ & allowed, need, often) if need > 0 else np.zeros(0, np.int64)
-        short = need > 0 and int(parts.worth[picked].sum()) < need
-        return hit, sure, parts.keys[hit & parts.only(picked)], short
-
-    def __call__(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool, int, int]:
-        """Signatures under which the set may be found, those it looks for, whether it is too short of segments, how many
-        parts and how many elements surely are its own."""
-        r = len(tokens)
-        own, low = signatures(tokens)
-        hit, sure, picked, short = self._ask(own, None, 2 * r // 7)
+        often[parts.owner[hit][frequent]] = True
+        picked = parts.pick(open_ & allowed, left + 1 - sure, often)
+        short = int(parts.worth[picked].sum()) < left + 1 - sure
+        return hit, frequent, sure, parts.keys[hit & parts.only(picked)], short
+
+    def __call__(self, r: int, own: int, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool, int]:
+        """Keys under which the set may be found, those it looks for, those by which it finds a leader, whether it is too
+        short of segments, and how many elements and parts surely are its own."""
+        parts = Parts(tokens, band_of(r), self.spread)
+        hit, frequent, sure, picked, short = self._ask(parts, None, may_differ(r, r) - own)
+        if may_differ(r, r) == 0:  # a different set of this size or less differs too much
+            picked, short = picked[:0], False
         # a partner in the band above has written its picked parts only, so there the others prove nothing
-        above = band_of(4 * r // 3) > band_of(r)
-        kept = own.keys[hit] if above or sure <= (r + 4 * r // 3) // 7 else own.keys[:0]
-        alone = int((~known(self.seen, elements(tokens))).sum()) if r < DELETING else 0
+        most = 4 * r // 3
+        kept = parts.keys[hit]
+        lead = kept[np.lexsort((kept, ~frequent))[:LEAD_KEYS]]
+        if band_of(most) == band_of(r) and own + sure > may_differ(r, most):
+            kept = kept[:0]
+        low = below(r, own, tokens, self.spread)
         if low is not None:
-            _, _, more, short_low = self._ask(*low)
+            _, _, _, more, short_low = self._ask(*low)
             picked, short = np.concatenate([picked, more]), short or short_low
-        if alone > (r + 4 * r // 3) // 7:
-            kept, picked, short = kept[:0], picked[:0], False
-        return kept, picked, short, sure, alone
+            lead = np.concatenate([lead, more[:LEAD_KEYS]])
+        return kept, picked, lead, short, own + sure
 
 
 def classes_of(docs: DataFrame) -> DataFrame:
@@ -220,185 +209,243 @@ def classes_of(docs: DataFrame) -> DataFrame:
 
         return work
 
-    fields = {"n_shingles": ("bigint", pa.int64()), "class": ("bigint", pa.int64())}
+    fields = {"n_shingles": ("bigint", pa.int64()), "class": ("binary", pa.binary())}
     return per_text(docs, make, fields, ("doc_id", "kd")).select("row.*", *fields)
 
 
 def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """docs without all but one document of each class. Only documents that may be such copies are moved."""
     least = classes.where("class IS NOT NULL").groupBy("class").agg(F.min("kd").alias("least"), F.max("kd").alias("most"))
-    copies = cut(classes.join(least.where("least <> most"), "class").where("kd <> least").select("kd"))
-    rest = maybe_in(docs, ["kd"], copies).join(copies, "kd", "left_anti").select(docs.columns)
-    return maybe_in(docs, ["kd"], copies, "left_anti").union(rest)
+    copies = cut(classes.join(least.where("least <> most"), "class").where("kd <> least").select("kd").distinct())
+    again = classes.groupBy("kd").count().where("count > 1").select("kd")  # repeated rows
+    special = cut(copies.union(again))
+    moved = maybe_in(docs, ["kd"], special).dropDuplicates(["kd"])
+    return maybe_in(docs, ["kd"], special, "left_anti").union(moved.join(copies, "kd", "left_anti").select(docs.columns))
+
+
+def _bitmaps(rows: DataFrame, keys: Callable, n_keys: int, most_bits: int, often: int) -> list[np.ndarray]:
+    """Bitmaps of the keys that all rows write at least twice, and (a smaller one) often; keys() gives a function of a batch."""
+    buckets, bits = n_buckets(n_keys), n_bits(n_keys, most_bits)
+
+    def packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = keys()
+        for packed in pack((x for batch in batches for x in of(batch)), buckets, often):
+            yield pa.RecordBatch.from_pandas(packed, pa.schema([("bucket", pa.int32()), ("keys", pa.binary())]), preserve_index=False)
 
+    return bitmaps(rows.mapInArrow(packing, PACKED), buckets, ((2, bits), (often, bits // 4)))
 
-def open_sets(docs: DataFrame, shared: Broadcast) -> DataFrame:
-    """kd, class, n (set size), kept and picked (packed signatures), short, and the numbers of parts and of elements of its
-    own, of documents that may have a partner."""
+
+def shared_parts(docs: DataFrame, n_elements: int, bits: int) -> DataFrame:
+    """id, class, n (set size), own (elements nobody else has), part (the packed rest) of classes that may have a partner.
+    docs has one document of each class."""
+
+    def elements():
+        shingles = Shingles()
+        return lambda batch: (s for text in batch.column("text").to_pylist() if len(s := shingles(text)) > ALONE)
+
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(_bitmaps(docs.select("text"), elements, n_elements, bits, 2)[0])
 
     def make():
-        shingles, look = Shingles(), Looker(*shared.value)
+        shingles = Shingles()
 
         def work(texts):
             columns: list[list] = [[] for _ in fields]
             for text in texts:
                 tokens, row = shingles(text), [None] * len(fields)
-                if len(tokens) > ALONE:
-                    kept, picked, short, sure, alone = look(tokens)
-                    if len(kept) or len(picked) or short:
-                        row = [class_of(tokens), len(tokens), kept.tobytes(), picked.tobytes(), short, sure, alone]
+                if (r := len(tokens)) > ALONE:
+                    part = tokens[known(shared.value, tokens)]
+                    if r - len(part) <= may_differ(r, 4 * r // 3):
+                        row = [class_of(tokens), r, r - len(part), part.tobytes()]
                 for column, value in zip(columns, row):
                     column.append(value)
             return columns
 
         return work
 
-    fields = {
-        "class": ("bigint", pa.int64()),
-        "n": ("int", pa.int32()),
-        "kept": ("binary", pa.binary()),
-        "picked": ("binary", pa.binary()),
-        "short": ("boolean", pa.bool_()),
-        "sure": ("int", pa.int32()),
-        "alone": ("int", pa.int32()),
-    }
-    return per_text(docs, make, fields, ("kd",)).where("class IS NOT NULL").select("row.kd", *fields)
+    fields = {"class": ("binary", pa.binary()), "n": ("int", pa.int32()), "own": ("int", pa.int32()), "part": ("binary", pa.binary())}
+    rows = per_text(docs, make, fields, ()).where("class IS NOT NULL").select(F.monotonically_increasing_id().alias("id"), *fields)
+    out = saved(rows)
+    shared.destroy()
+    return out
 
 
-def sets_of(docs: DataFrame, described: DataFrame, classes: DataFrame) -> DataFrame:
-    """class and set of the given classes, each made again from one document's text."""
-    chosen = described.join(classes, "class", "left_semi").groupBy("class").agg(F.min("kd").alias("kd")).select("kd")
+def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
+    for r, own, part in zip(batch.column("n").to_pylist(), batch.column("own").to_pylist(), batch.column("part").to_pylist()):
+        yield r, own, np.frombuffer(part, np.uint64)
 
-    def make():
-        shingles = Shingles()
 
-        def work(texts):
-            sets = [shingles(t) for t in texts]
-            return [[class_of(s) for s in sets], [s.tobytes() for s in sets]]
+def described(parts: DataFrame, bits: int, spread: float) -> DataFrame:
+    """id, n, own and the packed keys kept, picked and lead, short, and rank of each class that may have a partner."""
 
-        return work
+    def keys():
+        return lambda batch: (written(*x, spread) for x in _sets(batch))
 
-    fields = {"class": ("bigint", pa.int64()), "set": ("binary", pa.binary())}
-    # documents that were taken by chance only repeat a class or add one that nothing joins
-    return per_text(maybe_in(docs, ["kd"], chosen), make, fields, ()).select(*fields).dropDuplicates(["class"])
+    context = parts.sparkSession.sparkContext
+    n_keys = 2 * (parts.agg(F.sum("n")).first()[0] or 0)
+    shared = context.broadcast(_bitmaps(parts.select("n", "own", "part"), keys, n_keys, bits, OFTEN))
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = Looker(*shared.value, spread)
+        for batch in batches:
+            made = [look(*x) for x in _sets(batch)]
+            columns = [pa.array([k.tobytes() for k in x], pa.binary()) for x in list(zip(*made))[:3]] if made else [pa.array([], pa.binary())] * 3
+            short, rank = pa.array([m[3] for m in made], pa.bool_()), pa.array([m[4] for m in made], pa.int32())
+            out = pa.RecordBatch.from_arrays([*[batch.column(c) for c in same], *columns, short, rank], names=[*same, "kept", "picked", "lead", "short", "rank"])
+            yield out
+
+    same = ("id", "n", "own")
+    schema = "id bigint, n int, own int, kept binary, picked binary, lead binary, short boolean, rank int"
+    out = saved(parts.select(*same, "part").mapInArrow(describe, schema).where("length(kept) + length(picked) > 0 OR short"))
+    shared.destroy()
+    return out
 
 
-def _exploded(rows: DataFrame, column: str) -> DataFrame:
-    """class, n, sure, alone, key: a row for each signature in a packed column."""
+def _exploded(rows: DataFrame, column: str, *same: str) -> DataFrame:
+    """The given columns and key: a row for each key in a packed column."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = [np.frombuffer(k, np.int64) for k in batch.column(column).to_pylist()]
             if keys:
-                of = np.repeat(np.arange(len(keys)), list(map(len, keys)))
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c).take(pa.array(of)) for c in same], pa.array(np.concatenate(keys))], names=[*same, "key"]
-                )
+                of = pa.array(np.repeat(np.arange(len(keys)), list(map(len, keys))))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).take(of) for c in same], pa.array(np.concatenate(keys))], names=[*same, "key"])
 
-    same = ("class", "n", "sure", "alone")
-    schema = "class bigint, n int, sure int, alone int, key bigint"
+    types = dict(rows.dtypes)
+    schema = ", ".join([*[f"{c} {types[c]}" for c in same], "key bigint"])
     return rows.where(F.length(column) > 0).select(*same, column).mapInArrow(explode, schema)
 
 
-def _fit() -> Column:
-    """Sizes m, n of different sets that may link, and elements of their own that do not exceed what may differ. Different
-    sets of one size differ in two elements at least."""
-    sizes = (100 * F.least("m", "n") >= 75 * F.greatest("m", "n")) & ((F.col("m") != F.col("n")) | (F.col("m") >= 7))
-    return sizes & (7 * (F.col("alone") + F.col("other_alone")) <= F.col("m") + F.col("n"))
+def _fit(n: str, own: str, m: str, other: str) -> Column:
+    """Sizes n, m of different sets that may link, with elements of their own that do not exceed what may differ."""
+    n, own, m, other = map(F.col, (n, own, m, other))
+    return (100 * F.least(n, m) >= 75 * F.greatest(n, m)) & (7 * (own + other) <= n + m) & ((n != m) | (n >= 7))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, described: DataFrame) -> DataFrame:
-    """The pairs a, b of classes whose sets link: 100 * intersection >= 75 * union. Sets are made of the texts again."""
+def compared(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """a, b, d (elements in which the sets differ) and link of the pairs a, b, which are compared on their sets."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            good = []
+            d = []
             for x, y in zip(batch["x"], batch["y"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(x) + len(y) - len(sorted_distinct(np.concatenate([x, y])))
-                good.append(100 * both >= 75 * (len(x) + len(y) - both))
-            yield batch.loc[good, ["a", "b"]]
-
-    classes = pairs.select("a").union(pairs.select("b")).toDF("class").distinct()
-    sets = saved(sets_of(docs, described, classes))
-    full = pairs.join(sets.select(F.col("class").alias("a"), F.col("set").alias("x")), "a").join(
-        sets.select(F.col("class").alias("b"), F.col("set").alias("y")), "b"
-    )
-    return cut(full.select("a", "b", "x", "y").mapInPandas(check, "a bigint, b bigint"))
-
-
-def _short_links(docs: DataFrame, described: DataFrame, classes_: DataFrame, block: int = BLOCK) -> list[DataFrame]:
-    """Links of sets with too few segments: a stated query set, compared with every document in blocks."""
-    classes = cut(described.where("short").select("class").distinct())
-    n = classes.count()
+                n = (len(x) + len(y)) // 8
+                both = len(sorted_distinct(np.frombuffer(x + y, np.uint64)))
+                d.append(2 * both - n)
+            d = np.array(d, np.int64) + batch["own"].to_numpy()
+            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "d": d.astype(np.int32), "link": 7 * d <= batch["n"].to_numpy()})
+
+    of = lambda i, p: parts.select(F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("own").alias(f"own_{i}"), F.col("part").alias(p))
+    full = pairs.select("a", "b").join(of("a", "x"), "a").join(of("b", "y"), "b")
+    full = full.select("a", "b", (F.col("own_a") + F.col("own_b")).alias("own"), (F.col("n_a") + F.col("n_b")).alias("n"), "x", "y")
+    return cut(full.mapInPandas(check, "a bigint, b bigint, d int, link boolean"))
+
+
+def _short_links(parts: DataFrame, rows: DataFrame, block: int) -> list[DataFrame]:
+    """Links a, b of sets with too few segments: a stated query set, compared with every class in blocks."""
+    short = cut(parts.join(rows.where("short").select("id"), "id", "left_semi").select("id", "n", "own", "part"))
+    n = short.count()
     out = []
     for k in range(-(-n // block)):
-        part = classes.where(F.pmod(F.xxhash64("class"), F.lit(-(-n // block))) == k)
-        rows = sets_of(docs, classes_, part).join(part, "class").collect()
-        shared = docs.sparkSession.sparkContext.broadcast([(r["class"], bytes(r["set"])) for r in rows])
+        asked = short.where(F.pmod(F.xxhash64("id"), F.lit(-(-n // block))) == k).collect()
+        shared = parts.sparkSession.sparkContext.broadcast([(r["id"], r["n"], r["own"], bytes(r["part"])) for r in asked])
 
         def compare(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            asked, shingles = [(c, np.frombuffer(s, np.uint64)) for c, s in shared.value], Shingles()
+            asked = [(i, n, own, np.frombuffer(p, np.uint64)) for i, n, own, p in shared.value]
             for batch in batches:
                 a, b = [], []
-                for text in batch.column("text").to_pylist():
-                    tokens = shingles(text)
-                    for c, s in asked:
-                        if len(tokens) and 100 * min(len(s), len(tokens)) >= 75 * max(len(s), len(tokens)):
-                            both = len(s) + len(tokens) - len(sorted_distinct(np.concatenate([s, tokens])))
-                            if 100 * both >= 75 * (len(s) + len(tokens) - both):
-                                a.append(c)
-                                b.append(class_of(tokens))
+                for i, (n, own, p) in zip(batch.column("id").to_pylist(), _sets(batch)):
+                    for j, m, other, q in asked:
+                        if i != j and 7 * abs(n - m) <= n + m:
+                            d = own + other + 2 * len(sorted_distinct(np.concatenate([p, q]))) - len(p) - len(q)
+                            if 7 * d <= n + m:
+                                a.append(j)
+                                b.append(i)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-        out.append(cut(docs.select("text").mapInArrow(compare, "a bigint, b bigint")))
+        out.append(cut(parts.select("id", "n", "own", "part").mapInArrow(compare, "a bigint, b bigint")))
     return out
 
 
-def jaccard_groups(docs: DataFrame, bits: int = BITS) -> DataFrame:
-    """doc_id, n_shingles, class (of equal sets) and component (of linked classes, null without a set)."""
-    buckets = n_buckets(docs.sparkSession)
-    docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("kd"))
-    classes = cut(classes_of(docs))
-    single = one_of_each(docs, classes)
-    shared = docs.sparkSession.sparkContext.broadcast(repeated(single, buckets, bits))
-    described = saved(open_sets(single, shared))
-    shared.destroy()
-    kept, picked = _exploded(described, "kept"), _exploded(described, "picked")
-
-    # one leader for each class
-    leaders = kept.groupBy("key").agg(
-        F.min(F.struct("sure", "class", "n", "alone")).alias("lead"), F.min("class").alias("one"), F.max("class").alias("last")
-    )
-    leaders = leaders.where("one <> last").select(
-        "key", F.col("lead.class").alias("lead"), F.col("lead.n").alias("m"), F.col("lead.alone").alias("other_alone")
-    )
-    led = picked.join(leaders, "key").where((F.col("class") != F.col("lead")) & _fit()).groupBy("class", "lead").count()
-    first = led.groupBy(F.col("class").alias("a")).agg(F.max_by("lead", F.struct("count", "lead")).alias("b"))
-    links = verified(cut(first), docs, classes)
-    for more in _short_links(docs, described, classes):
+def led(rows: DataFrame, parts: DataFrame) -> DataFrame | None:
+    """a, b, d, link: each class of rows compared with a leader among them, if any has one."""
+    rank = F.struct("rank", (-F.col("n")).alias("size"), "id", "own")
+    found = _exploded(rows, "kept", "id", "n", "own", "rank").union(_exploded(rows, "picked", "id", "n", "own", "rank"))
+    leaders = found.groupBy("key").agg(F.min(rank).alias("lead"), F.min("id").alias("one"), F.max("id").alias("last")).where("one <> last")
+    leaders = leaders.select("key", F.col("lead.id").alias("b"), (-F.col("lead.size")).alias("m"), F.col("lead.own").alias("other"))
+    asking = _exploded(rows, "lead", "id", "n", "own")
+    votes = asking.join(leaders, "key").where((F.col("id") != F.col("b")) & _fit("n", "own", "m", "other")).groupBy("id", "b").count()
+    first = cut(votes.groupBy(F.col("id").alias("a")).agg(F.max_by("b", F.struct("count", "b")).alias("b")))
+    return None if first.isEmpty() else compared(first, parts)
+
+
+def linked(parts: DataFrame, bits: int = BITS, spread: float = 1.0, rounds: int = ROUNDS, block: int = BLOCK) -> DataFrame:
+    """node and component: of the ids of classes that link with another one, the smallest id they are connected with."""
+    rows = described(parts, bits, spread)
+    spark = parts.sparkSession
+    links = spark.createDataFrame([], "a bigint, b bigint")
+    for more in _short_links(parts, rows, block):
         links = links.union(more)
 
-    # all pairs that share a picked signature and are still apart
-    def placed(rows: DataFrame, groups: DataFrame) -> DataFrame:
-        return rows.join(groups.withColumnRenamed("node", "class"), "class", "left").withColumn(
-            "component", F.coalesce("component", "class")
-        )
-
+    # rounds of leaders; lead and e of each round are kept for the bound below
+    facts, apart = rows.select("id"), rows
+    for k in range(rounds):
+        if (answers := led(apart, parts)) is None:
+            rounds = k
+            break
+        links = links.union(answers.where("link").select("a", "b"))
+        facts = facts.join(answers.select(F.col("a").alias("id"), F.col("b").alias(f"lead{k}"), F.col("d").alias(f"e{k}")), "id", "left")
+        in_link = answers.where("link").select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        apart = saved(apart.join(in_link, "id", "left_anti"))
     groups = components(links)
-    found, asking = placed(kept, groups), placed(picked, groups)
-    both = found.select("key", "component").union(asking.select("key", "component")).groupBy("key")
-    split = cut(both.agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("key"))
-    left = asking.join(split, "key").select("key", F.col("class").alias("a"), "n", "alone", F.col("component").alias("c"))
-    right = found.join(split, "key").select(
-        "key", F.col("class").alias("b"), F.col("n").alias("m"), F.col("alone").alias("other_alone"), F.col("component").alias("d")
+
+    # pairs that share a picked key and are still apart
+    facts = facts.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = saved(rows.join(facts, "id"))
+    leads = [c for k in range(rounds) for c in (f"lead{k}", f"e{k}")]
+    same = ("id", "n", "own", "component", *leads)
+    places = _exploded(rows, "kept", "component").union(_exploded(rows, "picked", "component"))
+    counts = places.groupBy("key", "component").count()
+    split = counts.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("major"), F.count("*").alias("several"))
+    split = cut(split.where("several > 1").drop("several"))
+    if split.isEmpty():
+        return groups
+    mine = maybe_in(_exploded(rows, "picked", *same), ["key"], split).join(split, "key")
+    theirs = maybe_in(_exploded(rows, "kept", *same), ["key"], split).join(split, "key")
+    theirs = theirs.select("key", "major", *[F.col(c).alias(f"{c}_") for c in same])
+    close = F.lit(True)
+    for k in range(rounds):
+        e, f = F.col(f"e{k}"), F.col(f"e{k}_")
+        least = e + f - 2 * F.least(e - F.col("own"), f - F.col("own_"))
+        known_far = (F.col(f"lead{k}") == F.col(f"lead{k}_")) & (7 * least > F.col("n") + F.col("n_"))
+        close = close & ~F.coalesce(known_far, F.lit(False)) & ~F.coalesce(F.col(f"lead{k}") == F.col("id_"), F.lit(False))
+        close = close & ~F.coalesce(F.col(f"lead{k}_") == F.col("id"), F.lit(False))
+    fits = (F.col("component") != F.col("component_")) & _fit("n", "own", "n_", "own_") & close
+    theirs = theirs.drop("major")
+    is_major = F.col("component") == F.col("major")
+    one = mine.where(~is_major).join(theirs, "key")
+    other = mine.where(is_major).join(theirs, "key").where("component_ <> major")
+    pairs = [x.where(fits).select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b")).distinct() for x in (one, other)]
+    left = cut(pairs[0].union(pairs[1]).distinct())
+    if left.isEmpty():
+        return groups
+    late = compared(left, parts).where("link").select("a", "b")
+    return groups if late.isEmpty() else components(links.union(late))
+
+
+def jaccard_groups(docs: DataFrame, bits: int = BITS, spread: float = 1.0, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles and component (equal for documents that are linked, null without a set). ``spread`` below 1 makes fewer
+    segments, for tests of sets that have too few."""
+    kd = F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("b"))
+    docs = docs.select("doc_id", "text", kd.alias("kd"))
+    classes = cut(classes_of(docs))
+    n_elements = classes.agg(F.sum("n_shingles")).first()[0] or 0
+    parts = shared_parts(one_of_each(docs, classes), n_elements, bits)
+    groups = linked(parts, bits, spread, block=block)
+    named = parts.select("id", "class").join(groups, F.col("id") == F.col("node")).select("class", F.col("component").cast("string"))
+    return classes.join(named, "class", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", F.lower(F.hex("class"))).alias("component")
     )
-    apart = cut(left.join(right, "key").where((F.col("c") != F.col("d")) & _fit()).select("a", "b").distinct())
-    if not apart.isEmpty():
-        late = verified(apart, docs, classes)
-        if not late.isEmpty():
-            groups = components(links.union(late))
-    return placed(classes.drop("kd"), groups)
 
 
 def with_component_ids(groups: DataFrame) -> DataFrame:

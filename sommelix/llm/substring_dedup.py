@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sommelix.llm.bitmap import PACKED, bitmap, known, n_buckets, pack, present
+from sommelix.llm.bitmap import PACKED, bitmap, known, n_bits, n_buckets, pack, present
 from sommelix.llm.common import cut, maybe_in, saved
 from sommelix.llm.hashing import ODD, OTHER, RunHasher, WordHasher, mix
 
@@ -191,7 +191,10 @@ def repeated_windows(
     """kd, th, runs: for each document with any, runs (first, count) of windows whose words also start elsewhere. docs has
     kd, th (together a document's key) and text. The result is a table, so the bitmaps can go."""
     spark = docs.sparkSession
-    context, buckets = spark.sparkContext, n_buckets(spark)
+    context = spark.sparkContext
+    # a minimizer for about 12 words
+    n_keys = (docs.agg(F.sum(F.length("text"))).first()[0] or 0) // 40
+    buckets, bits = n_buckets(n_keys), n_bits(n_keys)
 
     def of_documents(batches: Iterator[pd.DataFrame]):
         words, hasher = WordHasher(), RunHasher()
@@ -205,7 +208,7 @@ def repeated_windows(
         found = of_documents(batches)
         yield from pack((np.concatenate([s.keys, s.keys[s.folded]]) for _, _, _, s, _ in found), buckets)
 
-    twice = context.broadcast(bitmap(docs.mapInPandas(minimizers, PACKED), buckets, 2))
+    twice = context.broadcast(bitmap(docs.mapInPandas(minimizers, PACKED), buckets, 2, bits))
     held = [twice]
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -247,7 +250,7 @@ def repeated_windows(
 
     # segments to search, each different one once
     searched = contents.join(keys.where("NOT hot").select("key"), "key")
-    wanted = context.broadcast(present(searched.select("at.place"), buckets))
+    wanted = context.broadcast(present(searched.select("at.place"), buckets, bits))
     held.append(wanted)
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -299,7 +302,7 @@ def repeated_windows(
     # windows of minimizers with very many different segments, or very long ones
     many = keys.where("hot").select("key")
     if not many.isEmpty():
-        hot_keys = context.broadcast(present(many, buckets))
+        hot_keys = context.broadcast(present(many, buckets, bits))
         held.append(hot_keys)
 
         def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -419,17 +419,17 @@ def many_sizes():
     return rows
 
 
-@pytest.mark.parametrize("few", [False, True])
-def test_jaccard_groups(spark, docs, rows, empty, few, monkeypatch):
-    if few:  # far too few segments: what the pigeonhole cannot cover must still be found
-        monkeypatch.setattr(jaccard_join, "_short_links", lambda d, s, c, block=3, f=jaccard_join._short_links: f(d, s, c, block))
+@pytest.mark.parametrize(("spread", "block"), [(1.0, jaccard_join.BLOCK), (0.3, 3)])
+def test_jaccard_groups(spark, docs, rows, empty, spread, block):
+    """With few segments, what the pigeonhole cannot cover must still be found, in blocks of three."""
     columns = ("doc_id", "n_shingles", "component_id")
-    out = jaccard_join.with_component_ids(jaccard_join.jaccard_groups(docs))
+    out = jaccard_join.with_component_ids(jaccard_join.jaccard_groups(docs, spread=spread, block=block))
     assert found(out, *columns) == brute_groups(rows)
     more = many_sizes()
     df = spark.createDataFrame(more, "doc_id bigint, text string").repartition(3)
-    assert found(jaccard_join.with_component_ids(jaccard_join.jaccard_groups(df)), *columns) == brute_groups(more)
-    assert jaccard_join.jaccard_groups(empty).count() == 0
+    out = jaccard_join.with_component_ids(jaccard_join.jaccard_groups(df, spread=spread, block=block))
+    assert found(out, *columns) == brute_groups(more)
+    assert jaccard_join.jaccard_groups(empty, spread=spread).count() == 0
 
 
 def test_jaccard_partners_in_neighbouring_bands(spark):
@@ -449,28 +449,56 @@ def test_jaccard_partners_in_neighbouring_bands(spark):
     assert found(got, "doc_id", "n_shingles", "component_id") == brute_groups(rows)
 
 
+def shares_a_key(x, y, seen):
+    """Whether the larger of two sets finds the smaller one; seen are the elements of at least two sets."""
+    import numpy as np
+
+    big, small = ((len(s), int((~np.isin(s, seen)).sum()), s[np.isin(s, seen)]) for s in ((x, y) if len(x) >= len(y) else (y, x)))
+    kept = jaccard_join.Parts(small[2], jaccard_join.band_of(small[0])).keys
+    if jaccard_join.band_of(small[0]) == jaccard_join.band_of(big[0]):
+        parts, left = jaccard_join.Parts(big[2], jaccard_join.band_of(big[0])), jaccard_join.may_differ(big[0], big[0]) - big[1]
+        picks = parts.pick(np.ones(len(parts.sizes), bool), left + 1)
+    else:
+        parts, picks, left = jaccard_join.below(*big, 1.0)
+    return parts.worth[picks].sum() <= left or np.isin(parts.keys[parts.only(picks)], kept).any()
+
+
 def test_pigeonhole_never_misses():
     import numpy as np
 
     rnd = np.random.default_rng(3)
-    for size in [*range(4, 140), 200, 255, 256, 300, 511, 700, 1500]:
+    new = lambda n: jaccard_join.mix(rnd.integers(0, 1 << 62, n).astype(np.uint64))
+    # all pairs of sizes from 1 to 40, at the least overlap that links and one above
+    for r in range(1, 41):
+        for s in range(1, r + 1):
+            least = -(-3 * (r + s) // 7)  # 100 i >= 75 (r + s - i)
+            for both in {least, least + 1} & set(range(1, s + 1)) - ({r} if r == s else set()):
+                core = new(both)
+                x, y = (np.unique(np.concatenate([core, new(n - both)])) for n in (r, s))
+                for seen in (np.unique(np.concatenate([x, y])), core):
+                    assert shares_a_key(x, y, seen), (r, s, both)
+    for size in [*range(41, 140), 200, 255, 256, 300, 511, 700, 1500]:
         for _ in range(6):
-            x = np.unique(jaccard_join.mix(rnd.integers(0, 1 << 62, size).astype(np.uint64)))
+            x = np.unique(new(size))
             drop, add = sorted(rnd.integers(0, size // 7 + 1, 2))
-            y = np.unique(np.concatenate([x[rnd.permutation(len(x))[drop:]], jaccard_join.mix(rnd.integers(0, 1 << 62, add).astype(np.uint64))]))
+            y = np.unique(np.concatenate([x[rnd.permutation(len(x))[drop:]], new(add)]))
             both = len(np.intersect1d(x, y))
-            if min(len(x), len(y)) < 4 or 100 * both < 75 * (len(x) + len(y) - both):
-                continue
-            big, small = (x, y) if len(x) >= len(y) else (y, x)
-            own, low = jaccard_join.signatures(big)
-            kept = jaccard_join.signatures(small)[0].keys
-            if jaccard_join.band_of(len(small)) == jaccard_join.band_of(len(big)):
-                picks, may_differ = own.pick(np.ones(len(own.sizes), bool), 2 * len(big) // 7 + 1), 2 * len(big) // 7
-                parts = own
-            else:
-                parts, picks, may_differ = low
-            if parts.worth[picks].sum() > may_differ:
-                assert np.isin(parts.keys[parts.only(picks)], kept).any()
+            if 100 * both >= 75 * (len(x) + len(y) - both):
+                assert shares_a_key(x, y, np.unique(np.concatenate([x, y])))
+                assert shares_a_key(x, y, np.intersect1d(x, y))
+
+
+def test_bound_against_a_common_leader():
+    """Sets at distances e, f from a leader, x and y of these their own, differ in e + f - 2 min(e - x, f - y) at least."""
+    rnd = random.Random(8)
+    for _ in range(300):
+        lead = set(range(40))
+        sets = [{x for x in lead if rnd.random() < 0.8} | {rnd.randrange(100, 130) for _ in range(6)} for _ in range(4)]
+        n = Counter(x for s in [lead, *sets] for x in s)
+        own = [sum(n[x] == 1 for x in s) for s in sets]
+        for i, j in ((0, 1), (1, 2), (0, 3)):
+            e, f = len(sets[i] ^ lead), len(sets[j] ^ lead)
+            assert len(sets[i] ^ sets[j]) >= e + f - 2 * min(e - own[i], f - own[j])
 
 
 # hosts
