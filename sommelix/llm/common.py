@@ -104,7 +104,10 @@ def _buckets(columns: list[str], n: int) -> Column:
 
 def maybe_in(rows: DataFrame, columns: list[str], wanted: DataFrame, how: str = "left_semi", n: int = 1 << 22) -> DataFrame:
     """rows whose columns may be in ``wanted`` (or, left_anti, surely are not). A broadcast of at most n numbers, hashes
-    of what is wanted, tells. It only saves moving rows: what is in must still be decided by a join."""
+    of what is wanted, tells. It only saves moving rows: what is in must still be decided by a join. If so much is wanted
+    that almost every number would occur, nothing is sent and all rows may be in."""
+    if wanted.count() > n:
+        return rows if how == "left_semi" else rows.where(F.lit(False))
     told = wanted.select(_buckets(columns, n).alias("_bucket")).distinct()
     return rows.join(F.broadcast(told), _buckets(columns, n) == F.col("_bucket"), how)
 

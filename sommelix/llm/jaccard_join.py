@@ -57,8 +57,10 @@ BLOCK = 1000
 #: Keys written so often are picked last; a bitmap of a quarter of the other's size tells them.
 OFTEN = 8
 ROUNDS = 3
-#: Keys by which a class looks for its leader.
-LEAD_KEYS = 8
+#: Keys of a component that are held at once.
+CHUNK = 2_000_000
+#: Keys by which a class looks for its leader, the first ones in one order for all classes.
+LEAD_KEYS = 16
 
 
 class Shingles:
@@ -159,8 +161,8 @@ class Looker:
         self.seen, self.often, self.spread = seen, often, spread
 
     def _ask(self, parts: Parts, among: np.ndarray | None, left: int):
-        """Keys others have and which of these are frequent, the worth of segments that surely differ, the picked keys, and
-        whether the segments were too few."""
+        """Keys others have, the first of these for finding a leader, the worth of segments that surely differ, the picked keys,
+        and whether the segments were too few."""
         hit = known(self.seen, parts.keys)
         frequent = known(self.often, parts.keys[hit])
         open_ = np.zeros(len(parts.sizes), bool)
@@ -174,26 +176,28 @@ class Looker:
         often[parts.owner[hit][frequent]] = True
         picked = parts.pick(open_ & allowed, left + 1 - sure, often)
         short = int(parts.worth[picked].sum()) < left + 1 - sure
-        return hit, frequent, sure, parts.keys[hit & parts.only(picked)], short
+        if among is not None:  # of the others nothing was written
+            on = parts.only(among)
+            frequent, hit = frequent[on[hit]], hit & on
+        lead = parts.keys[hit][np.lexsort((parts.keys[hit], ~frequent))[:LEAD_KEYS]]
+        return hit, lead, sure, parts.keys[hit & parts.only(picked)], short
 
     def __call__(self, r: int, own: int, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool, int]:
         """Keys under which the set may be found, those it looks for, those by which it finds a leader, whether it is too
         short of segments, and how many elements and parts surely are its own."""
         parts = Parts(tokens, band_of(r), self.spread)
-        hit, frequent, sure, picked, short = self._ask(parts, None, may_differ(r, r) - own)
+        hit, lead, sure, picked, short = self._ask(parts, None, may_differ(r, r) - own)
         if may_differ(r, r) == 0:  # a different set of this size or less differs too much
             picked, short = picked[:0], False
         # a partner in the band above has written its picked parts only, so there the others prove nothing
         most = 4 * r // 3
         kept = parts.keys[hit]
-        lead = kept[np.lexsort((kept, ~frequent))[:LEAD_KEYS]]
         if band_of(most) == band_of(r) and own + sure > may_differ(r, most):
             kept = kept[:0]
         low = below(r, own, tokens, self.spread)
         if low is not None:
-            _, _, _, more, short_low = self._ask(*low)
-            picked, short = np.concatenate([picked, more]), short or short_low
-            lead = np.concatenate([lead, more[:LEAD_KEYS]])
+            _, first, _, more, short_low = self._ask(*low)
+            picked, short, lead = np.concatenate([picked, more]), short or short_low, np.concatenate([lead, first])
         return kept, picked, lead, short, own + sure
 
 
@@ -335,7 +339,8 @@ def compared(pairs: DataFrame, parts: DataFrame) -> DataFrame:
             d = np.array(d, np.int64) + batch["own"].to_numpy()
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "d": d.astype(np.int32), "link": 7 * d <= batch["n"].to_numpy()})
 
-    of = lambda i, p: parts.select(F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("own").alias(f"own_{i}"), F.col("part").alias(p))
+    some = lambda i: maybe_in(parts, ["id"], pairs.select(F.col(i).alias("id")))
+    of = lambda i, p: some(i).select(F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("own").alias(f"own_{i}"), F.col("part").alias(p))
     full = pairs.select("a", "b").join(of("a", "x"), "a").join(of("b", "y"), "b")
     full = full.select("a", "b", (F.col("own_a") + F.col("own_b")).alias("own"), (F.col("n_a") + F.col("n_b")).alias("n"), "x", "y")
     return cut(full.mapInPandas(check, "a bigint, b bigint, d int, link boolean"))
@@ -370,8 +375,7 @@ def _short_links(parts: DataFrame, rows: DataFrame, block: int) -> list[DataFram
 def led(rows: DataFrame, parts: DataFrame) -> DataFrame | None:
     """a, b, d, link: each class of rows compared with a leader among them, if any has one."""
     rank = F.struct("rank", (-F.col("n")).alias("size"), "id", "own")
-    found = _exploded(rows, "kept", "id", "n", "own", "rank").union(_exploded(rows, "picked", "id", "n", "own", "rank"))
-    leaders = found.groupBy("key").agg(F.min(rank).alias("lead"), F.min("id").alias("one"), F.max("id").alias("last")).where("one <> last")
+    leaders = _exploded(rows, "lead", "id", "n", "own", "rank").groupBy("key").agg(F.min(rank).alias("lead"), F.min("id").alias("one"), F.max("id").alias("last")).where("one <> last")
     leaders = leaders.select("key", F.col("lead.id").alias("b"), (-F.col("lead.size")).alias("m"), F.col("lead.own").alias("other"))
     asking = _exploded(rows, "lead", "id", "n", "own")
     votes = asking.join(leaders, "key").where((F.col("id") != F.col("b")) & _fit("n", "own", "m", "other")).groupBy("id", "b").count()
@@ -379,6 +383,47 @@ def led(rows: DataFrame, parts: DataFrame) -> DataFrame | None:
     return None if first.isEmpty() else compared(first, parts)
 
 
+def in_several(rows: DataFrame, bits: int) -> DataFrame:
+    """rows without the packed keys that occur in one component only. rows come sorted by component; a component larger
+    than a chunk of CHUNK keys may count as several, so some more keys may stay."""
+
+    def keys():
+        held: list[np.ndarray] = []
+        last = [None, 0]  # the component at hand and its keys held
+
+        def of(batch):
+            for component, *packed in zip(*(batch.column(c).to_pylist() for c in ("component", "kept", "picked"))):
+                if held and (component != last[0] or last[1] > CHUNK):
+                    yield sorted_distinct(np.concatenate(held))
+                    held.clear()
+                    last[1] = 0
+                last[0] = component
+                held.extend(np.frombuffer(p, np.uint64) for p in packed)
+                last[1] += sum(map(len, packed)) // 8
+            if held:  # what follows in another batch counts once more
+                yield sorted_distinct(np.concatenate(held))
+                held.clear()
+                last[1] = 0
+
+        return of
+
+    context = rows.sparkSession.sparkContext
+    n_keys = (rows.agg(F.sum(F.length("kept") + F.length("picked"))).first()[0] or 0) // 8
+    shared = context.broadcast(_bitmaps(rows.select("component", "kept", "picked"), keys, n_keys, bits, 2)[0])
+
+    def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in ("kept", "picked"):
+                keys = (np.frombuffer(k, np.uint64) for k in batch.column(c).to_pylist())
+                some = pa.array([k[known(shared.value, k)].tobytes() for k in keys], pa.binary())
+                batch = batch.set_column(batch.schema.get_field_index(c), c, some)
+            yield batch
+
+    out = saved(rows.mapInArrow(only, rows.schema).where("length(kept) + length(picked) > 0"))
+    shared.destroy()
+    return out
+
+
 def linked(parts: DataFrame, bits: int = BITS, spread: float = 1.0, rounds: int = ROUNDS, block: int = BLOCK) -> DataFrame:
     """node and component: of the ids of classes that link with another one, the smallest id they are connected with."""
     rows = described(parts, bits, spread)
@@ -401,7 +446,8 @@ def linked(parts: DataFrame, bits: int = BITS, spread: float = 1.0, rounds: int
 
     # pairs that share a picked key and are still apart
     facts = facts.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rows = saved(rows.join(facts, "id"))
+    rows = saved(rows.drop("lead", "rank", "short").join(facts, "id").repartitionByRange("component", "id").sortWithinPartitions("component"))
+    rows = in_several(rows, bits)
     leads = [c for k in range(rounds) for c in (f"lead{k}", f"e{k}")]
     same = ("id", "n", "own", "component", *leads)
     places = _exploded(rows, "kept", "component").union(_exploded(rows, "picked", "component"))
