@@ -1,7 +1,8 @@
 """Line dedup across all documents by a deletion-neighbourhood join.
 
 A line is its words. Two lines are near if one word deleted, inserted or replaced makes them equal; both must have
-``NEAR_WORDS`` words or more (shorter lines match only when equal). A line goes if an earlier line, by document id and
+``NEAR_WORDS`` words or more. Shorter lines match only when equal: one word is an eighth or more of them, so headings, list
+items and table rows that differ in it say different things. A line goes if an earlier line, by document id and
 place, is equal or near to it; whether that line stays itself does not matter, so no chain has to be followed.
 
 1. Equal lines meet in one aggregation by their hash, which gives each distinct line's earliest place.
@@ -10,7 +11,8 @@ place, is equal or near to it; whether that line stays itself does not matter, s
 3. These lines emit their deletion neighbourhood: the hash of the line without word i, for every i. Lines that agree in
    (hash, i) differ by one replacement; a line that equals another's variant differs by one deletion. The earliest
    member of such a key is near to all of the others that matter, so each line is compared with that one and pairs
-   within a group never arise. The variants' hashes come from two running xors of word hashes.
+    within a group never arise. The variants' hashes come from two running xors of word hashes, made in blocks of words, so
+   very long lines cost hardly more for each word; they are written to a table once.
 4. The word edit distance of line and candidate is verified on the words.
 
 Everything is DataFrame expressions. Keys are pre-aggregated before they are joined back, and the joins are
@@ -32,18 +34,25 @@ from pyspark.sql import functions as F
 from sommelix.llm.common import cut, doc_key, maybe_in, saved, words
 
 NEAR_WORDS = 8
-
-# the running xors of h(word, place) and h(word, place - 1), and from them the hash of the line without each word
-_XORS = """
-transform(array(aggregate(
-  transform(w, (x, i) -> struct(xxhash64(x, i) AS a, xxhash64(x, i - 1) AS b)),
-  struct(array(0L) AS a, array(0L) AS b),
-  (s, x) -> struct(
-    concat(s.a, array(element_at(s.a, -1) ^ x.a)) AS a,
-    concat(s.b, array(element_at(s.b, -1) ^ x.b)) AS b))),
-  s -> struct(
-    transform(sequence(1, size(s.a) - 1), i -> s.a[i - 1] ^ element_at(s.b, -1) ^ s.b[i]) AS without,
-    element_at(s.a, -1) AS whole))[0]
+_BLACK = r"[^\x20\x09-\x0D]"
+_BLACK_SQL = _BLACK.replace("\\", "\\\\")
+
+
+BLOCK = 64
+# Running xors of h(word, place) and h(word, place - 1): within blocks of words, then over blocks. From them the hashes of
+# the line itself and of the line without each word.
+_NONE = "array(named_struct('a', 0L, 'b', 0L))"
+_NEXT = "(s, x) -> concat(s, array(named_struct('a', element_at(s, -1).a ^ x.a, 'b', element_at(s, -1).b ^ x.b)))"
+_HASHES = f"""
+transform(array(transform(sequence(0, (size(w) - 1) DIV {BLOCK}), k -> aggregate(
+    transform(slice(w, k * {BLOCK} + 1, {BLOCK}), (x, i) -> named_struct(
+      'a', xxhash64(x, k * {BLOCK} + i), 'b', xxhash64(x, k * {BLOCK} + i - 1))),
+    {_NONE}, {_NEXT}))),
+  inner -> transform(array(aggregate(transform(inner, x -> element_at(x, -1)), {_NONE}, {_NEXT})),
+    outer -> concat(
+      array(element_at(outer, -1).a),
+      flatten(transform(inner, (block, k) -> transform(slice(block, 1, size(block) - 1), (x, i) ->
+        outer[k].a ^ x.a ^ element_at(outer, -1).b ^ outer[k].b ^ block[i + 1].b)))))[0])[0]
 """
 # words two lines share at the start
 _SHARED = "coalesce(nullif(array_position(zip_with(w, v, (a, b) -> a <=> b), false), 0) - 1, size(w))"
@@ -57,8 +66,9 @@ transform(array(CAST({_SHARED} AS INT)), p -> CASE size(w) - size(v)
 
 
 def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
-    """doc, removed: the numbers of the lines that go, for each document that has any or is a repeated row."""
-    raw = docs.select(doc_key().alias("doc"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    """doc, removed (the numbers of the lines that go, in order) and repeated, for each document that has any such line or is
+    a repeated row."""
+    raw = docs.select(doc_key().alias("doc"), F.posexplode(F.split("text", "\n")).alias("n", "line")).where(F.col("line").rlike(_BLACK))
     half, less = "CAST(floor(size(w) / 2) AS INT)", "CAST(floor((size(w) - 1) / 2) AS INT)"
     halves = F.when(
         F.size("w") >= near_words,
@@ -70,7 +80,7 @@ def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
         ),
     )
     lines = saved(
-        raw.select("doc", "n", words(F.col("line")).alias("w")).where(F.size("w") > 0)
+        raw.select("doc", "n", words(F.col("line")).alias("w"))
         .select("doc", "n", F.unhex(F.md5(F.array_join("w", " ").cast("binary"))).alias("line"), halves.alias("halves"))
     )
     at = F.struct("doc", "n")
@@ -92,11 +102,13 @@ def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     # 3: their words and variants
     places = ranked.select("at.doc", "at.n", "pos")
     near = cut(maybe_in(raw, ["doc", "n"], places).join(places, ["doc", "n"]).select("pos", words(F.col("line")).alias("w")))
-    hashed = near.select("pos", F.size("w").alias("size"), F.expr(_XORS).alias("h"))
-    salt = lambda size: F.xxhash64(F.lit("words"), size)
-    without = hashed.select("pos", salt(F.col("size") - 1).alias("s"), F.posexplode("h.without").alias("i", "v"))
-    without = without.select("pos", "i", F.col("v").bitwiseXOR(F.col("s")).alias("v"))
-    whole = cut(hashed.select("pos", F.col("h.whole").bitwiseXOR(salt(F.col("size"))).alias("v")))
+    # v at 0 is the hash of the line itself, at i of the line without its i-th word; how many words are left is part of it
+    left = F.col("size") - F.when(F.col("i") == 0, 0).otherwise(1)
+    hashed = saved(
+        near.select("pos", F.size("w").alias("size"), F.posexplode(F.expr(_HASHES)).alias("i", "h"))
+        .select("pos", "i", F.xxhash64("h", left).alias("v"))
+    )
+    whole, without = hashed.where("i = 0").select("pos", "v"), hashed.where("i > 0")
 
     earliest = F.min("pos").alias("lead")
     replaced = cut(without.groupBy("v", "i").agg(earliest, F.count("*").alias("n")).where("n > 1").select("v", "i", "lead"))
@@ -120,32 +132,39 @@ def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
         F.collect_set(F.when(F.col("first"), F.col("at.n"))).alias("places"),
     )
     # a place that is first more than once belongs to repeated rows of a document
-    return of.where((F.size("removed") > 0) | (F.col("firsts") > F.size("places"))).select("doc", "removed")
+    return of.select("doc", F.sort_array("removed").alias("removed"), (F.col("firsts") > F.size("places")).alias("repeated")).where(
+        "repeated OR size(removed) > 0"
+    )
 
 
 def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     """docs as struct ``row``, its ``text`` without the lines that go, beside n_lines (with words) and n_removed."""
     packed = docs.select(doc_key().alias("doc"), F.struct("*").alias("row"))
     removed = saved(removed_lines(docs.where("text IS NOT NULL").select("doc_id", "text"), near_words))
-    # only documents that may have lines to remove (repeated rows always have) are moved
-    moved = maybe_in(packed, ["doc"], removed)
-    copy = F.row_number().over(Window.partitionBy("doc").orderBy(F.lit(1)))
-    joined = moved.withColumn("copy", copy).join(removed, "doc", "left")
-    untouched = maybe_in(packed, ["doc"], removed, "left_anti").select(
-        "doc", "row", F.lit(1).alias("copy"), F.array().cast("array<int>").alias("removed")
-    )
-    joined = joined.select("doc", "row", "copy", "removed").union(untouched)
+    # only documents that may have lines to remove are moved
+    once, several = removed.where("NOT repeated").drop("repeated"), removed.where("repeated").drop("repeated")
     none = F.array().cast("array<int>")
-    worded = F.expr(
-        r"filter(transform(split(row.text, '\n'), (x, i) -> if(x RLIKE '[^\\x20\\x09-\\x0D]', i, -1)), i -> i >= 0)"
-    )
-    out = joined.select("row", "copy", F.coalesce(worded, none).alias("worded"), F.coalesce("removed", none).alias("removed")).select(
-        "row", F.size("worded").cast("long").alias("n_lines"), F.when(F.col("copy") > 1, F.col("worded")).otherwise(F.col("removed")).alias("gone")
+    moved = maybe_in(packed, ["doc"], removed)
+    plain = moved.join(several.select("doc"), "doc", "left_anti").join(once, "doc", "left").select("row", F.coalesce("removed", none).alias("gone"))
+    untouched = maybe_in(packed, ["doc"], removed, "left_anti").select("row", none.alias("gone"))
+    out = untouched.union(plain)
+    if not several.isEmpty():
+        # of repeated rows one keeps what is left, the first in the first input partition with any; the others lose all
+        copies = maybe_in(packed.withColumn("part", F.spark_partition_id()), ["doc"], several).join(several, "doc")
+        lead = copies.groupBy("doc").agg(F.min("part").alias("lead"))
+        number = F.row_number().over(Window.partitionBy("doc", "part").orderBy(F.lit(1)))
+        copies = copies.withColumn("number", number).join(lead, "doc")
+        stays = (F.col("part") == F.col("lead")) & (F.col("number") == 1)
+        worded = F.expr(rf"filter(transform(split(row.text, '\n'), (x, i) -> if(x RLIKE '{_BLACK_SQL}', i, -1)), i -> i >= 0)")
+        out = out.union(copies.select("row", F.when(stays, F.col("removed")).otherwise(worded).alias("gone")))
+    # the pieces between the lines that go
+    text = F.expr(
+        r"""transform(array(split(row.text, '\n')), lines -> array_join(flatten(transform(sequence(0, size(gone)), k -> slice(lines,
+        if(k = 0, 1, gone[k - 1] + 2), coalesce(get(gone, k), size(lines)) - if(k = 0, 0, gone[k - 1] + 1)))), '\n'))[0]"""
     )
-    text = F.expr(r"array_join(filter(split(row.text, '\n'), (x, i) -> NOT array_contains(gone, i)), '\n')")
     return out.select(
         F.col("row").withField("text", F.when(F.size("gone") > 0, text).otherwise(F.col("row.text"))).alias("row"),
-        "n_lines",
+        F.coalesce(F.regexp_count("row.text", F.lit(rf"{_BLACK}[^\n]*")), F.lit(0)).cast("long").alias("n_lines"),
         F.size("gone").cast("long").alias("n_removed"),
     )
 

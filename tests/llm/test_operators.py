@@ -501,6 +501,17 @@ def test_bound_against_a_common_leader():
             assert len(sets[i] ^ sets[j]) >= e + f - 2 * min(e - own[i], f - own[j])
 
 
+def test_very_long_lines(spark):
+    """One changed word in lines of 60,000 words is found; work grows with the words."""
+    w = [f"w{k % 977}" for k in range(60_000)]
+    other = [*w]
+    other[45_678] = "changed"
+    data = [(1, " ".join(w)), (2, " ".join(other)), (3, " ".join(w[:-1])), (4, " ".join(w[:20_000])), (5, "\n" * 100_000 + "end")]
+    df = spark.createDataFrame(data, "doc_id bigint, text string")
+    out = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in line_dedup.dedup_lines(df).select("row.doc_id", "n_lines", "n_removed").collect()}
+    assert out == {1: (1, 0), 2: (1, 1), 3: (1, 1), 4: (1, 0), 5: (1, 0)}
+
+
 # hosts
 
 
