@@ -71,6 +71,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows, so what Python makes of one stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def per_text(docs: DataFrame, make: Callable, fields: dict[str, tuple[str, pa.DataType]], keep: tuple[str, ...] | None = None) -> DataFrame:
     """``row``, a struct of the columns to keep (all, unless named), and new columns computed from the texts in batches.
 
@@ -87,7 +94,7 @@ def per_text(docs: DataFrame, make: Callable, fields: dict[str, tuple[str, pa.Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in small(batches):
             made = work(batch.column(source).to_pylist())
             new = [pa.array(values, kind) for values, (_, kind) in zip(made, fields.values())]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *new], names=[*kept, *fields])

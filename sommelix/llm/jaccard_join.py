@@ -37,14 +37,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sommelix.llm.bitmap import BITS, PACKED, bitmaps, known, n_bits, n_buckets, pack
-from sommelix.llm.common import cut, maybe_in, per_text, saved
+from sommelix.llm.common import cut, maybe_in, per_text, saved, small as _small
 from sommelix.llm.components import components
 from sommelix.llm.hashing import ODD, RunHasher, WordHasher, mix, sorted_distinct
 
@@ -233,7 +232,7 @@ def _bitmaps(rows: DataFrame, keys: Callable, n_keys: int, most_bits: int, often
 
     def packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = keys()
-        for packed in pack((x for batch in batches for x in of(batch)), buckets, often):
+        for packed in pack((x for batch in _small(batches) for x in of(batch)), buckets, often):
             yield pa.RecordBatch.from_pandas(packed, pa.schema([("bucket", pa.int32()), ("keys", pa.binary())]), preserve_index=False)
 
     return bitmaps(rows.mapInArrow(packing, PACKED), buckets, ((2, bits), (often, bits // 4)))
@@ -291,12 +290,11 @@ def described(parts: DataFrame, bits: int, spread: float) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = Looker(*shared.value, spread)
-        for batch in batches:
+        for batch in _small(batches):
             made = [look(*x) for x in _sets(batch)]
-            columns = [pa.array([k.tobytes() for k in x], pa.binary()) for x in list(zip(*made))[:3]] if made else [pa.array([], pa.binary())] * 3
+            columns = [pa.array([k.tobytes() for k in x], pa.binary()) for x in list(zip(*made))[:3]]
             short, rank = pa.array([m[3] for m in made], pa.bool_()), pa.array([m[4] for m in made], pa.int32())
-            out = pa.RecordBatch.from_arrays([*[batch.column(c) for c in same], *columns, short, rank], names=[*same, "kept", "picked", "lead", "short", "rank"])
-            yield out
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in same], *columns, short, rank], names=[*same, "kept", "picked", "lead", "short", "rank"])
 
     same = ("id", "n", "own")
     schema = "id bigint, n int, own int, kept binary, picked binary, lead binary, short boolean, rank int"
@@ -309,11 +307,10 @@ def _exploded(rows: DataFrame, column: str, *same: str) -> DataFrame:
     """The given columns and key: a row for each key in a packed column."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches, 200):
             keys = [np.frombuffer(k, np.int64) for k in batch.column(column).to_pylist()]
-            if keys:
-                of = pa.array(np.repeat(np.arange(len(keys)), list(map(len, keys))))
-                yield pa.RecordBatch.from_arrays([*[batch.column(c).take(of) for c in same], pa.array(np.concatenate(keys))], names=[*same, "key"])
+            of = pa.array(np.repeat(np.arange(len(keys)), list(map(len, keys))))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(of) for c in same], pa.array(np.concatenate(keys))], names=[*same, "key"])
 
     types = dict(rows.dtypes)
     schema = ", ".join([*[f"{c} {types[c]}" for c in same], "key bigint"])
@@ -329,21 +326,20 @@ def _fit(n: str, own: str, m: str, other: str) -> Column:
 def compared(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """a, b, d (elements in which the sets differ) and link of the pairs a, b, which are compared on their sets."""
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _small(batches):
             d = []
-            for x, y in zip(batch["x"], batch["y"]):
-                n = (len(x) + len(y)) // 8
-                both = len(sorted_distinct(np.frombuffer(x + y, np.uint64)))
-                d.append(2 * both - n)
-            d = np.array(d, np.int64) + batch["own"].to_numpy()
-            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "d": d.astype(np.int32), "link": 7 * d <= batch["n"].to_numpy()})
+            for x, y, own in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "own"))):
+                d.append(own + 2 * len(sorted_distinct(np.frombuffer(x + y, np.uint64))) - (len(x) + len(y)) // 8)
+            d = np.array(d, np.int32)
+            link = 7 * d <= batch.column("n").to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(d), pa.array(link)], names=["a", "b", "d", "link"])
 
     some = lambda i: maybe_in(parts, ["id"], pairs.select(F.col(i).alias("id")))
     of = lambda i, p: some(i).select(F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("own").alias(f"own_{i}"), F.col("part").alias(p))
     full = pairs.select("a", "b").join(of("a", "x"), "a").join(of("b", "y"), "b")
     full = full.select("a", "b", (F.col("own_a") + F.col("own_b")).alias("own"), (F.col("n_a") + F.col("n_b")).alias("n"), "x", "y")
-    return cut(full.mapInPandas(check, "a bigint, b bigint, d int, link boolean"))
+    return cut(full.mapInArrow(check, "a bigint, b bigint, d int, link boolean"))
 
 
 def _short_links(parts: DataFrame, rows: DataFrame, block: int) -> list[DataFrame]:
@@ -412,7 +408,7 @@ def in_several(rows: DataFrame, bits: int) -> DataFrame:
     shared = context.broadcast(_bitmaps(rows.select("component", "kept", "picked"), keys, n_keys, bits, 2)[0])
 
     def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             for c in ("kept", "picked"):
                 keys = (np.frombuffer(k, np.uint64) for k in batch.column(c).to_pylist())
                 some = pa.array([k[known(shared.value, k)].tobytes() for k in keys], pa.binary())
