@@ -5,24 +5,50 @@ that histogram answer, for every context limit, how many documents and tokens li
 keeps, and the quantiles. Suffix sums go by blocks of lengths (within blocks, then over blocks), so no window holds
 more than ``BLOCK`` lengths or one row for each block.
 
-Defined cases: null and empty texts have length 0; a text is encoded whole; special tokens' strings are ordinary text;
+Runs of LONG or more blanks, on which the encoder's pattern matcher would overflow its stack, are found beforehand: the
+pattern always makes one piece of all of a run, or of all but its last blank where something follows, and that piece is
+merged without the matcher. The count is the same.
+
+Defined cases: null and empty texts have length 0; a text is encoded whole, of whatever length; special tokens' strings are ordinary text;
 repeated rows count as often as they occur; an empty table gives an empty histogram; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sommelix.llm.common import per_text
+from sommelix.llm.common import cut, per_text
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the public pattern that splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCK = 1024
+LONG = 1000
+#: The characters that are blanks to the pattern.
+BLANKS = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def counter(table: dict[bytes, int], pattern: str = PATTERN):
+    """A function that gives a text's number of tokens. Long runs of blanks are taken apart for PATTERN only."""
+    import tiktoken
+
+    encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+    runs = re.compile(f"[{BLANKS}]{{{LONG},}}")
+
+    def count(text: str | None) -> int:
+        n = at = 0
+        for run in runs.finditer(text or "") if pattern == PATTERN else ():
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            n += len(encoding.encode_ordinary(text[at : run.start()])) + len(encoding._encode_single_piece(text[run.start() : end]))
+            at = end
+        return n + (len(encoding.encode_ordinary(text[at:])) if text else 0)
+
+    return count
 
 
 def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
@@ -32,11 +58,8 @@ def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str =
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def make():
-        import tiktoken
-
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, shared.value.splitlines())}
-        encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        return lambda texts: [[len(encoding.encode_ordinary(t)) if t else 0 for t in texts]]
+        count = counter({base64.b64decode(a): int(b) for a, b in map(bytes.split, shared.value.splitlines())}, pattern)
+        return lambda texts: [list(map(count, texts))]
 
     return per_text(docs, make, {"n_tokens": ("bigint", pa.int64())}, ("doc_id",)).select("row.doc_id", "n_tokens")
 
@@ -46,7 +69,8 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
 
 
 def at_every_limit(histogram: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One row for each occurring length, taken as a context limit."""
+    """One row for each occurring length, taken as a context limit. The histogram is used twice and so made once."""
+    histogram = cut(histogram)
     rows = histogram.withColumns({"block": F.floor(F.col("n_tokens") / block), "tokens": F.col("n_tokens") * F.col("n_docs")})
     blocks = rows.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     above = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
