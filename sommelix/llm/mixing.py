@@ -95,8 +95,12 @@ def mix(
     seed: str = SEED,
 ) -> DataFrame:
     """doc_id, source, size, source_size, target and taken (words the mix takes, repeats counted) of every document."""
-    mark = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    sized = cut(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), mark.alias("mark")))
+    # equal rows are counted and told apart by a number, so neither they nor null ids share a mark, and reruns agree
+    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("hash"))
+    counted = sized.groupBy("doc_id", "source", "size", "hash").agg(F.count("*").alias("n"))
+    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    name = F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"), "hash", "copy")
+    sized = cut(copies.select("doc_id", "source", "size", F.md5(name.cast("binary")).alias("mark")))
     by_source = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, percent, repeats)
     seats = F.floor(F.sum("source_size").over(Window.partitionBy()) * percent / 100 / block_words + 0.5)
     quotas = apportion(by_source.withColumn("seats", seats), [], ["source"], "target", "seats", "source_quota")
