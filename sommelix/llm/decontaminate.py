@@ -5,8 +5,8 @@ between single spaces, and searched for " w1 w2 ... w13 ". A table over blocks o
 when a block ends at the current place; where it says 0 the block's bucket gives the windows to compare directly. Windows
 are searched in bands of similar length, so a very short item does not shorten the jumps of the others.
 
-A large benchmark is split into parts of about ``part_chars`` characters. They are broadcast compressed, and a worker holds
-one compiled part at a time, so its tables are bounded whatever the benchmark's size.
+A large benchmark is split into parts of about ``part_chars`` characters, searched one after the other, so what the driver,
+a broadcast and a worker's tables hold is bounded whatever the benchmark's size.
 
 Defined cases: null texts and items have no words; an item without words is no window; repeated items and ids count
 once; null item ids hit words but are not listed; an empty benchmark hits nothing; repeated documents are rows of their
@@ -19,16 +19,19 @@ import pickle
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sommelix.llm.common import per_text
+from sommelix.llm.common import maybe_in, per_text, saved
 
 WINDOW = 13
 PART_CHARS = 16_000_000
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Bytes to one form: A-Z lower-cased; digits, a-z and bytes from 0x80 on stay; all else separates words.
 FORM = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -100,44 +103,80 @@ def _merged(spans: list) -> list[list[int]]:
     return out
 
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_chars: int = PART_CHARS, keep=None) -> DataFrame:
-    """row (the kept columns), n_words, hits (first word and number of words of merged hit spans), ids of items found."""
-    spark = docs.sparkSession
-    items = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
-    chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    n_parts = chars // part_chars + 1
-    part = F.pmod(F.xxhash64("text"), F.lit(n_parts))
-    packed = [[tuple(r) for r in items.where(part == k).collect()] for k in range(n_parts)]
-    shared = spark.sparkContext.broadcast([zlib.compress(pickle.dumps(rows)) for rows in packed])
+_FIELDS = {
+    "n_words": ("bigint", pa.int64()),
+    "hits": ("array<array<int>>", pa.list_(pa.list_(pa.int32()))),
+    "items": ("array<string>", pa.list_(pa.string())),
+}
 
-    def make():
-        def compiled(k: int) -> Searcher:
-            return Searcher(pickle.loads(zlib.decompress(shared.value[k])), window)
 
-        only = compiled(0) if n_parts == 1 else None  # of several parts, one at a time is held
+def _find(docs: DataFrame, shared: Broadcast, window: int, keep: tuple[str, ...] | None) -> DataFrame:
+    """row (the kept columns) and _FIELDS, from the items of one part; a task compiles them once."""
+
+    def make():
+        searcher = Searcher(pickle.loads(zlib.decompress(shared.value)), window)
 
         def search(texts):
-            forms = [word_list(t) for t in texts]
-            n_words = list(map(len, forms))
-            forms = [b" " + b" ".join(w) + b" " for w in forms]
-            spans: list[list] = [[] for _ in texts]
-            items: list[set] = [set() for _ in texts]
-            for k in range(n_parts):
-                searcher = only or compiled(k)
-                for own, ids, form in zip(spans, items, forms):
-                    hit, found = searcher(form)
-                    own += hit
-                    ids |= found
-            return [n_words, [_merged(x) for x in spans], [sorted(i for i in x if i is not None) for x in items]]
+            n_words, spans, items = [], [], []
+            for text in texts:
+                w = word_list(text)
+                hit, found = searcher(b" " + b" ".join(w) + b" ")
+                n_words.append(len(w))
+                spans.append(_merged(hit))
+                items.append(sorted(i for i in found if i is not None))
+            return [n_words, spans, items]
 
         return search
 
-    fields = {
-        "n_words": ("bigint", pa.int64()),
-        "hits": ("array<array<int>>", pa.list_(pa.list_(pa.int32()))),
-        "items": ("array<string>", pa.list_(pa.string())),
-    }
-    return per_text(docs, make, fields, keep)
+    return per_text(docs, make, _FIELDS, keep)
+
+
+# spans (first, words) in order, those that touch made one
+_MERGE = """
+aggregate(array_sort(hits), CAST(array() AS array<array<int>>), (s, x) -> if(
+  size(s) > 0 AND x[0] <= element_at(s, -1)[0] + element_at(s, -1)[1],
+  concat(slice(s, 1, size(s) - 1), array(array(element_at(s, -1)[0],
+    greatest(element_at(s, -1)[1], x[0] + x[1] - element_at(s, -1)[0])))),
+  concat(s, array(x))))
+"""
+
+
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_chars: int = PART_CHARS, keep=None) -> DataFrame:
+    """row (the kept columns), n_words, hits (first word and number of words of merged hit spans), ids of items found.
+
+    A benchmark of more than ``part_chars`` characters is searched in parts, one pass over the documents for each: the driver
+    and the broadcast hold one part at a time (of about that size; a single longer text is a part). What a pass finds is
+    written to a table by the hash of the text, so only texts with hits are joined back."""
+    context = docs.sparkSession.sparkContext
+    items = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
+    chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    n_parts = chars // part_chars + 1
+    part = F.pmod(F.xxhash64("text"), F.lit(n_parts))
+
+    def sent(k: int) -> Broadcast:
+        return context.broadcast(zlib.compress(pickle.dumps([tuple(r) for r in items.where(part == k).collect()])))
+
+    if n_parts == 1:
+        return _find(docs, sent(0), window, keep)
+    kept = docs.columns if keep is None else list(keep)
+    key = {"h": F.xxhash64("text"), "g": F.xxhash64(F.lit(1), "text")}
+    texts = docs.select("text").withColumns(key)
+    parts = []
+    for k in range(n_parts):
+        shared = sent(k)
+        found = _find(texts, shared, window, ("h", "g")).where(F.size("hits") > 0).select("row.*", "hits", "items")
+        parts.append(saved(found.dropDuplicates(["h", "g"])))
+        shared.destroy()
+    every = reduce(DataFrame.union, parts).groupBy("h", "g").agg(
+        F.flatten(F.collect_list("hits")).alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")
+    )
+    every = saved(every.select("h", "g", F.expr(_MERGE).alias("hits"), "items"))
+    count = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), count.alias("n_words"), *[c.alias(n) for n, c in key.items()])
+    none = [F.array().cast(_FIELDS[c][0]).alias(c) for c in ("hits", "items")]
+    clean = maybe_in(packed, ["h", "g"], every, "left_anti").select("row", "n_words", *none)
+    hit = maybe_in(packed, ["h", "g"], every).join(every, ["h", "g"], "left")
+    return clean.union(hit.select("row", "n_words", *[F.coalesce(c, n).alias(c) for c, n in zip(("hits", "items"), none)]))
 
 
 def decontamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] | None = None) -> DataFrame:

@@ -161,6 +161,25 @@ def test_token_histogram_against_encoding(docs, rows, empty):
     assert token_count.at_every_limit(token_count.length_histogram(token_count.token_lengths(empty))).count() == 0
 
 
+def test_token_counts_of_very_long_runs():
+    import base64
+
+    import tiktoken
+
+    with open(token_count.VOCABULARY, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    encoding, count = tiktoken.Encoding("own", pat_str=token_count.PATTERN, mergeable_ranks=ranks, special_tokens={}), token_count.counter(ranks)
+    for blank in (" ", "\n", " \n", "\u3000", "\t\r\n ", "\x85"):
+        for n in (1, 999, 1000, 1001, 4000):
+            for before, after in (("", ""), ("word", ""), ("", "word"), ("a's", "'s"), ("x ", "!?"), ("\x1c", "\x1f9")):
+                text = before + blank * n + after + " and more" + blank * 1500 + after
+                assert count(text) == len(encoding.encode_ordinary(text)), (blank, n, before, after)
+    assert count(" " * 2_000_000) == len(encoding._encode_single_piece(" " * 2_000_000))
+    assert count(" " * 2_000_000 + "x") == len(encoding._encode_single_piece(" " * 1_999_999)) + len(encoding.encode_ordinary(" x"))
+    assert min(count("a" * 2_000_000), count("7" * 2_000_000), count("word\n" * 400_000)) > 0
+    assert count(None) == count("") == 0
+
+
 # benchmark
 
 
@@ -267,6 +286,20 @@ def test_mixing(docs, rows, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_null_and_repeated_ids_spread_over_shards(spark):
+    """Many rows with one id do not gather: equal marks would take all of a shard's or none of its words."""
+    data = [(None, f"w{i} " * 40, "a") for i in range(300)] + [(7, "same text " * 20, "b")] * 300
+    df = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    out = mixing.mix(df, block_words=8, shard_words=400).collect()
+    assert len(out) == 600 and sum(r["doc_id"] is None for r in out) == 300
+    for source in "ab":
+        taken = [r["taken"] for r in out if r["source"] == source]
+        target = next(r["target"] for r in out if r["source"] == source)
+        assert abs(sum(taken) - target) <= 0.05 * target + 16
+    again = mixing.mix(df.repartition(7), block_words=8, shard_words=400).collect()
+    assert sorted(map(repr, out)) == sorted(map(repr, again))
+
+
 def test_apportionment_gives_highest_quotients(spark):
     rnd = random.Random(5)
     for n, seats in ((1, 7), (5, 3), (6, 100), (4, 0)):
