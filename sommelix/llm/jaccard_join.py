@@ -17,10 +17,12 @@ it from here on.
 4. Rounds of leaders: each class is compared with one leader, the class with the fewest elements of its own that shares a
    key with it, as the original of many copies is. Those that do not link go on to the next round among themselves.
    Large groups of near copies are connected by one comparison each.
-5. Classes that share a picked key and are still apart are compared, unless what they had against a common leader
-   already tells that they differ too much: with e and f differences from the leader, of which all but x and y are
-   elements of their own, two classes differ in e + f - 2 min(x, y) elements at least. Within a key, the members of
-   its largest component never meet each other. Every comparison is exact, on the sets.
+5. Classes that share a picked key and are still apart are compared, unless one of two bounds already tells that they differ
+   too much. An odd sketch has a bit for each of 384 slots, whether an odd number of a shared part's elements falls into
+   it; the sketches of two parts differ in no more bits than the parts differ in elements. And with e and f differences
+   from a common leader, of which all but x and y are elements of their own, two classes differ in e + f - 2 min(x, y)
+   elements at least. Within a key, the members of its largest component never meet each other, nor do two
+   deletions. Every comparison is exact, on the sets.
 
 A link between different sets is never lost: the pigeonhole holds for every class with enough parts, and the few whose
 hashes fall into too few segments are compared with all classes, in blocks of ``BLOCK``.
@@ -56,12 +58,17 @@ BLOCK = 1000
 #: Keys written so often are picked last; a bitmap of a quarter of the other's size tells them.
 OFTEN = 8
 ROUNDS = 3
+#: Words of 64 bits in an odd sketch.
+SKETCH = 6
 #: Keys of a component that are held at once.
 CHUNK = 2_000_000
 #: Keys by which a class looks for its leader, the first ones in one order for all classes.
 LEAD_KEYS = 16
 
 
+_EVEN = ~np.uint64(1)
+
+
 class Shingles:
     """Makes a text's set: sorted distinct hashes of its shingles."""
 
@@ -100,7 +107,7 @@ class Parts:
         salt = np.uint64((band + 1) * 0x1000003)
         tokens = mix(tokens ^ salt)
         if (2 << band) - 1 < FINE:
-            self.keys = tokens
+            self.keys = tokens & _EVEN
             self.owner = np.arange(len(tokens))
             self.sizes = self.worth = np.ones(len(tokens), np.int64)
             return
@@ -112,7 +119,8 @@ class Parts:
         at = segment[starts] * ODD + salt
         of = np.repeat(np.arange(len(starts)), self.sizes)
         more = self.sizes[of] >= 2  # these also stand for what is left without an element
-        self.keys = np.concatenate([mix(sums ^ at), mix(((sums[of] - tokens) ^ at[of])[more])])
+        # the lowest bit tells deletions: they meet subsets only, not each other
+        self.keys = np.concatenate([mix(sums ^ at) & _EVEN, mix(((sums[of] - tokens) ^ at[of])[more]) | np.uint64(1)])
         self.owner = np.concatenate([np.arange(len(starts)), of[more]])
         self.worth = np.where(self.sizes >= 2, 2, 1)
 
@@ -132,6 +140,12 @@ class Parts:
         return on[self.owner]
 
 
+def odd_sketch(tokens: np.ndarray) -> np.ndarray:
+    """SKETCH words whose bits tell which slots an odd number of elements falls into."""
+    slots = np.bincount((tokens >> np.uint64(8)) % np.uint64(64 * SKETCH), minlength=64 * SKETCH)
+    return np.packbits((slots & 1).astype(np.uint8)).view(np.int64)
+
+
 def may_differ(r: int, s: int) -> int:
     """Elements in which linked sets of these sizes differ at most."""
     return (r + s) // 7
@@ -278,6 +292,9 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
         yield r, own, np.frombuffer(part, np.uint64)
 
 
+_SKETCHES = [f"s{k}" for k in range(SKETCH)]
+
+
 def described(parts: DataFrame, bits: int, spread: float) -> DataFrame:
     """id, n, own and the packed keys kept, picked and lead, short, and rank of each class that may have a partner."""
 
@@ -294,26 +311,31 @@ def described(parts: DataFrame, bits: int, spread: float) -> DataFrame:
             made = [look(*x) for x in _sets(batch)]
             columns = [pa.array([k.tobytes() for k in x], pa.binary()) for x in list(zip(*made))[:3]]
             short, rank = pa.array([m[3] for m in made], pa.bool_()), pa.array([m[4] for m in made], pa.int32())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in same], *columns, short, rank], names=[*same, "kept", "picked", "lead", "short", "rank"])
+            sketches = np.stack([odd_sketch(p) for _, _, p in _sets(batch)])
+            columns += [short, rank, *[pa.array(x) for x in sketches.T.copy()]]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in same], *columns], names=[*same, "kept", "picked", "lead", "short", "rank", *_SKETCHES])
 
     same = ("id", "n", "own")
-    schema = "id bigint, n int, own int, kept binary, picked binary, lead binary, short boolean, rank int"
+    schema = "id bigint, n int, own int, kept binary, picked binary, lead binary, short boolean, rank int, "
+    schema += ", ".join(f"{s} bigint" for s in _SKETCHES)
     out = saved(parts.select(*same, "part").mapInArrow(describe, schema).where("length(kept) + length(picked) > 0 OR short"))
     shared.destroy()
     return out
 
 
 def _exploded(rows: DataFrame, column: str, *same: str) -> DataFrame:
-    """The given columns and key: a row for each key in a packed column."""
+    """The given columns, key and deletion (whether it is one): a row for each key in a packed column."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _small(batches, 200):
             keys = [np.frombuffer(k, np.int64) for k in batch.column(column).to_pylist()]
             of = pa.array(np.repeat(np.arange(len(keys)), list(map(len, keys))))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(of) for c in same], pa.array(np.concatenate(keys))], names=[*same, "key"])
+            keys = np.concatenate(keys)
+            new = [pa.array(keys & -2), pa.array(keys & 1 == 1)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(of) for c in same], *new], names=[*same, "key", "deletion"])
 
     types = dict(rows.dtypes)
-    schema = ", ".join([*[f"{c} {types[c]}" for c in same], "key bigint"])
+    schema = ", ".join([*[f"{c} {types[c]}" for c in same], "key bigint, deletion boolean"])
     return rows.where(F.length(column) > 0).select(*same, column).mapInArrow(explode, schema)
 
 
@@ -373,7 +395,7 @@ def led(rows: DataFrame, parts: DataFrame) -> DataFrame | None:
     rank = F.struct("rank", (-F.col("n")).alias("size"), "id", "own")
     leaders = _exploded(rows, "lead", "id", "n", "own", "rank").groupBy("key").agg(F.min(rank).alias("lead"), F.min("id").alias("one"), F.max("id").alias("last")).where("one <> last")
     leaders = leaders.select("key", F.col("lead.id").alias("b"), (-F.col("lead.size")).alias("m"), F.col("lead.own").alias("other"))
-    asking = _exploded(rows, "lead", "id", "n", "own")
+    asking = _exploded(rows, "lead", "id", "n", "own").drop("deletion")
     votes = asking.join(leaders, "key").where((F.col("id") != F.col("b")) & _fit("n", "own", "m", "other")).groupBy("id", "b").count()
     first = cut(votes.groupBy(F.col("id").alias("a")).agg(F.max_by("b", F.struct("count", "b")).alias("b")))
     return None if first.isEmpty() else compared(first, parts)
@@ -428,14 +450,15 @@ def linked(parts: DataFrame, bits: int = BITS, spread: float = 1.0, rounds: int
     for more in _short_links(parts, rows, block):
         links = links.union(more)
 
-    # rounds of leaders; lead and e of each round are kept for the bound below
+    # rounds of leaders; lead and e of the first are kept for the bound below
     facts, apart = rows.select("id"), rows
     for k in range(rounds):
         if (answers := led(apart, parts)) is None:
             rounds = k
             break
         links = links.union(answers.where("link").select("a", "b"))
-        facts = facts.join(answers.select(F.col("a").alias("id"), F.col("b").alias(f"lead{k}"), F.col("d").alias(f"e{k}")), "id", "left")
+        if k == 0:
+            facts = facts.join(answers.select(F.col("a").alias("id"), F.col("b").alias("lead0"), F.col("d").alias("e0")), "id", "left")
         in_link = answers.where("link").select(F.explode(F.array("a", "b")).alias("id")).distinct()
         apart = saved(apart.join(in_link, "id", "left_anti"))
     groups = components(links)
@@ -444,8 +467,8 @@ def linked(parts: DataFrame, bits: int = BITS, spread: float = 1.0, rounds: int
     facts = facts.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     rows = saved(rows.drop("lead", "rank", "short").join(facts, "id").repartitionByRange("component", "id").sortWithinPartitions("component"))
     rows = in_several(rows, bits)
-    leads = [c for k in range(rounds) for c in (f"lead{k}", f"e{k}")]
-    same = ("id", "n", "own", "component", *leads)
+    leads = ("lead0", "e0") if rounds else ()
+    same = ("id", "n", "own", "component", *leads, *_SKETCHES)
     places = _exploded(rows, "kept", "component").union(_exploded(rows, "picked", "component"))
     counts = places.groupBy("key", "component").count()
     split = counts.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("major"), F.count("*").alias("several"))
@@ -454,14 +477,15 @@ def linked(parts: DataFrame, bits: int = BITS, spread: float = 1.0, rounds: int
         return groups
     mine = maybe_in(_exploded(rows, "picked", *same), ["key"], split).join(split, "key")
     theirs = maybe_in(_exploded(rows, "kept", *same), ["key"], split).join(split, "key")
-    theirs = theirs.select("key", "major", *[F.col(c).alias(f"{c}_") for c in same])
-    close = F.lit(True)
-    for k in range(rounds):
-        e, f = F.col(f"e{k}"), F.col(f"e{k}_")
+    theirs = theirs.select("key", "major", *[F.col(c).alias(f"{c}_") for c in ("deletion", *same)])
+    odd = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"{s}_"))) for s in _SKETCHES), F.col("own") + F.col("own_"))
+    close = ~(F.col("deletion") & F.col("deletion_")) & (7 * odd <= F.col("n") + F.col("n_"))
+    if leads:
+        e, f, no = F.col("e0"), F.col("e0_"), F.lit(False)
         least = e + f - 2 * F.least(e - F.col("own"), f - F.col("own_"))
-        known_far = (F.col(f"lead{k}") == F.col(f"lead{k}_")) & (7 * least > F.col("n") + F.col("n_"))
-        close = close & ~F.coalesce(known_far, F.lit(False)) & ~F.coalesce(F.col(f"lead{k}") == F.col("id_"), F.lit(False))
-        close = close & ~F.coalesce(F.col(f"lead{k}_") == F.col("id"), F.lit(False))
+        known_far = (F.col("lead0") == F.col("lead0_")) & (7 * least > F.col("n") + F.col("n_"))
+        met = F.coalesce(F.col("lead0") == F.col("id_"), no) | F.coalesce(F.col("lead0_") == F.col("id"), no)
+        close = close & ~F.coalesce(known_far, no) & ~met
     fits = (F.col("component") != F.col("component_")) & _fit("n", "own", "n_", "own_") & close
     theirs = theirs.drop("major")
     is_major = F.col("component") == F.col("major")

@@ -493,7 +493,9 @@ def shares_a_key(x, y, seen):
         picks = parts.pick(np.ones(len(parts.sizes), bool), left + 1)
     else:
         parts, picks, left = jaccard_join.below(*big, 1.0)
-    return parts.worth[picks].sum() <= left or np.isin(parts.keys[parts.only(picks)], kept).any()
+    asked = parts.keys[parts.only(picks)]  # odd keys are deletions and meet even ones only
+    meets = np.isin(asked[asked % 2 == 0], kept & ~np.uint64(1)).any() or np.isin(asked[asked % 2 == 1] - np.uint64(1), kept).any()
+    return parts.worth[picks].sum() <= left or meets
 
 
 def test_pigeonhole_never_misses():
@@ -521,6 +523,17 @@ def test_pigeonhole_never_misses():
                 assert shares_a_key(x, y, np.intersect1d(x, y))
 
 
+def test_odd_sketches_differ_in_no_more_bits_than_the_sets_in_elements():
+    import numpy as np
+
+    rnd = np.random.default_rng(4)
+    for n in (1, 5, 40, 300, 3000):
+        for _ in range(50):
+            x, y = (np.unique(jaccard_join.mix(rnd.integers(0, 2 * n, n).astype(np.uint64))) for _ in "xy")
+            odd = int(np.bitwise_count((jaccard_join.odd_sketch(x) ^ jaccard_join.odd_sketch(y)).view(np.uint64)).sum())
+            assert odd <= len(np.setxor1d(x, y)) and (len(np.setxor1d(x, y)) - odd) % 2 == 0
+
+
 def test_bound_against_a_common_leader():
     """Sets at distances e, f from a leader, x and y of these their own, differ in e + f - 2 min(e - x, f - y) at least."""
     rnd = random.Random(8)
