@@ -17,12 +17,10 @@ it from here on.
 4. Rounds of leaders: each class is compared with one leader, the class with the fewest elements of its own that shares a
    key with it, as the original of many copies is. Those that do not link go on to the next round among themselves.
    Large groups of near copies are connected by one comparison each.
-5. Classes that share a picked key and are still apart are compared, unless one of two bounds already tells that they differ
-   too much. An odd sketch has a bit for each of 384 slots, whether an odd number of a shared part's elements falls into
-   it; the sketches of two parts differ in no more bits than the parts differ in elements. And with e and f differences
-   from a common leader, of which all but x and y are elements of their own, two classes differ in e + f - 2 min(x, y)
-   elements at least. Within a key, the members of its largest component never meet each other, nor do two
-   deletions. Every comparison is exact, on the sets.
+5. Classes that share a picked key and are still apart are compared, unless their odd sketches already tell that they differ
+   too much. An odd sketch has a bit for each of 256 slots, whether an odd number of a shared part's elements falls into
+   it; the sketches of two parts differ in no more bits than the parts differ in elements. Within a key, the members
+   of its largest component never meet each other, nor do two deletions. Every comparison is exact, on the sets.
 
 A link between different sets is never lost: the pigeonhole holds for every class with enough parts, and the few whose
 hashes fall into too few segments are compared with all classes, in blocks of ``BLOCK``.
@@ -59,7 +57,7 @@ BLOCK = 1000
 OFTEN = 8
 ROUNDS = 3
 #: Words of 64 bits in an odd sketch.
-SKETCH = 6
+SKETCH = 4
 #: Keys of a component that are held at once.
 CHUNK = 2_000_000
 #: Keys by which a class looks for its leader, the first ones in one order for all classes.
@@ -339,9 +337,8 @@ def _exploded(rows: DataFrame, column: str, *same: str) -> DataFrame:
     return rows.where(F.length(column) > 0).select(*same, column).mapInArrow(explode, schema)
 
 
-def _fit(n: str, own: str, m: str, other: str) -> Column:
+def _fit(n: Column, own: Column, m: Column, other: Column) -> Column:
     """Sizes n, m of different sets that may link, with elements of their own that do not exceed what may differ."""
-    n, own, m, other = map(F.col, (n, own, m, other))
     return (100 * F.least(n, m) >= 75 * F.greatest(n, m)) & (7 * (own + other) <= n + m) & ((n != m) | (n >= 7))
 
 
@@ -396,7 +393,7 @@ def led(rows: DataFrame, parts: DataFrame) -> DataFrame | None:
     leaders = _exploded(rows, "lead", "id", "n", "own", "rank").groupBy("key").agg(F.min(rank).alias("lead"), F.min("id").alias("one"), F.max("id").alias("last")).where("one <> last")
     leaders = leaders.select("key", F.col("lead.id").alias("b"), (-F.col("lead.size")).alias("m"), F.col("lead.own").alias("other"))
     asking = _exploded(rows, "lead", "id", "n", "own").drop("deletion")
-    votes = asking.join(leaders, "key").where((F.col("id") != F.col("b")) & _fit("n", "own", "m", "other")).groupBy("id", "b").count()
+    votes = asking.join(leaders, "key").where((F.col("id") != F.col("b")) & _fit(*map(F.col, ("n", "own", "m", "other")))).groupBy("id", "b").count()
     first = cut(votes.groupBy(F.col("id").alias("a")).agg(F.max_by("b", F.struct("count", "b")).alias("b")))
     return None if first.isEmpty() else compared(first, parts)
 
@@ -450,48 +447,44 @@ def linked(parts: DataFrame, bits: int = BITS, spread: float = 1.0, rounds: int
     for more in _short_links(parts, rows, block):
         links = links.union(more)
 
-    # rounds of leaders; lead and e of the first are kept for the bound below
-    facts, apart = rows.select("id"), rows
-    for k in range(rounds):
+    apart = rows
+    for _ in range(rounds):
         if (answers := led(apart, parts)) is None:
-            rounds = k
             break
         links = links.union(answers.where("link").select("a", "b"))
-        if k == 0:
-            facts = facts.join(answers.select(F.col("a").alias("id"), F.col("b").alias("lead0"), F.col("d").alias("e0")), "id", "left")
         in_link = answers.where("link").select(F.explode(F.array("a", "b")).alias("id")).distinct()
         apart = saved(apart.join(in_link, "id", "left_anti"))
     groups = components(links)
 
     # pairs that share a picked key and are still apart
-    facts = facts.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rows = saved(rows.drop("lead", "rank", "short").join(facts, "id").repartitionByRange("component", "id").sortWithinPartitions("component"))
+    placed = rows.drop("lead", "rank", "short").join(groups.withColumnRenamed("node", "id"), "id", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "id"))
+    rows = saved(placed.repartitionByRange("component", "id").sortWithinPartitions("component"))
     rows = in_several(rows, bits)
-    leads = ("lead0", "e0") if rounds else ()
-    same = ("id", "n", "own", "component", *leads, *_SKETCHES)
+    # narrow rows: ids with the mark of deletions, sizes with own elements
+    rows = rows.withColumn("sizes", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("own").cast("long")))
+    same = ("id", "sizes", "component", *_SKETCHES)
+    one_row = [(2 * F.col("id") + F.col("deletion").cast("long")).alias("who"), "sizes", "component", *_SKETCHES]
     places = _exploded(rows, "kept", "component").union(_exploded(rows, "picked", "component"))
     counts = places.groupBy("key", "component").count()
     split = counts.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("major"), F.count("*").alias("several"))
     split = cut(split.where("several > 1").drop("several"))
     if split.isEmpty():
         return groups
-    mine = maybe_in(_exploded(rows, "picked", *same), ["key"], split).join(split, "key")
-    theirs = maybe_in(_exploded(rows, "kept", *same), ["key"], split).join(split, "key")
-    theirs = theirs.select("key", "major", *[F.col(c).alias(f"{c}_") for c in ("deletion", *same)])
-    odd = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"{s}_"))) for s in _SKETCHES), F.col("own") + F.col("own_"))
-    close = ~(F.col("deletion") & F.col("deletion_")) & (7 * odd <= F.col("n") + F.col("n_"))
-    if leads:
-        e, f, no = F.col("e0"), F.col("e0_"), F.lit(False)
-        least = e + f - 2 * F.least(e - F.col("own"), f - F.col("own_"))
-        known_far = (F.col("lead0") == F.col("lead0_")) & (7 * least > F.col("n") + F.col("n_"))
-        met = F.coalesce(F.col("lead0") == F.col("id_"), no) | F.coalesce(F.col("lead0_") == F.col("id"), no)
-        close = close & ~F.coalesce(known_far, no) & ~met
-    fits = (F.col("component") != F.col("component_")) & _fit("n", "own", "n_", "own_") & close
+    mine = maybe_in(_exploded(rows, "picked", *same).select("key", *one_row), ["key"], split).join(split, "key")
+    theirs = maybe_in(_exploded(rows, "kept", *same).select("key", *one_row), ["key"], split).join(split, "key")
+    theirs = theirs.select("key", "major", *[F.col(c).alias(f"{c}_") for c in ("who", "sizes", "component", *_SKETCHES)])
+    parts_of = lambda x: (F.shiftright(x, 32), x.bitwiseAND(F.lit((1 << 32) - 1)))
+    (n, own), (m, other) = parts_of(F.col("sizes")), parts_of(F.col("sizes_"))
+    odd = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"{s}_"))) for s in _SKETCHES), own + other)
+    deletions = F.col("who").bitwiseAND(F.col("who_")).bitwiseAND(F.lit(1)) == 1
+    fits = (F.col("component") != F.col("component_")) & ~deletions & _fit(n, own, m, other) & (7 * odd <= n + m)
     theirs = theirs.drop("major")
     is_major = F.col("component") == F.col("major")
     one = mine.where(~is_major).join(theirs, "key")
     other = mine.where(is_major).join(theirs, "key").where("component_ <> major")
-    pairs = [x.where(fits).select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b")).distinct() for x in (one, other)]
+    ids = (F.shiftright("who", 1), F.shiftright("who_", 1))
+    pairs = [x.where(fits).select(F.least(*ids).alias("a"), F.greatest(*ids).alias("b")).distinct() for x in (one, other)]
     left = cut(pairs[0].union(pairs[1]).distinct())
     if left.isEmpty():
         return groups

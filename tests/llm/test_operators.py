@@ -534,19 +534,6 @@ def test_odd_sketches_differ_in_no_more_bits_than_the_sets_in_elements():
             assert odd <= len(np.setxor1d(x, y)) and (len(np.setxor1d(x, y)) - odd) % 2 == 0
 
 
-def test_bound_against_a_common_leader():
-    """Sets at distances e, f from a leader, x and y of these their own, differ in e + f - 2 min(e - x, f - y) at least."""
-    rnd = random.Random(8)
-    for _ in range(300):
-        lead = set(range(40))
-        sets = [{x for x in lead if rnd.random() < 0.8} | {rnd.randrange(100, 130) for _ in range(6)} for _ in range(4)]
-        n = Counter(x for s in [lead, *sets] for x in s)
-        own = [sum(n[x] == 1 for x in s) for s in sets]
-        for i, j in ((0, 1), (1, 2), (0, 3)):
-            e, f = len(sets[i] ^ lead), len(sets[j] ^ lead)
-            assert len(sets[i] ^ sets[j]) >= e + f - 2 * min(e - own[i], f - own[j])
-
-
 def test_very_long_lines(spark):
     """One changed word in lines of 60,000 words is found; work grows with the words."""
     w = [f"w{k % 977}" for k in range(60_000)]
