@@ -5,7 +5,7 @@ from __future__ import annotations
 import difflib
 import re
 import unicodedata
-from urllib.parse import urlsplit
+from urllib.parse import urlsplit, urlunsplit
 
 import pandas as pd
 from pyspark.sql import Column
@@ -38,11 +38,12 @@ def slug(text: str) -> str:
 
 
 def plain_url(url: str | None) -> str:
-    """Scheme in lower case, host folded without a leading www., path without a final slash; query and fragment go."""
+    """Scheme in lower case, host folded without a leading www., path without final slashes; query and fragment go. Without
+    a scheme there is no host, and the text is a path."""
     if url is None or not str(url).strip():
         return ""
     parts = urlsplit(str(url).strip())
-    return f"{parts.scheme.lower()}://{parts.netloc.casefold().removeprefix('www.')}{parts.path.rstrip('/')}"
+    return urlunsplit((parts.scheme.casefold(), parts.netloc.casefold().removeprefix("www."), parts.path.rstrip("/"), "", ""))
 
 
 def similarity(a: str, b: str) -> float:

@@ -109,7 +109,7 @@ def fuzzy_candidates(previous: DataFrame, current: DataFrame, per_row: int = FUZ
     yes = lambda c: F.initcap(F.col(c).cast("string"))
     evidence = F.concat(
         F.format_string("name_similarity=%.3f;", "confidence"),
-        F.coalesce(F.format_string("distance_km=%.3f;", "distance"), F.lit("")),
+        F.coalesce(F.format_string("distance_km=%.3f;", "distance"), F.lit("distance_km=nan;")),
         F.lit("same_postal="), yes("same_postal"), F.lit(";same_address="), yes("same_address"),
     )
     order = [F.desc("confidence"), F.asc_nulls_last("distance"), F.desc("p_source_row"), F.desc("evidence")]
@@ -144,7 +144,7 @@ def link(previous: DataFrame, current: DataFrame, overrides: DataFrame | None =
     km = haversine_km(F.col("previous_latitude"), F.col("previous_longitude"), F.col("current_latitude"), F.col("current_longitude"))
     near = near.withColumn("km", km).where(F.col("km") <= NEAR_NAME_KM).select(
         "previous_row", "current_row", F.lit("exact_name_nearby").alias("method"), F.lit(1.0).alias("confidence"),
-        F.format_string("normalized_name;distance_km=%.3f", "km").alias("evidence"),
+        F.format_string("unique normalized name;distance_km=%.3f", "km").alias("evidence"),
     )
     matches = cut(matches.unionByName(near))
     a, b = _without(previous, matches, "previous_row"), _without(current, matches, "current_row")

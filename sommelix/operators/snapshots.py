@@ -82,10 +82,12 @@ def clean(raw: DataFrame, year: int) -> DataFrame:
 
 
 def partition_key(spec: Edition) -> Column:
-    """monaco before france, as Monaco was once listed under France; null for other countries."""
+    """Where Monaco is a country of its own, all of its rows are monaco; where it is listed under France, its city's are. The
+    city of Monaco is never france, so a row of it that fits neither has no partition; nor have other countries."""
     is_ = lambda c, v: F.coalesce(F.col(c) == v, F.lit(False))
-    monaco = is_("city", "Monaco") & is_("country", spec.monaco)
-    return F.when(monaco, "monaco").when(is_("country", "France"), "france").when(is_("country", "United Kingdom"), "uk")
+    city, france = is_("city", "Monaco"), is_("country", "France")
+    monaco = (city & france) if spec.monaco == "France" else is_("country", spec.monaco)
+    return F.when(monaco, "monaco").when(france & ~city, "france").when(is_("country", "United Kingdom"), "uk")
 
 
 def partitioned(cleaned: DataFrame, year: int) -> DataFrame:

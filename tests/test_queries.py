@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+from sommelix.functions import text
 from sommelix.operators import cubes, joins, linkage, rollups, snapshots
 from sommelix.operators.quality import QualityError
 from sommelix.plans import catalog
@@ -40,18 +41,23 @@ RAW = "Name string, Address string, Location string, Price string, Cuisine strin
 
 def test_snapshot_cleaning(spark):
     rows = [
-        ("France One", "a", "Paris, France", "$", "c", "u", "1 Star", 0, 2.35, 48.86),
-        ("Monaco One", "a", "Monaco, Principality of Monaco", "$", "c", None, "Selected Restaurants", 0, 7.42, 43.74),
-        ("UK One", "a", "London, United Kingdom", "$", "c", "u", "Bib Gourmand", 1, -0.12, 51.5),
-        ("US One", "a", "Miami, FL, USA", "$", "c", "u", "2 Stars", 0, -80.19, 25.76),
-        ("Singapore One", "a", "Singapore", "$", "c", "u", "3 Stars", 0, 103.82, 1.35),
+        ("Le Moulin", "3 quai Nord", "Annecy, France", "€€", "Alpine", "https://moulin.example", "1 Star", 0, 6.13, 45.9),
+        ("Rocher", "8 place Haute", "Monaco, Principality of Monaco", "€€€", "Fish", None, "Selected Restaurants", 0, 7.42, 43.73),
+        ("Casino", "1 place Basse", "Monte-Carlo, Principality of Monaco", "€€€", "Fish", None, "2 Stars", 0, 7.43, 43.74),
+        ("Port", "2 quai Sud", "Monaco, France", "€€", "Fish", None, "1 Star", 0, 7.41, 43.73),
+        ("Heron", "12 Mill Lane", "Norwich, United Kingdom", "££", "British", "https://heron.example", "Bib Gourmand", 1, 1.3, 52.63),
+        ("Lake House", "5 Shore Road", "Duluth, MN, USA", "$$", "Nordic", "https://lake.example", "2 Stars", 0, -92.1, 46.79),
+        ("Orchid", "9 Garden Walk", "Singapore", "$$$", "Malay", "https://orchid.example", "3 Stars", 0, 103.8, 1.3),
     ]
     raw = spark.createDataFrame(rows, RAW)
     cleaned = snapshots.clean(raw, 2026)
     got = {r["name"]: (r["city"], r["country"], r["stars"]) for r in cleaned.collect()}
-    assert got["US One"] == ("Miami", "USA", 2.0) and got["Singapore One"] == ("Singapore", "Singapore", 3.0)
-    assert {p: f.count() for p, f in snapshots.partitions(cleaned, 2026).items()} == {"france": 1, "monaco": 1, "uk": 1}
-    snapshots.snapshot_checks(cleaned, 2026, 5).require()
+    assert got["Lake House"] == ("Duluth", "USA", 2.0) and got["Orchid"] == ("Singapore", "Singapore", 3.0)
+    parts = {p: sorted(r["name"] for r in f.collect()) for p, f in snapshots.partitions(cleaned, 2026).items()}
+    assert parts == {"france": ["Le Moulin"], "monaco": ["Casino", "Rocher"], "uk": ["Heron"]}
+    before = snapshots.partitioned(cleaned.drop("greenstar"), 2024).where("name = 'Port'").first()
+    assert before["partition"] == "monaco"
+    snapshots.snapshot_checks(cleaned, 2026, 7).require()
     for bad in ({"Award": "Five Hats"}, {"Location": "Unmapped place"}, {"Longitude": 200.0}):
         broken = spark.createDataFrame([tuple(bad.get(c.split()[0], v) for c, v in zip(RAW.split(", "), rows[0]))], RAW)
         with pytest.raises(QualityError):
@@ -62,20 +68,20 @@ def test_snapshot_cleaning(spark):
 
 def test_enriched_addresses(spark):
     part = spark.createDataFrame(
-        [(1, "Paris One", "1 rue A, Paris, 75001, France"), (2, "South", "1 rue B, Ajaccio, 20100, France"), (3, "North", "1 rue C, Bastia, 20200, France")],
+        [(1, "Bistrot", "4 rue\u00a0Verte, Lyon, 69004,\u00a0France"), (2, "Maquis", "7 cours Bas, Sartene, 20100, France"), (3, "Cap", "2 rue Haute, Calvi, 20260, France")],
         "source_row int, name string, address string",
     )
-    departments = spark.createDataFrame([("75", "Paris", "Paris", "IDF"), ("2A", "CS", "Ajaccio", "Corsica"), ("2B", "HC", "Bastia", "Corsica")], "department_num string, department string, capital string, region string")
+    departments = spark.createDataFrame([("69", "Rhone", "Lyon", "ARA"), ("2A", "Corse-du-Sud", "Ajaccio", "Corse"), ("2B", "Haute-Corse", "Bastia", "Corse")], "department_num string, department string, capital string, region string")
     got = {r["source_row"]: (r["department_num"], r["location"]) for r in rollups.enrich_restaurants(part, departments).collect()}
-    assert got == {1: ("75", "Paris, 75001"), 2: ("2A", "Ajaccio, 20100"), 3: ("2B", "Bastia, 20200")}
+    assert got == {1: ("69", "Lyon, 69004"), 2: ("2A", "Sartene, 20100"), 3: ("2B", "Calvi, 20260")}
     with pytest.raises(QualityError):
         rollups.enrich_restaurants(part.where("source_row = 1"), departments.where("department_num = '2A'"))
 
 
 def test_ambiguous_names_are_only_candidates(spark):
     schema = "source_row int, name string, address string, url string, stars double, latitude double, longitude double"
-    a = spark.createDataFrame([(1, "Pavyllon", "1 rue A, Paris, 75001, France", None, 1.0, 48.86, 2.35)], schema)
-    b = spark.createDataFrame([(9, "Pavyllon Paris", "2 rue B, Paris, 75001, France", None, 1.0, 48.86, 2.35)], schema)
+    a = spark.createDataFrame([(4, "Table de Lise", "6 rue Neuve, Lyon, 69002, France", None, 1.0, 45.76, 4.83)], schema)
+    b = spark.createDataFrame([(11, "Table de Lise Lyon", "9 rue Vieille, Lyon, 69002, France", None, 1.0, 45.76, 4.83)], schema)
     found = linkage.link(linkage.prepare(a), linkage.prepare(b))
     assert found.matches.count() == 0 and found.candidates.count() == 1
     records = linkage.compare(a, b, 2025, 2026)
@@ -102,3 +108,10 @@ def test_joins_check_their_cardinality(spark):
         joins.checked_join(left, right, [("k", "k")])
     with pytest.raises(QualityError):
         joins.checked_join(left, right.limit(1), [("k", "k")], matched="w")
+
+
+def test_plain_urls():
+    assert text.plain_url("HTTPS://WWW.Example.org/Menu//?q=1#top") == "https://example.org/Menu"
+    assert text.plain_url(" www.example.org/x/ ") == "www.example.org/x"
+    assert text.plain_url("//www.example.org/x") == "//example.org/x"
+    assert text.plain_url(None) == text.plain_url("  ") == ""
