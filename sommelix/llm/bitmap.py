@@ -45,7 +45,7 @@ def _slot(low: np.ndarray, slots: int) -> np.ndarray:
     return ((low.astype(np.uint64) * np.uint64(slots)) >> np.uint64(32)).astype(np.int64)
 
 
-def pack(arrays: Iterator[np.ndarray], buckets: int, most: int = 2, flush: int = 2_000_000) -> Iterator[pd.DataFrame]:
+def pack(arrays: Iterator[np.ndarray], buckets: int, most: int = 2, flush: int = 500_000) -> Iterator[pd.DataFrame]:
     """Rows of PACKED; keys that occur more than ``most`` times among about ``flush`` keys are written so many times."""
     held: list[np.ndarray] = []
     n = 0

@@ -59,7 +59,7 @@ ROUNDS = 3
 #: Words of 64 bits in an odd sketch.
 SKETCH = 4
 #: Keys of a component that are held at once.
-CHUNK = 2_000_000
+CHUNK = 500_000
 #: Keys by which a class looks for its leader, the first ones in one order for all classes.
 LEAD_KEYS = 16
 
