@@ -60,37 +60,63 @@ def _edges(ring: str) -> str:
     return f"transform(sequence(0, size({ring}) - 2), i -> struct({ring}[i] AS a, {ring}[i + 1] AS b))"
 
 
+def _area_edges(rings: str) -> str:
+    return f"flatten(transform({rings}, r -> {_edges('r')}))"
+
+
 def ring_area(ring: str) -> Column:
     """Shoelace area of the named ring column, never negative."""
     return F.expr(f"abs(aggregate({_edges(ring)}, 0D, (s, e) -> s + (e.a.x * e.b.y - e.b.x * e.a.y))) / 2")
 
 
-def on_boundary(ring: str, x: str, y: str) -> Column:
+def _on_edge(edges: str, x: str, y: str) -> Column:
     return F.expr(
-        f"exists({_edges(ring)}, e -> (e.b.x - e.a.x) * ({y} - e.a.y) = (e.b.y - e.a.y) * ({x} - e.a.x)"
+        f"exists({edges}, e -> (e.b.x - e.a.x) * ({y} - e.a.y) = (e.b.y - e.a.y) * ({x} - e.a.x)"
         f" AND {x} BETWEEN least(e.a.x, e.b.x) AND greatest(e.a.x, e.b.x)"
         f" AND {y} BETWEEN least(e.a.y, e.b.y) AND greatest(e.a.y, e.b.y))"
     )
 
 
-def within(ring: str, x: str, y: str) -> Column:
-    """Point strictly inside: an odd number of edges to its right, and not on the boundary."""
+def _inside(edges: str, x: str, y: str) -> Column:
     crossed = F.expr(
-        f"size(filter({_edges(ring)}, e -> ((e.a.y > {y}) <> (e.b.y > {y}))"
+        f"size(filter({edges}, e -> ((e.a.y > {y}) <> (e.b.y > {y}))"
         f" AND {x} < (e.b.x - e.a.x) * ({y} - e.a.y) / nullif(e.b.y - e.a.y, 0) + e.a.x)) % 2 = 1"
     )
-    return crossed & ~on_boundary(ring, x, y)
+    return crossed & ~_on_edge(edges, x, y)
 
 
-def distance_to_ring(ring: str, x: str, y: str) -> Column:
-    """Distance to the ring's area: 0 inside, else to the nearest edge."""
+def _distance(edges: str, x: str, y: str) -> Column:
     nearest = F.expr(
-        f"array_min(transform({_edges(ring)}, e -> transform(array(struct(e.b.x - e.a.x AS dx, e.b.y - e.a.y AS dy)), d ->"
+        f"array_min(transform({edges}, e -> transform(array(struct(e.b.x - e.a.x AS dx, e.b.y - e.a.y AS dy)), d ->"
         f" transform(array(greatest(0D, least(1D, coalesce((({x} - e.a.x) * d.dx + ({y} - e.a.y) * d.dy)"
         f" / nullif(d.dx * d.dx + d.dy * d.dy, 0), 0D)))), t ->"
         f" sqrt(pow({x} - e.a.x - t * d.dx, 2) + pow({y} - e.a.y - t * d.dy, 2)))[0])[0]))"
     )
-    return F.when(within(ring, x, y) | on_boundary(ring, x, y), 0.0).otherwise(nearest)
+    return F.when(_inside(edges, x, y) | _on_edge(edges, x, y), 0.0).otherwise(nearest)
+
+
+def on_boundary(ring: str, x: str, y: str) -> Column:
+    return _on_edge(_edges(ring), x, y)
+
+
+def within(ring: str, x: str, y: str) -> Column:
+    """Point strictly inside: an odd number of edges to its right, and not on the boundary."""
+    return _inside(_edges(ring), x, y)
+
+
+def distance_to_ring(ring: str, x: str, y: str) -> Column:
+    """Distance to the ring's area: 0 inside, else to the nearest edge."""
+    return _distance(_edges(ring), x, y)
+
+
+def within_area(rings: str, x: str, y: str) -> Column:
+    """Point strictly inside an area of disjoint parts with holes, given as an array of all its rings."""
+    return _inside(_area_edges(rings), x, y)
+
+
+def distance_to_area(rings: str, x: str, y: str) -> Column:
+    """Distance to such an area: 0 inside and on any ring, else to the nearest edge, of a hole as well."""
+    return _distance(_area_edges(rings), x, y)
 
 
 def envelope(ring: str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sommelix.functions import geo, text
-from sommelix.operators import cubes, joins, linkage, quality, rollups, snapshots
+from sommelix.operators import cubes, joins, linkage, quality, rollups, snapshots, spatial
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -286,3 +286,24 @@ def rings(table):
         geo.within("ring", "x", "y").alias("inside"),
         F.round(geo.distance_to_ring("ring", "x", "y"), 6).alias("distance"),
     )
+
+
+# 25 squares of side 3, each with a square hole of side 1, one unit apart; points reach 0.3 across a border.
+@_query(f"""WITH {_POINTS}, q AS (SELECT vec_id, 40 * a AS x, 40 * b AS y FROM p),
+n AS (SELECT n_nationkey AS code, 4 * (n_nationkey % 5) - 10 AS x0, 4 * (n_nationkey // 5) - 10 AS y0 FROM nation),
+r AS (SELECT vec_id, code, x - x0 AS u, y - y0 AS v FROM q, n),
+d AS (SELECT vec_id, code, u > 0 AND u < 3 AND v > 0 AND v < 3 AND NOT (u BETWEEN 1 AND 2 AND v BETWEEN 1 AND 2) AS w,
+  CASE WHEN u BETWEEN 1 AND 2 AND v BETWEEN 1 AND 2 THEN least(u - 1, 2 - u, v - 1, 2 - v)
+    ELSE sqrt(pow(greatest(0, -u, u - 3), 2) + pow(greatest(0, -v, v - 3), 2)) END AS m FROM r),
+f AS (SELECT vec_id, min(code) FILTER (w) AS i, min(code) FILTER (NOT w AND m <= 0.3) AS n FROM d GROUP BY vec_id)
+SELECT vec_id AS id, coalesce(i, n) AS code, CASE WHEN i IS NOT NULL THEN 'within' WHEN n IS NOT NULL THEN 'nearest' END AS how FROM f""")
+def area_assignment(table):
+    x, y = 4 * (F.col("n_nationkey") % 5) - 10, 4 * F.floor(F.col("n_nationkey") / 5) - 10
+
+    def square(low: float, high: float):
+        corners = [(low, low), (high, low), (high, high), (low, high), (low, low)]
+        return F.array(*[F.struct((x + a).cast("double").alias("x"), (y + b).cast("double").alias("y")) for a, b in corners])
+
+    areas = table("nation").select(F.col("n_nationkey").alias("code"), F.array(square(0.0, 3.0), square(1.0, 2.0)).alias("rings"))
+    points = _points(table).select(F.col("vec_id").alias("id"), (40 * F.col("a")).alias("x"), (40 * F.col("b")).alias("y"))
+    return spatial.assign_areas(points, areas, 0.3, 4.0)
