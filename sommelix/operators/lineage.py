@@ -3,13 +3,25 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(frame: DataFrame) -> DataFrame:
-    """The frame as a checkpoint in spark.checkpoint.dir; a folder of our own only where none is set."""
-    session, context = frame.sparkSession, frame.sparkSession.sparkContext
+def shared_folder(session: SparkSession) -> str:
+    """spark.checkpoint.dir; a folder of our own only where none is set."""
+    context = session.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(session.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sommelix-"))
+    return context.getCheckpointDir()
+
+
+def shared_path(session: SparkSession, kind: str) -> str:
+    """A new name in the shared folder."""
+    return f"{shared_folder(session)}/{kind}-{uuid.uuid4().hex}"
+
+
+def cut(frame: DataFrame) -> DataFrame:
+    """The frame as a checkpoint in the shared folder."""
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()

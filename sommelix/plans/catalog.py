@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sommelix.functions import geo, text
-from sommelix.operators import cubes, joins, linkage, quality, rollups, snapshots, spatial
+from sommelix.operators import acceptance, cubes, departments, joins, linkage, quality, rollups, snapshots, spatial
+from sommelix.operators.lineage import shared_path
+from sommelix.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -307,3 +309,110 @@ def area_assignment(table):
     areas = table("nation").select(F.col("n_nationkey").alias("code"), F.array(square(0.0, 3.0), square(1.0, 2.0)).alias("rings"))
     points = _points(table).select(F.col("vec_id").alias("id"), (40 * F.col("a")).alias("x"), (40 * F.col("b")).alias("y"))
     return spatial.assign_areas(points, areas, 0.3, 4.0)
+
+
+# Customers written as CSV with quotes, separators and line breaks inside a field, read again and compared before it is returned.
+@_query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'say "' || c_name || '",' || chr(10) || 'twice' END AS note, c_acctbal
+FROM customer""")
+def csv_round_trip(table):
+    note = F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit('say "'), "c_name", F.lit('",\ntwice')))
+    frame = table("customer").select("c_custkey", note.alias("note"), "c_acctbal")
+    path = shared_path(frame.sparkSession, "csv")
+    read = lambda: files.read_csv(frame.sparkSession, path, "c_custkey long, note string, c_acctbal double", line_breaks=True)
+    return files.verified(frame, lambda f: files.write_csv(f, path), read)
+
+
+@_query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, printf('%.17f', c_custkey / 8.0) AS eighths FROM customer")
+def fixed_precision_csv(table):
+    frame = table("customer").select("c_custkey", (F.col("c_custkey") / 8.0).cast("double").alias("eighths"))
+    path = shared_path(frame.sparkSession, "csv")
+    files.write_csv(frame, path, decimals=17)
+    return files.read_text_csv(frame.sparkSession, path)
+
+
+# Each customer's key places a square; its ring is read back from the GeoJSON.
+@_query("""SELECT c_custkey AS code, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_name END AS name, 5 AS points,
+  (c_custkey % 100) / 4 AS west, (c_custkey % 100) / 4 + 0.5 AS east FROM customer""")
+def geojson_round_trip(table):
+    x = ((F.col("c_custkey") % 100) / 4).cast("double")
+    corner = lambda dx, dy: F.array(x + F.lit(dx), F.lit(dy))
+    ring = F.array(*[corner(dx, dy) for dx, dy in ((0.0, 0.0), (0.5, 0.0), (0.5, 0.5), (0.0, 0.5), (0.0, 0.0))])
+    name = F.when(F.col("c_custkey") % 4 != 0, F.col("c_name"))
+    frame = table("customer").select(F.col("c_custkey").alias("code"), name.alias("name"), F.array(ring).alias("rings"))
+    path = shared_path(frame.sparkSession, "geojson")
+    files.write_geojson(frame, path, "Polygon", "rings")
+    read = files.read_geojson(frame.sparkSession, path, "code: bigint, name: string")
+    ring = files.polygons(F.col("geometry"))[0][0]
+    east, west = (f(F.transform(ring, lambda p: p[0])) for f in (F.array_max, F.array_min))
+    return read.select("code", "name", F.size(ring).alias("points"), west.alias("west"), east.alias("east"))
+
+
+def _regions(table) -> DataFrame:
+    """Nations as departments, their number as code."""
+    return table("nation").select(
+        F.col("n_nationkey").cast("string").alias("department_code"), F.col("n_name").alias("department_name"),
+        (F.col("n_nationkey") + 10.0).cast("double").alias("area_sq_km"),
+    )
+
+
+def _observed(table, measure: str, values: dict, more: dict) -> DataFrame:
+    """A long table of text observations by nation, two years each, from counts of customers."""
+    cells = F.create_map(*[x for code, v in values.items() for x in (F.lit(code), v)])
+    by = table("customer").groupBy("c_nationkey").agg(F.count("*").alias("n"), F.count_if(F.col("c_acctbal") < 0).alias("low"))
+    counted = table("nation").join(by, F.col("n_nationkey") == F.col("c_nationkey"), "left").na.fill(0, ["n", "low"])
+    long = counted.select(F.col("n_nationkey").cast("string").alias("GEO"), F.explode(cells).alias(measure, "v"))
+    years = long.withColumn("TIME_PERIOD", F.explode(F.array(F.lit("2021"), F.lit("2022"))))
+    value = F.when(F.col("TIME_PERIOD") == "2022", F.col("v")).otherwise(-1).cast("string")
+    made = years.withColumns({"OBS_VALUE": value} | {k: F.lit(v) for k, v in more.items()}).drop("v")
+    return made.unionByName(made.where("GEO = '1'").withColumn("GEO", F.lit("ABROAD")))
+
+
+@_query("""WITH c AS (SELECT n_nationkey AS k, n_name, count(c_custkey) AS n, count(*) FILTER (c_acctbal < 0) AS low FROM nation
+LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL)
+SELECT CAST(k AS VARCHAR) AS department_code, n_name AS department_name, CAST(k + 10.0 AS DOUBLE) AS area_sq_km, CAST(n AS DOUBLE) AS municipal_population,
+  CAST(low AS DOUBLE) AS population_counted_separately, CAST(n + low AS DOUBLE) AS total_population,
+  CAST(n + 1 - low AS DOUBLE) AS employed_population_15_64, CAST(low AS DOUBLE) AS unemployed_population_15_64,
+  CAST(n + 1 AS DOUBLE) AS active_population_15_64, CAST(low AS DOUBLE) / (n + 1) * 100 AS census_unemployment_rate_15_64_percent,
+  CAST(n + 1500 AS DOUBLE) AS median_living_standard_eur, CAST(low AS DOUBLE) AS poverty_rate_percent,
+  CAST(n + 1200 AS DOUBLE) AS average_net_monthly_wage_fte_eur, 2022 AS reference_year, CAST(n AS DOUBLE) / (k + 10.0) AS population_density_per_sq_km FROM c""")
+def department_statistics(table):
+    regions, n, low = _regions(table), F.col("n"), F.col("low")
+    base = {"GEO_OBJECT": "DEP", "FREQ": "A"}
+    population = _observed(table, "POPREF_MEASURE", {"PMUN": n, "PCAP": low, "PTOT": n + low}, base)
+    jobs = _observed(table, "EMPSTA_ENQ", {"1": n + 1 - low, "2": low, "1T2": n + 1}, base | {"PCS": "_T", "AGE": "Y15T64"})
+    income = _observed(table, "FILOSOFI_MEASURE", {"MED_SL": n + 1500, "PR_MD60": low}, base)
+    wages = _observed(table, "DERA_MEASURE", {"SALAIRE_NET_EQTP_MENSUEL_MOYENNE": n + 1200}, base | {"SEX": "_T", "AGE": "_T", "CONF_STATUS": "F"})
+    made = [
+        departments.measured(population, departments.POPULATION, 2022, regions, "population"),
+        departments.employment(jobs, 2022, regions),
+        departments.measured(income, departments.LIVING_STANDARD, 2022, regions, "living standard"),
+        departments.measured(income, departments.POVERTY, 2022, regions, "poverty"),
+        departments.measured(wages, departments.WAGES, 2022, regions, "wages"),
+    ]
+    return departments.assembled(2022, regions, made)
+
+
+# Every row keeps its key and address, so all are matched; every 17th changes its award, every 11th its name.
+_CHANGES = """WITH s AS (SELECT c_custkey AS k, c_custkey % 5 AS a, (c_custkey + CASE WHEN c_custkey % 17 = 0 THEN 1 ELSE 0 END) % 5 AS b FROM customer)"""
+_NAMES = "CASE {} WHEN 0 THEN 'Selected Restaurants' WHEN 1 THEN 'Bib Gourmand' WHEN 2 THEN '1 Star' WHEN 3 THEN '2 Stars' ELSE '3 Stars' END"
+
+
+def _award_years(table) -> tuple[DataFrame, DataFrame, DataFrame]:
+    k = F.col("c_custkey")
+    award = lambda i: F.get(F.array(*[F.lit(a) for a in _AWARDS]), (i % 5).cast("int"))
+    base = table("customer").select(k.alias("source_row"), F.col("c_name").alias("name"), award(k).alias("award"), (k % 5).alias("stars"))
+    row, moved = F.col("source_row"), F.col("source_row") + F.when(F.col("source_row") % 17 == 0, 1).otherwise(0)
+    name = F.when(row % 11 == 0, F.concat("name", F.lit(" bis"))).otherwise(F.col("name"))
+    current = base.withColumns({"award": award(moved), "stars": moved % 5, "name": name})
+    return base, current, base.select(row.alias("previous_row"), row.alias("current_row"))
+
+
+@_query(f"""{_CHANGES} SELECT {_NAMES.format("a")} || ' -> ' || {_NAMES.format("b")} AS transition, count(*) AS n FROM s WHERE a <> b GROUP BY 1""")
+def award_transitions(table):
+    return acceptance.transitions(acceptance.matched_changes(*_award_years(table)))
+
+
+@_query("""SELECT c_custkey AS source_row, CASE WHEN c_custkey % 17 = 0 THEN 'award' WHEN c_custkey % 11 = 0 THEN 'descriptive' ELSE 'none' END AS change
+FROM customer""")
+def matched_changes(table):
+    return acceptance.matched_changes(*_award_years(table)).select(F.col("previous_row").alias("source_row"), "change")
