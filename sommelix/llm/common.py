@@ -105,18 +105,24 @@ def per_text(docs: DataFrame, make: Callable, fields: dict[str, tuple[str, pa.Da
     return inner.mapInArrow(run, schema).select(row.alias("row"), *fields)
 
 
-def _buckets(columns: list[str], n: int) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
+def _bit(columns: list[str], n: int) -> tuple[Column, Column]:
+    """Which of n bits stands for a row's columns: the word of 64 that holds it, and its place there."""
+    bit = F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
+    return F.shiftright(bit, 6), bit.bitwiseAND(63)
 
 
 def maybe_in(rows: DataFrame, columns: list[str], wanted: DataFrame, how: str = "left_semi", n: int = 1 << 22) -> DataFrame:
-    """rows whose columns may be in ``wanted`` (or, left_anti, surely are not). A broadcast of at most n numbers, hashes
-    of what is wanted, tells. It only saves moving rows: what is in must still be decided by a join. If so much is wanted
-    that almost every number would occur, nothing is sent and all rows may be in."""
+    """rows whose columns may be in ``wanted`` (or, left_anti, surely are not). A broadcast of n bits, in n / 64 numbers at
+    most, tells: those at the hashes of what is wanted are set. It only saves moving rows: what is in must still be decided
+    by a join. If more than n are wanted, most bits would be set, so nothing is sent and all rows may be in."""
     if wanted.count() > n:
         return rows if how == "left_semi" else rows.where(F.lit(False))
-    told = wanted.select(_buckets(columns, n).alias("_bucket")).distinct()
-    return rows.join(F.broadcast(told), _buckets(columns, n) == F.col("_bucket"), how)
+    word, place = _bit(columns, n)
+    places = wanted.select(word.alias("_word"), place.alias("_place"))
+    bits = places.groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _place)")).alias("_bits"))
+    told = rows.join(F.broadcast(bits), word == F.col("_word"), "left")
+    maybe = F.coalesce(F.getbit("_bits", place) == 1, F.lit(False))
+    return told.where(maybe if how == "left_semi" else ~maybe).drop("_word", "_bits")
 
 
 def doc_key() -> Column:
