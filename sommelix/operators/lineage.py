@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -25,3 +26,22 @@ def cut(frame: DataFrame) -> DataFrame:
     """The frame as a checkpoint in the shared folder."""
     shared_folder(frame.sparkSession)
     return frame.checkpoint()
+
+
+def saved(frame: DataFrame) -> DataFrame:
+    """The frame as a compressed table in the shared folder, which goes when the driver ends. Its size is known from then on, so
+    joins with it are planned by what it is and not by what its plan might have given: for loops, and tables read repeatedly."""
+    session = frame.sparkSession
+    name = shared_path(session, "table")
+    frame.write.parquet(name)
+    atexit.register(remove, session, name)
+    return session.read.parquet(name)
+
+
+def remove(session: SparkSession, name: str) -> None:
+    """Delete a folder, unless the session has ended."""
+    context = session.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    path = context._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
