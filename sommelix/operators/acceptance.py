@@ -70,7 +70,7 @@ def compared(previous: DataFrame, current: DataFrame, linked: Linkage, changes:
             F.count_if(F.col("change") == "descriptive").alias("other_changed_rows"),
             F.count_if(F.col("change") == "none").alias("unchanged_restaurants"),
         ),
-        changes.where("change = 'award'").select(F.explode(F.array("previous_award", "current_award")).alias("a"))
+        changes.where("change = 'award'").select(F.explode(F.array(*[F.coalesce(c, F.lit("nan")) for c in ("previous_award", "current_award")])).alias("a"))
         .agg(F.array_sort(F.collect_set("a")).alias("award_categories_changed")),
     ]
     row = reduce(lambda a, b: a.join(b, F.lit(True)), one)  # each side has one row

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sommelix.operators import tiling
+
 POINT = "struct<x: double, y: double>"
 
 
@@ -47,17 +49,22 @@ def reduced(points: np.ndarray, tolerance: float, least: int) -> np.ndarray:
     return stay
 
 
-def _reduce(batches: Iterator[pd.DataFrame], tolerance: float) -> Iterator[pd.DataFrame]:
+def _reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
-        for arc, least in zip(batch["arc"], batch["least"]):
+        for arc, least, tolerance in zip(batch["arc"], batch["least"], batch["tolerance"]):
             points = np.array([(p["x"], p["y"]) for p in arc])
             out.append([{"x": x, "y": y} for x, y in points[reduced(points, tolerance, int(least))].tolist()])
-        yield pd.DataFrame({"arc_id": batch["arc_id"], "line": out})
+        yield pd.DataFrame({"arc_id": batch["arc_id"], "tolerance": batch["tolerance"], "line": out})
 
 
 def simplified(areas: DataFrame, key: str, tolerance: float) -> DataFrame:
-    """(key, rings) with fewer points: every point left out is at most ``tolerance`` away from the new line.
+    """(key, rings) of the areas with fewer points; see ``simplified_at``."""
+    return simplified_at(areas, key, [tolerance]).drop("tolerance")
+
+
+def simplified_at(areas: DataFrame, key: str, tolerances: list[float]) -> DataFrame:
+    """(tolerance, key, rings) for each tolerance; borders are found and cut into arcs once for all of them. With fewer points: every point left out is at most the tolerance away from the new line.
 
     ``rings`` lists all closed rings of an area; keys are unique. Points where borders meet stay, and so does the first point of
     every ring, in the order of x and y; rings keep three points at least, and never vanish. Areas that share a border must
@@ -96,12 +103,27 @@ def simplified(areas: DataFrame, key: str, tolerance: float) -> DataFrame:
     # a ring of one arc needs two more points, of two arcs one on each
     least = F.max(F.when(c("n_arcs") == 1, 2).when(c("n_arcs") == 2, 1).otherwise(0))
     unique = arcs.groupBy("arc_id").agg(F.min("arc").alias("arc"), least.alias("least"))
-    lines = unique.mapInPandas(lambda batches: _reduce(batches, tolerance), f"arc_id binary, line array<{POINT}>")
+    at = unique.withColumn("tolerance", F.explode(F.array(*[F.lit(float(t)) for t in tolerances])))
+    lines = at.mapInPandas(_reduce, f"arc_id binary, tolerance double, line array<{POINT}>")
     back = arcs.select("owner", "ring_no", "arc_no", "forth", "arc_id").join(lines, "arc_id")
     line = F.when(c("forth"), c("line")).otherwise(F.reverse("line"))
-    whole = back.select("owner", "ring_no", F.struct("arc_no", F.slice(line, F.lit(1), F.size("line") - 1).alias("line")).alias("part"))
-    whole = whole.groupBy("owner", "ring_no").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    whole = back.select("tolerance", "owner", "ring_no", F.struct("arc_no", F.slice(line, F.lit(1), F.size("line") - 1).alias("line")).alias("part"))
+    whole = whole.groupBy("tolerance", "owner", "ring_no").agg(F.sort_array(F.collect_list("part")).alias("parts"))
     ring = F.flatten(F.transform("parts", lambda p: p["line"]))
-    whole = whole.select("owner", "ring_no", ring.alias("ring")).select("owner", F.struct("ring_no", F.concat("ring", F.slice("ring", 1, 1)).alias("ring")).alias("r"))
-    whole = whole.groupBy("owner").agg(F.sort_array(F.collect_list("r")).alias("r"))
-    return whole.select(c("owner").alias(key), F.transform("r", lambda r: r["ring"]).alias("rings"))
+    whole = whole.select("tolerance", "owner", "ring_no", ring.alias("ring")).select("tolerance", "owner", F.struct("ring_no", F.concat("ring", F.slice("ring", 1, 1)).alias("ring")).alias("r"))
+    whole = whole.groupBy("tolerance", "owner").agg(F.sort_array(F.collect_list("r")).alias("r"))
+    return whole.select("tolerance", c("owner").alias(key), F.transform("r", lambda r: r["ring"]).alias("rings"))
+
+
+def sweep(areas: DataFrame, key: str, region: str, tolerances: list[float]) -> DataFrame:
+    """(region, tolerance, n_areas, n_rings, n_points, area): what each tolerance leaves of each region's areas, in one job.
+
+    Areas of a region that are left out by ``simplified_at`` do not count; points count with the repeated last one."""
+    made = simplified_at(areas, key, tolerances).join(areas.select(key, region), key)
+    points = F.aggregate("rings", F.lit(0), lambda s, r: s + F.size(r)).cast("long")
+    sizes = tiling.area_of(made.select(F.struct("tolerance", key).alias("_which"), "rings"), "_which")
+    sizes = sizes.select(F.col("_which.tolerance").alias("tolerance"), F.col(f"_which.{key}").alias(key), "area")
+    counted = made.select(region, "tolerance", key, F.size("rings").cast("long").alias("n_rings"), points.alias("n_points")).join(sizes, ["tolerance", key], "left")
+    return counted.groupBy(region, "tolerance").agg(
+        F.count("*").alias("n_areas"), F.sum("n_rings").alias("n_rings"), F.sum("n_points").alias("n_points"), F.sum("area").alias("area")
+    )

@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(session: SparkSession) -> str:
-    """spark.checkpoint.dir; a folder of our own only where none is set."""
+    """spark.checkpoint.dir. Where none is set, a folder of our own if all runs on this machine; a cluster must name one."""
     context = session.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(session.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sommelix-"))
+        folder = session.conf.get("spark.checkpoint.dir", None)
+        if folder is None and context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="sommelix-"))
     return context.getCheckpointDir()
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sommelix.operators import tiling
+from sommelix.operators.lineage import saved
 from sommelix.operators.quality import QualityError
 from sommelix.operators.tiling import TILE, along
 
@@ -67,6 +68,7 @@ def assigned_regions(
     Fails where an override's key is absent or occurs more than once, and where an area has no region in the end."""
     lists = [F.create_map(*[F.lit(x) for kv in d.items() for x in kv]) if d else F.lit(None).cast("map<string,string>") for d in (overrides, fallbacks)]
     forced = F.get(F.array(lists[0][F.col(key).cast("string")]), F.lit(0))
+    majority = saved(majority)  # asked for by the checks as well
     found = areas.join(majority.select(key, F.col("region").alias("_most"), F.col("overlap_ratio").alias("_ratio")), key, "left")
     found = found.select(
         *areas.columns, forced.alias("_forced"), "_most", "_ratio", lists[1][F.col(delegation)].alias("_fallback"),

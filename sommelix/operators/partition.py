@@ -136,3 +136,35 @@ def overlap_metrics(areas: DataFrame, key: str) -> DataFrame:
     union = faces(areas.withColumn("_all", F.lit(0)), "_all", F.lit(0)).agg(F.coalesce(F.sum(face_area()), F.lit(0.0)).alias("union_area"))
     both = total.crossJoin(union)
     return both.withColumn("overlap_area", F.greatest(F.lit(0.0), F.col("summed_area") - F.col("union_area")))
+
+
+# Areas in square metres and shares below which an overlap or a change is none, negligible, or fatal above both.
+NONE_AREA, NONE_SHARE = 1e-6, 1e-9
+NEGLIGIBLE_AREA, NEGLIGIBLE_SHARE = 100.0, 1e-7
+FATAL_AREA, FATAL_SHARE = 1000.0, 1e-5
+NEGLIGIBLE_CHANGE, NEGLIGIBLE_CHANGE_SHARE = 10.0, 1e-8
+
+
+def residual_overlap_class(overlap: Column, union: Column, tolerance: Column | None = None) -> Column:
+    """``none`` up to the tolerance (by default the larger of an area and a share of the union), ``fatal`` above both fatal
+    bounds, ``negligible`` up to either negligible one, else ``review``; without any union the share is 0."""
+    tolerance = F.greatest(F.lit(NONE_AREA), union * NONE_SHARE) if tolerance is None else tolerance
+    share = F.when(union == 0, 0.0).otherwise(overlap / union)
+    return (
+        F.when(overlap <= tolerance, "none")
+        .when((overlap > FATAL_AREA) & (share > FATAL_SHARE), "fatal")
+        .when((overlap <= NEGLIGIBLE_AREA) | (share <= NEGLIGIBLE_SHARE), "negligible")
+        .otherwise("review")
+    )
+
+
+def area_change_class(before: Column, after: Column, source: Column, area: float, share: float) -> Column:
+    """How a repair changed an area, against the size of its source: ``fatal`` above both given bounds, ``negligible`` up to
+    either negligible one, else ``review``. Without any source every change is out of all proportion."""
+    change = F.abs(after - before)
+    part = F.when(source > 0, change / source).otherwise(float("inf"))
+    return (
+        F.when((change > area) & (part > share), "fatal")
+        .when((change <= NEGLIGIBLE_CHANGE) | (part <= NEGLIGIBLE_CHANGE_SHARE), "negligible")
+        .otherwise("review")
+    )

@@ -2,31 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sommelix.functions import geo, text
 from sommelix.operators import acceptance, cubes, departments, joins, linkage, quality, rollups, snapshots, spatial
 from sommelix.operators.lineage import shared_path
+from sommelix.plans import areas, checks, records  # noqa: F401  they register their own
+from sommelix.plans.registry import ORACLES, QUERIES  # noqa: F401
+from sommelix.plans.registry import query as _query
 from sommelix.sources import files
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 FLAGSHIP = "star_rollup"
 
 
-def _query(sql: str | None = None):
-    def add(make):
-        QUERIES[make.__name__] = lambda spark, sf_dir: make(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-        if sql:
-            ORACLES[make.__name__] = sql
-        return make
-
-    return add
-
-
 # A guide snapshot derived from customers; the SQL twin is _GUIDE.
 _LOCATIONS = ("Paris, France", "Monaco, Principality of Monaco", "London, United Kingdom", "Singapore", "Miami, FL, USA")
 _AWARDS = ("Selected Restaurants", "Bib Gourmand", "1 Star", "2 Stars", "3 Stars")
@@ -128,12 +117,13 @@ def pivot_cells(table):
 
 
 def _two_years(table) -> tuple[DataFrame, DataFrame]:
-    """Customers as two yearly tables: every seventh leaves, every eleventh is renamed, every thirteenth moves."""
+    """Customers as two yearly tables: every seventh leaves, every eleventh is renamed, every thirteenth moves;
+    every tenth has the address on the web of the one before."""
     k = F.col("c_custkey")
     base = table("customer").select(
         k.alias("source_row"), F.concat(F.lit("Chez "), "c_name").alias("name"),
         F.concat(k.cast("string"), F.lit(" rue A, Ville, 75001, France")).alias("address"),
-        F.concat(F.lit("https://www.example.org/"), (k % 900).cast("string"), F.lit("/")).alias("url"),
+        F.concat(F.lit("https://www.example.org/"), (k - F.when(k % 10 == 0, 1).otherwise(0)).cast("string"), F.lit("/")).alias("url"),
         F.get(F.array(*[F.lit(x) for x in (0.25, 0.5, 1.0, 2.0, 3.0)]), (k % 5).cast("int")).alias("stars"),
         F.lit("1 Star").alias("award"), (k % 2).cast("double").alias("greenstar"),
         (45 + (k % 1000) / 500).alias("latitude"), (2 + F.floor(k / 1000) / 50).alias("longitude"),
@@ -148,8 +138,8 @@ def _two_years(table) -> tuple[DataFrame, DataFrame]:
     return base, current
 
 
-@_query("""WITH p AS (SELECT c_custkey % 900 AS u, min(c_custkey) AS k FROM customer GROUP BY 1 HAVING count(*) = 1),
-c AS (SELECT c_custkey % 900 AS u, min(c_custkey) AS k FROM customer WHERE c_custkey % 7 <> 0 GROUP BY 1 HAVING count(*) = 1)
+@_query("""WITH p AS (SELECT c_custkey - CASE c_custkey % 10 WHEN 0 THEN 1 ELSE 0 END AS u, min(c_custkey) AS k FROM customer GROUP BY 1 HAVING count(*) = 1),
+c AS (SELECT c_custkey - CASE c_custkey % 10 WHEN 0 THEN 1 ELSE 0 END AS u, min(c_custkey) AS k FROM customer WHERE c_custkey % 7 <> 0 GROUP BY 1 HAVING count(*) = 1)
 SELECT p.k AS previous_row, c.k AS current_row FROM p JOIN c USING (u)""")
 def unique_key_match(table):
     a, b = _two_years(table)
