@@ -14,9 +14,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from sommelix.llm.hashing import mix
+
 #: At most so many bits; a bitmap is sent to all executors.
 BITS = 1 << 27
-#: Keys a bucket holds, at most about twice.
+#: Different keys a bucket holds, about: keys are mixed first, so any keys, smallest hashes as well, spread evenly.
 BUCKET_KEYS = 1 << 21
 PACKED = "bucket int, keys binary"
 
@@ -60,7 +62,7 @@ def pack(arrays: Iterator[np.ndarray], buckets: int, most: int = 2, flush: int =
 
     for keys in arrays:
         if len(keys):
-            held.append(keys)
+            held.append(mix(keys))
             n += len(keys)
         if n >= flush:
             yield written()
@@ -108,6 +110,6 @@ def present(keys: DataFrame, buckets: int, bits: int = BITS) -> np.ndarray:
 
 def known(seen: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys have their bit."""
-    bucket, low = _split(keys, len(seen))
+    bucket, low = _split(mix(keys), len(seen))
     slot = _slot(low, seen.shape[1] * 8)
     return (seen[bucket.astype(np.int64), slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sommelix.operators.lineage import cut, saved, shared_folder  # noqa: F401  for the operators of this subpackage
+
 #: Space and the controls tab to carriage return separate words.
 SEPARATORS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,38 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a folder of our own only where none is set."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sommelix-"))
-    return context.getCheckpointDir()
-
-
-def saved(df: DataFrame) -> DataFrame:
-    """Cut the lineage through a compressed table in the shared folder; it goes when the driver ends. For larger tables
-    that are read more than once."""
-    spark = df.sparkSession
-    name = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(name)
-    atexit.register(_remove, spark, name)
-    return spark.read.parquet(name)
-
-
-def _remove(spark: SparkSession, name: str) -> None:
-    context = spark.sparkContext
-    if context._jsc is None or context._jsc.sc().isStopped():
-        return
-    path = context._jvm.org.apache.hadoop.fs.Path(name)
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared checkpoint folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def n_words(text: Column) -> Column:
     """Number of words; null counts as no text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

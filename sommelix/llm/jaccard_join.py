@@ -53,8 +53,8 @@ ALONE = 2
 #: Sizes below FINE: each element is a segment.
 FINE = 32
 BLOCK = 1000
-#: Keys written so often are picked last; a bitmap of a quarter of the other's size tells them.
-OFTEN = 8
+#: Of keys written so often, or so much more often, the rarer are picked first; small bitmaps tell each of these levels.
+OFTEN = (8, 32, 128, 512)
 ROUNDS = 3
 #: Words of 64 bits in an odd sketch.
 SKETCH = 4
@@ -123,11 +123,11 @@ class Parts:
         self.worth = np.where(self.sizes >= 2, 2, 1)
 
     def pick(self, open_: np.ndarray, need: int, often: np.ndarray | None = None) -> np.ndarray:
-        """Segments to pick, of those open: not frequent, then largest ones first until their worth is enough."""
+        """Segments to pick, of those open: the least frequent, then largest ones first until their worth is enough."""
         if need <= 0:
             return np.zeros(0, np.int64)
         chosen = np.flatnonzero(open_)
-        often = np.zeros(len(chosen), bool) if often is None else often[chosen]
+        often = np.zeros(len(chosen), np.int64) if often is None else often[chosen]
         chosen = chosen[np.lexsort((-self.sizes[chosen], often))]
         return chosen[: int(np.searchsorted(np.cumsum(self.worth[chosen]), need)) + 1]
 
@@ -168,14 +168,15 @@ def written(r: int, own: int, tokens: np.ndarray, spread: float = 1.0) -> np.nda
 class Looker:
     """Allocation by cost: which of a set's keys others have written, and which to look for."""
 
-    def __init__(self, seen: np.ndarray, often: np.ndarray, spread: float = 1.0):
+    def __init__(self, seen: np.ndarray, often: list[np.ndarray], spread: float = 1.0):
         self.seen, self.often, self.spread = seen, often, spread
 
     def _ask(self, parts: Parts, among: np.ndarray | None, left: int):
         """Keys others have, the first of these for finding a leader, the worth of segments that surely differ, the picked keys,
         and whether the segments were too few."""
         hit = known(self.seen, parts.keys)
-        frequent = known(self.often, parts.keys[hit])
+        level = sum(known(o, parts.keys[hit]).astype(np.int64) for o in self.often)
+        frequent = level > 0
         open_ = np.zeros(len(parts.sizes), bool)
         open_[parts.owner[hit]] = True
         allowed = np.ones(len(parts.sizes), bool)
@@ -183,8 +184,8 @@ class Looker:
             allowed[:] = False
             allowed[among] = True
         sure = int(parts.worth[~open_ & allowed].sum())
-        often = np.zeros(len(parts.sizes), bool)
-        often[parts.owner[hit][frequent]] = True
+        often = np.zeros(len(parts.sizes), np.int64)
+        np.maximum.at(often, parts.owner[hit], level)
         picked = parts.pick(open_ & allowed, left + 1 - sure, often)
         short = int(parts.worth[picked].sum()) < left + 1 - sure
         if among is not None:  # of the others nothing was written
@@ -238,16 +239,17 @@ def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return maybe_in(docs, ["kd"], special, "left_anti").union(moved.join(copies, "kd", "left_anti").select(docs.columns))
 
 
-def _bitmaps(rows: DataFrame, keys: Callable, n_keys: int, most_bits: int, often: int) -> list[np.ndarray]:
-    """Bitmaps of the keys that all rows write at least twice, and (a smaller one) often; keys() gives a function of a batch."""
+def _bitmaps(rows: DataFrame, keys: Callable, n_keys: int, most_bits: int, often: tuple[int, ...] = ()) -> list[np.ndarray]:
+    """Bitmaps of the keys that all rows write at least twice, and smaller ones of those written so often; keys() gives a
+    function of a batch. More than the largest number of one key among some are not told apart."""
     buckets, bits = n_buckets(n_keys), n_bits(n_keys, most_bits)
 
     def packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = keys()
-        for packed in pack((x for batch in _small(batches) for x in of(batch)), buckets, often):
+        for packed in pack((x for batch in _small(batches) for x in of(batch)), buckets, max((2, *often))):
             yield pa.RecordBatch.from_pandas(packed, pa.schema([("bucket", pa.int32()), ("keys", pa.binary())]), preserve_index=False)
 
-    return bitmaps(rows.mapInArrow(packing, PACKED), buckets, ((2, bits), (often, bits // 4)))
+    return bitmaps(rows.mapInArrow(packing, PACKED), buckets, ((2, bits), *((n, bits // min(16, n // 2)) for n in often)))
 
 
 def shared_parts(docs: DataFrame, n_elements: int, bits: int) -> DataFrame:
@@ -259,7 +261,7 @@ def shared_parts(docs: DataFrame, n_elements: int, bits: int) -> DataFrame:
         return lambda batch: (s for text in batch.column("text").to_pylist() if len(s := shingles(text)) > ALONE)
 
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast(_bitmaps(docs.select("text"), elements, n_elements, bits, 2)[0])
+    shared = context.broadcast(_bitmaps(docs.select("text"), elements, n_elements, bits)[0])
 
     def make():
         shingles = Shingles()
@@ -304,7 +306,8 @@ def described(parts: DataFrame, bits: int, spread: float) -> DataFrame:
     shared = context.broadcast(_bitmaps(parts.select("n", "own", "part"), keys, n_keys, bits, OFTEN))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = Looker(*shared.value, spread)
+        seen, *often = shared.value
+        look = Looker(seen, often, spread)
         for batch in _small(batches):
             made = [look(*x) for x in _sets(batch)]
             columns = [pa.array([k.tobytes() for k in x], pa.binary()) for x in list(zip(*made))[:3]]
@@ -424,7 +427,7 @@ def in_several(rows: DataFrame, bits: int) -> DataFrame:
 
     context = rows.sparkSession.sparkContext
     n_keys = (rows.agg(F.sum(F.length("kept") + F.length("picked"))).first()[0] or 0) // 8
-    shared = context.broadcast(_bitmaps(rows.select("component", "kept", "picked"), keys, n_keys, bits, 2)[0])
+    shared = context.broadcast(_bitmaps(rows.select("component", "kept", "picked"), keys, n_keys, bits)[0])
 
     def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _small(batches):
