@@ -50,22 +50,30 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group the document with the smallest id; null ids come last, then the texts' hashes decide."""
+    """Keeps of each group the document with the smallest id; null ids come last, then the texts' hashes decide. Of equal rows
+    with words one stays, as they are one group; documents without words are in no group and all stay. An empty table stays
+    empty; other columns stay as they are, whatever their names."""
     keyed = docs.select(doc_key().alias("doc"), F.struct("*").alias("row"))
-    groups = jaccard_join.with_component_ids(jaccard_join.jaccard_groups(docs.select(doc_key().alias("doc_id"), "text")))
+    groups = saved(jaccard_join.with_component_ids(jaccard_join.jaccard_groups(docs.select(doc_key().alias("doc_id"), "text"))))
     gone = saved(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("doc")).distinct())
     stay = maybe_in(keyed, ["doc"], gone, "left_anti").union(maybe_in(keyed, ["doc"], gone).join(gone, "doc", "left_anti"))
+    again = saved(groups.where("n_shingles > 0").groupBy(F.col("doc_id").alias("doc")).count().where("count > 1").select("doc"))
+    if not again.isEmpty():
+        repeated = maybe_in(stay, ["doc"], again)
+        once = repeated.join(again, "doc", "left_semi").dropDuplicates(["doc"])
+        stay = maybe_in(stay, ["doc"], again, "left_anti").union(repeated.join(again, "doc", "left_anti")).union(once)
     return stay.select("row.*")
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents of which a twentieth or more is benchmark text."""
+    """Rejects documents of which a twentieth or more is benchmark text. Documents without words stay, repeated rows share their
+    fate, and without benchmark items all stay; other columns stay as they are."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.decontamination(docs, benchmark).where("NOT contaminated").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes."""
+    """How many words of each document the mix takes; see ``mixing.mix`` for null sources, ties, repeats and empty tables."""
     return mixing.mix(docs)
 
 
@@ -77,7 +85,7 @@ STAGES = [
     ("mixing", mix_sources),
 ]
 
-#: The first stage is a trained model, which SQL cannot express; tests hold each stage against brute force.
+#: The first stage is a trained model, which SQL cannot express; ``tests/llm`` hold the other stages against brute force.
 ORACLE_SQL = None
 
 
