@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from sommelix.functions.text import normalized_name
 from sommelix.operators.cubes import pivoted
 from sommelix.operators.joins import checked_join
-from sommelix.operators.quality import Checks, require_columns, require_unique
+from sommelix.operators.lineage import saved
+from sommelix.operators.quality import Checks, QualityError, require_columns, require_unique
 
 
 @dataclass(frozen=True)
@@ -73,9 +74,16 @@ def observations(raw: DataFrame, spec: Slice, year: int, label: str) -> DataFram
 def complete(frame: DataFrame, departments: DataFrame, label: str) -> DataFrame:
     """Rows of the given departments, of which each must have exactly one; other rows go."""
     known = departments.select("department_code")
-    found = require_unique(frame.join(known, "department_code", "left_semi"), ["department_code"], label)
-    missing = known.join(frame, "department_code", "left_anti").withColumn("missing", F.lit(True))
-    Checks(missing).rows(f"departments without {label}", 0).require()
+    found = frame.join(known, "department_code", "left_semi")
+    counted = known.join(found.groupBy("department_code").agg(F.count("*").alias("n")), "department_code", "left")
+    code = lambda condition: F.min(F.when(condition, F.col("department_code")))
+    lost = counted.agg(
+        F.count_if(F.col("n").isNull()).alias("n_missing"), code(F.col("n").isNull()).alias("missing"), F.count_if(F.col("n") > 1).alias("n_more"), code(F.col("n") > 1).alias("more")
+    ).first()
+    if lost.n_missing:
+        raise QualityError(f"departments without {label}: {lost.n_missing}, first {lost.missing}")
+    if lost.n_more:
+        raise QualityError(f"{label} is not unique by department_code: {lost.n_more}, first {lost.more}")
     return found
 
 
@@ -117,8 +125,11 @@ def gross_product(raw: DataFrame, year: int, departments: DataFrame) -> tuple[Da
 
 
 def assembled(year: int, departments: DataFrame, slices: list[DataFrame]) -> DataFrame:
-    """Departments with the columns of all slices, each unique by department, and people by square kilometre."""
-    key = [("department_code", "department_code")]
-    whole = reduce(lambda a, b: checked_join(a, b.drop("department_name", "CONF_STATUS"), key, one_to_one=True), slices, departments)
+    """Departments with the columns of all slices, each unique by department, and people by square kilometre. Slices are made
+    once, and are told to be unique together, in one aggregation."""
+    slices = [saved(s.drop("department_name", "CONF_STATUS")) for s in slices]
+    named = [s.select(F.lit(i).alias("slice"), "department_code") for i, s in enumerate([departments, *slices])]
+    require_unique(reduce(DataFrame.unionByName, named), ["slice", "department_code"], "departments and slices")
+    whole = reduce(lambda a, b: a.join(b, "department_code", "left"), slices, departments)
     density = F.col("municipal_population") / F.col("area_sq_km")
     return whole.withColumns({"reference_year": F.lit(year), "population_density_per_sq_km": density})

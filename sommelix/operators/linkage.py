@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sommelix.functions import text
 from sommelix.functions.geo import haversine_km
 from sommelix.operators.joins import first_by, unique_match
-from sommelix.operators.lineage import cut
+from sommelix.operators.lineage import saved
 from sommelix.operators.quality import QualityError
 
 # The tiers in order (method, keys), distances and the least score of a candidate.
@@ -118,24 +118,29 @@ def fuzzy_candidates(previous: DataFrame, current: DataFrame, per_row: int = FUZ
     )
 
 
-def link(previous: DataFrame, current: DataFrame, overrides: DataFrame | None = None, cut=cut) -> Linkage:
-    """The waterfall over prepared frames. ``overrides`` (previous_row, current_row, evidence) come first; ``cut``
-    cuts the lineage of the prepared frames and between tiers, or the plan would double with each tier."""
-    spark = previous.sparkSession
-    previous, current = cut(previous), cut(current)
-    matches = spark.createDataFrame([], MATCH)
+def link(previous: DataFrame, current: DataFrame, overrides: DataFrame | None = None) -> Linkage:
+    """The waterfall over prepared frames. ``overrides`` (previous_row, current_row, evidence) come first. Tiers carry rows'
+    numbers, keys and places only; what a tier finds is written, so the next one's plan is its own."""
     if overrides is not None:
         for side in ("previous_row", "current_row"):
             if not overrides.groupBy(side).count().where("count > 1").isEmpty():
                 raise QualityError(f"an override uses a {side} twice")
-        matches = overrides.select("previous_row", "current_row", F.lit("override").alias("method"), F.lit(1.0).alias("confidence"), "evidence")
-    a, b = _without(previous, matches, "previous_row"), _without(current, matches, "current_row")
+    previous, current = saved(previous), saved(current)
+    needed = ["source_row", *dict.fromkeys([k for _, keys in TIERS for k in keys] + ["normalized_name", "latitude", "longitude"])]
+    a, b = previous.select(needed), current.select(needed)
+    found = []
+
+    def take(tier: DataFrame) -> None:
+        nonlocal a, b
+        tier = saved(tier)
+        found.append(tier)
+        a, b = _without(a, tier, "previous_row"), _without(b, tier, "current_row")
+
+    if overrides is not None:
+        take(overrides.select("previous_row", "current_row", F.lit("override").alias("method"), F.lit(1.0).alias("confidence"), "evidence"))
     for method, keys in TIERS:
-        found = unique_match(a, b, list(keys)).withColumns(
-            {"method": F.lit(method), "confidence": F.lit(1.0), "evidence": F.lit("+".join(keys))}
-        )
-        matches = cut(matches.unionByName(found))
-        a, b = _without(previous, matches, "previous_row"), _without(current, matches, "current_row")
+        named = {"method": F.lit(method), "confidence": F.lit(1.0), "evidence": F.lit("+".join(keys))}
+        take(unique_match(a, b, list(keys)).withColumns(named))
     near = unique_match(a, b, ["normalized_name"])
     sides = ["source_row", "latitude", "longitude"]
     near = near.join(_sided(a, "previous", sides).withColumnRenamed("previous_source_row", "previous_row"), "previous_row").join(
@@ -146,9 +151,9 @@ def link(previous: DataFrame, current: DataFrame, overrides: DataFrame | None =
         "previous_row", "current_row", F.lit("exact_name_nearby").alias("method"), F.lit(1.0).alias("confidence"),
         F.format_string("unique normalized name;distance_km=%.3f", "km").alias("evidence"),
     )
-    matches = cut(matches.unionByName(near))
-    a, b = _without(previous, matches, "previous_row"), _without(current, matches, "current_row")
-    a, b = cut(a), cut(b)
+    take(near)
+    matches = reduce(DataFrame.unionByName, found)
+    a, b = saved(_without(previous, matches, "previous_row")), saved(_without(current, matches, "current_row"))
     return Linkage(matches, a, b, duplicate_conflicts(a, b), fuzzy_candidates(a, b))
 
 
