@@ -29,7 +29,6 @@ FUZZY_KM = 2.0
 FUZZY_SCORE = 0.72
 FUZZY_PER_ROW = 3
 MATERIAL = ("promoted", "demoted", "newly_starred", "green_star_gained", "green_star_lost")
-MATCH = "previous_row bigint, current_row bigint, method string, confidence double, evidence string"
 
 
 def prepare(frame: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def overlaps(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -
     sides = [
         areas.select(F.lit(side).alias("side"), F.col(key).alias("key"), "rings") for side, areas, key in (("l", left, left_key), ("r", right, right_key))
     ]
-    edges = tiling.directed_edges(sides[0].unionByName(sides[1]), ["side", "key"])
+    edges = saved(tiling.directed_edges(sides[0].unionByName(sides[1]), ["side", "key"]))
     counts = {"l": F.count_if(F.col("side") == "l"), "r": F.count_if(F.col("side") == "r")}
     rows = tiling.tiled(tiling.pieces(edges, ["side", "key"], tiling.frame(edges)), ["side", "key"], counts, f"l * r > {PAIRS}", "l > 0 AND r > 0")
     others = rows.where("side = 'r'").select(*TILE, F.col("key").alias("r_key"), *[F.col(c).alias(f"r_{c}") for c in (*tiling.LINE, "s")])

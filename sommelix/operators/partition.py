@@ -21,44 +21,49 @@ PIECES = 24
 GRAIN = 2.0**-46
 
 
+#: Areas of one plane are put in order among themselves only; planes lie in the same tiles, but do not meet.
+SHEET = (*TILE, "plane")
+
+
 def _unhidden(rows: DataFrame) -> DataFrame:
     """Pieces without those of areas of which nothing is seen in a tile: one of lower rank fills it, or looks the same there."""
     c = F.col
     full = (c("x1") == c("tx")) & (c("x2") == c("tx") + c("size")) & (c("y1") == c("ty") + c("size")) & (c("y2") == c("y1")) & (c("s") == 1)
     looks = F.sum(F.xxhash64(*LINE, "s").cast("decimal(38,0)")), F.sum(F.xxhash64("s", *reversed(LINE)).cast("decimal(38,0)"))
-    per = rows.groupBy(*TILE, "rank").agg(F.count("*").alias("n"), F.max(full).alias("full"), F.struct(*looks).alias("looks"))
-    first = Window.partitionBy(*TILE, "n", "looks").orderBy("rank")
-    filled = F.min(F.when(c("full") & (c("n") == 1), c("rank"))).over(Window.partitionBy(*TILE))
+    per = rows.groupBy(*SHEET, "rank").agg(F.count("*").alias("n"), F.max(full).alias("full"), F.struct(*looks).alias("looks"))
+    first = Window.partitionBy(*SHEET, "n", "looks").orderBy("rank")
+    filled = F.min(F.when(c("full") & (c("n") == 1), c("rank"))).over(Window.partitionBy(*SHEET))
     seen = per.withColumn("filled", filled).withColumn("nth", F.row_number().over(first)).where("nth = 1 AND (filled IS NULL OR rank <= filled)")
-    return rows.join(seen.select(*TILE, "rank"), [*TILE, "rank"])
+    return rows.join(seen.select(*SHEET, "rank"), [*SHEET, "rank"])
 
 
 def _slabs(rows: DataFrame) -> DataFrame:
     """(tile, u, v): stretches of x between neighbouring ends and crossings of the tile's pieces."""
-    lines = rows.select(*TILE, *LINE).distinct()
-    other = lines.select(*TILE, *[F.col(c).alias(f"o_{c}") for c in LINE])
-    met = lines.join(other, list(TILE)).where("struct(x1, y1, x2, y2) < struct(o_x1, o_y1, o_x2, o_y2) AND x1 < o_x2 AND o_x1 < x2")
+    lines = rows.select(*SHEET, *LINE).distinct()
+    other = lines.select(*SHEET, *[F.col(c).alias(f"o_{c}") for c in LINE])
+    met = lines.join(other, list(SHEET)).where("struct(x1, y1, x2, y2) < struct(o_x1, o_y1, o_x2, o_y2) AND x1 < o_x2 AND o_x1 < x2")
     low, high = F.greatest("x1", "o_x1"), F.least("x2", "o_x2")
     apart = [along(x, *map(F.col, LINE)) - along(x, *[F.col(f"o_{c}") for c in LINE]) for x in (low, high)]
     crossing = low + (high - low) * (apart[0] / (apart[0] - apart[1]))
-    crossings = met.where(apart[0] * apart[1] < 0).select(*TILE, crossing.alias("u"))
-    ends = lines.select(*TILE, F.explode(F.array("x1", "x2")).alias("u"))
+    crossings = met.where(apart[0] * apart[1] < 0).select(*SHEET, crossing.alias("u"))
+    ends = lines.select(*SHEET, F.explode(F.array("x1", "x2")).alias("u"))
     breaks = ends.unionByName(crossings).distinct()
-    return breaks.withColumn("v", F.lead("u").over(Window.partitionBy(*TILE).orderBy("u"))).where("v IS NOT NULL")
+    return breaks.withColumn("v", F.lead("u").over(Window.partitionBy(*SHEET).orderBy("u"))).where("v IS NOT NULL")
 
 
-def faces(areas: DataFrame, keep: str, rank: Column) -> DataFrame:
+def faces(areas: DataFrame, keep: str, rank: Column, plane: Column | None = None) -> DataFrame:
     """(keep, u, v, high_u, high_v, low_u, low_v): disjoint faces of areas, each of the lowest rank (a long) that covers it.
 
-    A face lies between two lines over x from u to v. Areas of equal rank are one area; ``keep`` must follow from the rank."""
-    ranked = areas.select(rank.cast("long").alias("rank"), "rings")
-    edges = tiling.directed_edges(ranked, ["rank"])
+    A face lies between two lines over x from u to v. Areas of equal rank are one area; ``keep`` must follow from the rank, and
+    from the plane (a long), if areas are told apart by planes: then those of different planes may share a place."""
+    sheet = [rank.cast("long").alias("rank"), (F.lit(0) if plane is None else plane).cast("long").alias("plane")]
+    edges = saved(tiling.directed_edges(areas.select(*sheet, "rings"), ["rank", "plane"]))
     tile = tiling.frame(edges)
     grain = tile[2] * GRAIN
-    rows = tiling.tiled(tiling.pieces(edges, ["rank"], tile), ["rank"], {"n": F.count("*")}, f"n > {PIECES}", prune=_unhidden)
-    slab = [*TILE, "u", "v"]
+    rows = tiling.tiled(tiling.pieces(edges, ["rank", "plane"], tile), ["rank", "plane"], {"n": F.count("*")}, f"n > {PIECES}", prune=_unhidden, tile=SHEET)
+    slab = [*SHEET, "u", "v"]
     c = F.col
-    in_slab = rows.join(_slabs(rows), list(TILE)).where("x1 <= u AND x2 >= v")
+    in_slab = rows.join(_slabs(rows), list(SHEET)).where("x1 <= u AND x2 >= v")
     in_slab = in_slab.select(*slab, "rank", "s", *[(c("ty") + F.rint((along(c(x), *map(c, LINE)) - c("ty")) / grain) * grain).alias(f"y_{x}") for x in "uv"])
     # lines of one area that run together there count once, with what they add up to
     in_slab = in_slab.groupBy(*slab, "rank", "y_u", "y_v").agg(F.sum("s").alias("s")).where("s <> 0")
@@ -75,9 +80,9 @@ def faces(areas: DataFrame, keep: str, rank: Column) -> DataFrame:
     gaps = levels.select(*slab, "top", below.alias("under")).where("under IS NOT NULL")
     held = gaps.join(runs.select(*slab, "rank", "high", "low"), slab).where("high.mid >= top.mid AND low.mid <= under.mid")
     owned = held.groupBy(*slab, "top", "under").agg(F.min("rank").alias("rank"))
-    names = areas.select(rank.cast("long").alias("rank"), keep).groupBy("rank").agg(F.min(keep).alias(keep))
-    return owned.join(names, "rank").select(
-        keep, "u", "v", *[c(f"{p}.y_{x}").alias(f"{q}_{x}") for p, q in (("top", "high"), ("under", "low")) for x in "uv"]
+    names = areas.select(*sheet, F.col(keep).alias("_keep")).groupBy("rank", "plane").agg(F.min("_keep").alias("_keep"))
+    return owned.join(names, ["rank", "plane"]).select(
+        c("_keep").alias(keep), "u", "v", *[c(f"{p}.y_{x}").alias(f"{q}_{x}") for p, q in (("top", "high"), ("under", "low")) for x in "uv"]
     )
 
 
@@ -96,9 +101,9 @@ def outlines(made: DataFrame, keep: str) -> DataFrame:
 
 
 def joined(parts: DataFrame, key: str) -> DataFrame:
-    """(key, rings): the union of the parts of each key, whether they overlap or not. Keys must not overlap each other; to join
-    them all, give them one key. See ``dissolve.dissolved`` for parts that only adjoin."""
-    return outlines(faces(parts, key, F.xxhash64(key)), key)
+    """(key, rings): the union of the parts of each key, whether they overlap or not; keys may overlap each other. See
+    ``dissolve.dissolved`` for parts that only adjoin."""
+    return outlines(faces(parts, key, F.lit(0), F.xxhash64(key)), key)
 
 
 def smallest_wins(areas: DataFrame, key: str, name: str) -> tuple[DataFrame, DataFrame]:

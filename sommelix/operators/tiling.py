@@ -143,14 +143,14 @@ def split(rows: DataFrame, keep: Sequence[str], fan: int = FAN) -> DataFrame:
     return own.unionByName(cover).groupBy(*keep, *TILE, *LINE).agg(F.sum("s").cast("int").alias("s")).where("s <> 0")
 
 
-def tiled(rows: DataFrame, keep: Sequence[str], counts: dict[str, Column], hot: str, live: str = "true", prune=None) -> DataFrame:
-    """Pieces in tiles of which none is hot. ``counts`` are taken for each tile; ``hot`` and ``live`` are conditions on them: hot
+def tiled(rows: DataFrame, keep: Sequence[str], counts: dict[str, Column], hot: str, live: str = "true", prune=None, tile: Sequence[str] = TILE) -> DataFrame:
+    """Pieces in tiles of which none is hot. ``tile`` may have more columns, of those to keep: planes with tiles of their own. ``counts`` are taken for each tile; ``hot`` and ``live`` are conditions on them: hot
     tiles are split, others than live ones leave. ``prune`` drops pieces that no longer matter, before tiles are counted."""
     done = []
     for _ in range(ROUNDS):
         rows = prune(rows) if prune else rows
-        known = rows.groupBy(*TILE).agg(*[v.alias(k) for k, v in counts.items()]).where(live).select(*TILE, F.expr(hot).alias("hot"))
-        rows = saved(rows.join(known, list(TILE)))
+        known = rows.groupBy(*tile).agg(*[v.alias(k) for k, v in counts.items()]).where(live).select(*tile, F.expr(hot).alias("hot"))
+        rows = saved(rows.join(known, list(tile)))
         done.append(rows.where("NOT hot").drop("hot"))
         if rows.where("hot").isEmpty():
             break

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sommelix.operators import borders, dissolve, overlay, partition, tiling, validity
+from sommelix.operators import borders, dissolve, overlay, packaging, partition, tiling, validity
 from sommelix.plans.registry import query
 
 
@@ -154,3 +154,46 @@ def area_faults(table):
     for fault, shape in made.items():
         rings = F.when(k % 8 == fault, shape).otherwise(rings)
     return validity.faults(table("customer").select(k.alias("k"), rings.alias("rings")), "k", 2.0)
+
+
+# Lattice squares as parcels of overlapping appellations: each square belongs to its block, every fifth to the next block too.
+@query("""WITH c AS (SELECT c_custkey AS k, c_custkey % 60 AS x, c_custkey // 60 AS y, c_custkey % 60 // 6 AS b, CASE c_custkey % 9 WHEN 0 THEN 'Cidre' WHEN 1 THEN ' Vin mousseux ' ELSE 'vin tranquille' END AS kind FROM customer),
+p AS (SELECT k * 2 AS o, x, y, b, kind FROM c UNION ALL SELECT k * 2 + 1, x, y, (b + 1) % 10, kind FROM c WHERE k % 5 = 0),
+w AS (SELECT * FROM p WHERE kind <> 'Cidre')
+SELECT 'App ' || b AS app, CAST(b AS VARCHAR) AS id_app, 'D' || (b % 2) AS dt, trim(arg_min(kind, o)) AS categorie, CAST(count(DISTINCT (x, y)) AS DOUBLE) AS area FROM w GROUP BY b""")
+def packaged_areas(table):
+    k = F.col("c_custkey")
+    x, y, block = k % 60, F.floor(k / 60), F.floor(k % 60 / 6)
+    kind = F.when(k % 9 == 0, "Cidre").when(k % 9 == 1, " Vin mousseux ").otherwise("vin tranquille")
+    rings = F.array(_box(x, y, x + 1, y + 1)).alias("rings")
+    own = table("customer").select((k * 2).alias("source_order"), block.alias("b"), kind.alias("categorie"), rings)
+    more = table("customer").where("c_custkey % 5 = 0").select((k * 2 + 1).alias("source_order"), ((block + 1) % 10).alias("b"), kind.alias("categorie"), rings)
+    parcels = own.unionByName(more).select(
+        "source_order", F.concat(F.lit("App "), "b").alias("app"), F.col("b").cast("string").alias("id_app"), F.concat(F.lit("D"), F.col("b") % 2).alias("dt"), "categorie", "rings"
+    )
+    made = packaging.packaged(parcels, 0.1)[0]
+    return made.join(tiling.area_of(made.withColumnRenamed("app", "key").select("key", "rings"), "key").withColumnRenamed("key", "app"), "app").drop("rings")
+
+
+@query("""WITH o AS (SELECT o_orderkey AS k FROM orders)
+SELECT k, CASE k % 4 WHEN 0 THEN '[]' WHEN 1 THEN '["sparkling"]' WHEN 2 THEN '["late_harvest","cremant"]' ELSE '["sparkling","straw_wine"]' END AS signals FROM o""")
+def prompt_signals(table):
+    k = F.col("o_orderkey") % 4
+    kinds = (
+        F.when(k == 0, "Vin tranquille").when(k == 1, "Vin mousseux, Vin tranquille,, Vin pétillant ")
+        .when(k == 2, 'Vin de vendanges tardives,Vin mousseux "Crémant"').otherwise("Vin pétillant, Vin de paille, Vin mousseux")
+    )
+    return table("orders").select(F.col("o_orderkey").alias("k"), F.to_json(packaging.prompt_signals(kinds)).alias("signals"))
+
+
+@query("""WITH r AS (SELECT c_custkey AS k FROM customer), v AS (SELECT k, CASE k % 10 WHEN 1 THEN 'rejected' WHEN 2 THEN ' rerun_required' WHEN 3 THEN '' WHEN 4 THEN NULL WHEN 5 THEN 'perhaps' ELSE 'approved' END AS s FROM r WHERE k % 10 > 0)
+SELECT 'rejected or to be run again' AS "check", count(*) AS n, min(CAST(k AS VARCHAR)) AS first FROM v WHERE k % 10 IN (1, 2)
+UNION ALL SELECT 'no review', count(*), min(CAST(k AS VARCHAR)) FROM r WHERE k % 10 = 0
+UNION ALL SELECT 'not approved', count(*), min(CAST(k AS VARCHAR)) FROM r WHERE k % 10 <= 5
+UNION ALL SELECT 'unknown state', count(*), min(CAST(k AS VARCHAR)) FROM v WHERE k % 10 = 5""")
+def review_gate(table):
+    k = F.col("c_custkey") % 10
+    regions = table("customer").select(F.col("c_custkey").alias("region"))
+    state = F.when(k == 1, "rejected").when(k == 2, " rerun_required").when(k == 3, "").when(k == 5, "perhaps").when(k != 4, "approved")
+    reviews = table("customer").where("c_custkey % 10 > 0").select(F.col("c_custkey").alias("region"), state.alias("review_status"))
+    return packaging.review_gate(regions, reviews, "region", True)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sommelix.operators import borders, dissolve, overlay, partition, tiling, validity
+from sommelix.operators import borders, dissolve, overlay, packaging, partition, tiling, validity
 from sommelix.operators.quality import QualityError
 
 SCHEMA = "k long, rings array<array<struct<x: double, y: double>>>"
@@ -142,10 +142,8 @@ def test_smallest_wins_on_a_lattice(spark, monkeypatch):
         assert {r.k for r in got if r.became_empty} == {k for k, v in left.items() if not v}
         rings = {r.k: [[tuple(p) for p in ring] for ring in r.rings] for r in outlines.collect()}
         assert {k: sum(map(area, r)) for k, r in rings.items()} == pytest.approx({k: v for k, v in left.items() if v})
-    after = partition.overlap_metrics(outlines, "k").first()
-    before = partition.overlap_metrics(areas, "k").first()
-    assert before.union_area == pytest.approx(after.union_area) and before.summed_area == pytest.approx(sum(size.values()))
-    assert after.overlap_area == pytest.approx(0.0, abs=1e-9)
+    metrics = partition.overlap_metrics(areas, "k").first()
+    assert (metrics.summed_area, metrics.union_area) == pytest.approx((sum(size.values()), sum(left.values())))
 
 
 def test_slanted_partition_is_disjoint_and_keeps_the_union(spark):
@@ -153,12 +151,40 @@ def test_slanted_partition_is_disjoint_and_keeps_the_union(spark):
     rows = [(k, [convex_ring(rnd, rnd.uniform(0, 10), rnd.uniform(0, 10), rnd.uniform(1, 6))]) for k in range(6)]
     areas = frame(spark, rows).withColumn("name", F.lit("same"))
     outlines, report = partition.smallest_wins(areas, "k", "name")
-    before, after = (partition.overlap_metrics(f, "k").first() for f in (areas, outlines))
-    assert after.union_area == pytest.approx(before.union_area) and after.overlap_area < 1e-6 * before.union_area
     final = {r.k: r.final_area for r in report.collect() if not r.became_empty}
     assert {r.k: r.area for r in tiling.area_of(outlines, "k").collect()} == pytest.approx(final)
-    own = partition.joined(areas, "name")
-    assert tiling.area_of(own, "name").first().area == pytest.approx(before.union_area)
+    own = partition.joined(areas, "name")  # disjoint, and nothing of the union is lost
+    assert tiling.area_of(own, "name").first().area == pytest.approx(sum(final.values()))
+
+
+def test_overlapping_keys_are_joined_apart(spark):
+    parts = frame(spark, [(1, [box(0, 0, 2)]), (1, [box(1, 1, 2)]), (2, [box(0, 0, 3)]), (2, [box(1, 1, 1)])])
+    got = {r.k: [[tuple(p) for p in ring] for ring in r.rings] for r in partition.joined(parts, "k").collect()}
+    assert {k: [(len(r), area(r)) for r in rings] for k, rings in got.items()} == {1: [(9, 7.0)], 2: [(5, 9.0)]}
+
+
+def test_packages_signals_and_gates(spark):
+    rows = [(3, "A", "1", "D", "Vin mousseux", [box(0, 0, 1)]), (1, "A ", "1", "D", " Vin tranquille", [box(0.5, 0, 1)]), (2, "B", "2", "D", "Cidre", [box(9, 9, 1)]), (4, "B", "2", "E", None, [box(9, 9, 1)])]
+    schema = "source_order long, app string, id_app string, dt string, categorie string, rings array<array<struct<x: double, y: double>>>"
+    make = lambda rows: spark.createDataFrame([(*r[:5], [[tuple(map(float, p)) for p in ring] for ring in r[5]]) for r in rows], schema)
+    made, out, mixed = packaging.packaged(make(rows), 0.1)
+    assert [(r.app, r.id_app, r.dt, r.categorie, area(r.rings[0])) for r in made.collect()] == [("A", "1", "D", "Vin tranquille", 1.5)]
+    assert sorted(map(tuple, out.collect()), key=str) == [("B", "2", "Cidre"), ("B", "2", None)]
+    assert [list(r.categories) for r in mixed.collect()] == [["Vin mousseux", "Vin tranquille"]]
+    with pytest.raises(QualityError, match="no parcel is one of wine"):
+        packaging.packaged(make(rows[2:]), 0.1)
+    with pytest.raises(QualityError, match="1 groups without just one dt, the first A"):
+        packaging.packaged(make([rows[0], (5, "A", "1", "X", "vin", rows[0][5])]), 0.1)
+    signals = lambda text: spark.range(1).select(packaging.prompt_signals(F.lit(text).cast("string")).alias("s")).first().s
+    assert signals("Vin mousseux, Vin jaune,,Vin pétillant") == ["sparkling", "oxidative_speciality"] and signals("Vin tranquille") == []
+    for text, fault in ((None, "no category"), (" , ", "no category"), ("Vin jaune, Vin bleu, Rosé", "without a signal: Rosé, Vin bleu")):
+        with pytest.raises(Exception, match=fault):
+            signals(text)
+    regions, reviews = spark.createDataFrame([("a",), ("b",)], "r string"), spark.createDataFrame([("a", "approved"), ("b", None)], "r string, review_status string")
+    assert packaging.review_gate(regions, reviews, "r", False).count() == 0
+    assert [tuple(r) for r in packaging.review_gate(regions, reviews, "r", True).collect()] == [("not approved", 1, "b")]
+    compared = packaging.legacy_comparison(regions, reviews.limit(1), "r", ["review_status", "gone"]).first()
+    assert (compared.candidate_rows, compared.legacy_rows, compared.shared_keys, compared.obsolete_columns) == (2, 1, 1, ["review_status"])
 
 
 def test_shared_borders_stay_shared(spark):
