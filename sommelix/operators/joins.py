@@ -70,12 +70,6 @@ def ranked(frame: DataFrame, keys: list[str], order: list[Column], name: str = "
     return frame.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def out_of_order(frame: DataFrame, key: str, order: str) -> DataFrame:
-    """Rows whose key is smaller than the row's before."""
-    before = F.lag(key).over(Window.orderBy(order))
-    return frame.withColumn("_before", before).where(F.col("_before") > F.col(key)).drop("_before")
-
-
 def mapped(column: Column, values: dict) -> Column:
     """Dictionary lookup; a missing key gives null."""
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[column]
