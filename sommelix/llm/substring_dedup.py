@@ -9,8 +9,9 @@ sent to shards by minimizer, so equal windows always meet.
    counted, not gathered.
 3. Minimizers with several different segments (or one that may overlap itself) need a search. Each different segment is
    sent once, as text. A shard takes groups of minimizers of up to ``SHARD_WORDS`` words, builds an FM-index over them (the
-   Burrows-Wheeler transform in a wavelet matrix of packed bits) and streams the segments' windows through backward
-   search; windows whose interval still holds two places after 35 words are reported.
+   Burrows-Wheeler transform in a wavelet matrix of packed bits, with the words that neighbouring suffixes share) and streams
+   the segments through it in stretches: backward search over the wavelet matrix gives the matching statistics, how many words from
+   each place on occur at two places or more. Intervals of 35 words or more are reported.
 4. Minimizers with more than ``HOT`` different segments, as at the edges of a passage that very many documents
    share, or with more than ``HOT_WORDS`` words in them, as in text that repeats a short line, are not gathered: their
    windows are counted by a hash of 128 bits. So a shard has at most ``SHARD_WORDS`` and ``HOT_WORDS`` words together.
@@ -40,6 +41,8 @@ RUN = 12
 SHARD_WORDS = 400_000
 HOT = 4000
 HOT_WORDS = 400_000
+#: Stretches of segments that are searched side by side.
+STREAMED = 20_000
 
 
 def split_words(text: str | None) -> list[bytes]:
@@ -103,21 +106,23 @@ class WaveletMatrix:
 
 
 class FmIndex:
-    """Full-text index of word numbers (0 separates): suffixes sorted by doubling, their preceding words in a wavelet matrix."""
+    """Full-text index of word numbers (0 separates) for runs of up to ``longest`` words: suffixes sorted by doubling, as far as such
+    runs need, their preceding words in a wavelet matrix, and how far neighbouring suffixes agree."""
 
-    def __init__(self, sequence: np.ndarray):
+    def __init__(self, sequence: np.ndarray, longest: int):
         n = len(sequence)
-        rank, step = np.unique(sequence, return_inverse=True)[1].astype(np.int64), 1
+        ranks, step = [np.unique(sequence, return_inverse=True)[1].astype(np.int64)], 1
         while True:
             later = np.full(n, -1, np.int64)
-            later[: n - step] = rank[step:]
-            code = rank * (n + 1) + later + 1
+            later[: max(0, n - step)] = ranks[-1][step:]
+            code = ranks[-1] * (n + 1) + later + 1
             order = np.argsort(code, kind="stable")
             code = code[order]
-            new = np.zeros(n, np.int64)
-            new[order] = np.concatenate([[0], np.cumsum(code[1:] != code[:-1])])
-            rank, step = new, 2 * step
-            if rank[order[-1]] == n - 1 or step >= n:
+            rank = np.zeros(n, np.int64)
+            rank[order] = np.concatenate([[0], np.cumsum(code[1:] != code[:-1])])
+            ranks.append(rank)
+            step *= 2
+            if rank[order[-1]] == n - 1 or step >= longest:
                 break
         before = sequence[order - 1]  # the first suffix is preceded by the last symbol, a separator
         self.size = n
@@ -125,29 +130,67 @@ class FmIndex:
         every = np.arange(int(sequence.max()) + 1)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(sequence, minlength=len(every)))])[:-1]
         self.base = self.matrix.rank(every, np.zeros(len(every), np.int64))
+        self.common = self._common(order, ranks)
+        self.smaller_before = self._nearest_smaller(self.common)
+        self.smaller_after = n - self._nearest_smaller(self.common[::-1])[::-1]
+
+    @staticmethod
+    def _common(order: np.ndarray, ranks: list[np.ndarray]) -> np.ndarray:
+        """Words in which each suffix agrees with the one sorted before it, at most those that were sorted by; -1 at both ends."""
+        n = len(order)
+        common = np.zeros(n - 1, np.int64)
+        for level in range(len(ranks) - 1, -1, -1):
+            rank = np.append(ranks[level], -1)
+            a, b = np.minimum(order[:-1] + common, n), np.minimum(order[1:] + common, n)
+            common += (rank[a] == rank[b]).astype(np.int64) << level
+        return np.concatenate([[-1], np.minimum(common, 1 << (len(ranks) - 1)), [-1]])
+
+    @staticmethod
+    def _nearest_smaller(values: np.ndarray) -> np.ndarray:
+        """The place of the nearest smaller value before each one; the first value is the smallest and stays at 0. Places jump along
+        the chains of those before them."""
+        near = np.maximum(np.arange(len(values)) - 1, 0)
+        open_ = np.flatnonzero(values[near] >= values)
+        while len(open_ := open_[near[open_] > 0]):
+            near[open_] = near[near[open_]]
+            open_ = open_[values[near[open_]] >= values[open_]]
+        return near
 
     def back(self, symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
         return self.first[symbols] + self.matrix.rank(symbols, places) - self.base[symbols]
 
-    def repeated(self, sequence: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-        """Which of the sequence's runs of this length occur at two places or more. All are searched side by side, from
-        the last word backwards; those with one place left drop out."""
-        alive = np.arange(len(starts))
-        low, high = np.zeros(len(starts), np.int64), np.full(len(starts), self.size, np.int64)
-        for k in range(length - 1, -1, -1):
-            symbols = sequence[starts[alive] + k]
-            low, high = self.back(symbols, low), self.back(symbols, high)
-            on = high - low >= 2
-            alive, low, high = alive[on], low[on], high[on]
-            if not len(alive):
-                break
-        out = np.zeros(len(starts), bool)
-        out[alive] = True
-        return out
-
-
-def search_shard(texts: list[bytes], window: int = WINDOW) -> list[list[int]]:
-    """For each segment the numbers of its windows that occur at two places or more in all of them."""
+    def statistics(self, sequence: np.ndarray, first: np.ndarray, stop: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
+        """Matching statistics of stretches of a sequence: for each place of [first, stop) the words from there on, none beyond
+        ``last``, that occur at two places or more. All stretches are read side by side from their last word backwards. A
+        word that leaves one place only shortens the match to the parent interval, till two places go on or nothing is left."""
+        lengths = np.zeros((len(first), int((stop - first).max())), np.int32)
+        lane, at = np.arange(len(first)), last - 1
+        low, high, length = np.zeros(len(first), np.int64), np.full(len(first), self.size, np.int64), np.zeros(len(first), np.int64)
+        while len(lane):
+            symbols = sequence[at]
+            ends = self.back(np.tile(symbols, 2), np.concatenate([low, high]))
+            lower, higher = ends[: len(lane)], ends[len(lane) :]
+            on = higher - lower >= 2
+            # the parent of those that do not go on: as much of the match as a neighbouring suffix has as well
+            side = np.where(self.common[low] >= self.common[high], low, high)
+            shorter = np.maximum(self.common[side], 0)
+            none = ~on & (length == 0)
+            low = np.where(on, lower, np.where(shorter > 0, self.smaller_before[side], 0))
+            high = np.where(on, higher, np.where(shorter > 0, self.smaller_after[side], self.size))
+            length = np.where(on, length + 1, np.where(none, 0, shorter))
+            done = on | none
+            note = done & (at < stop[lane])
+            lengths[lane[note], (at - first[lane])[note]] = length[note]
+            at = at - done
+            rest = at >= first[lane]
+            lane, at, low, high, length = lane[rest], at[rest], low[rest], high[rest], length[rest]
+        return [x[:n] for x, n in zip(lengths, (stop - first).tolist())]
+
+
+def search_shard(texts: list[bytes], window: int = WINDOW) -> list[list[list[int]]]:
+    """For each segment the intervals (first word, number of words) of at least a window that occur at two places or more in all
+    of them, none within another. Segments are streamed in stretches of two windows; a match is followed for at least a
+    window beyond each of their places, so an interval that is longer comes in pieces that overlap by all but a word of a window."""
     numbers: dict[bytes, int] = {}
     parts, sizes = [], []
     for text in texts:
@@ -158,21 +201,34 @@ def search_shard(texts: list[bytes], window: int = WINDOW) -> list[list[int]]:
     sequence = np.array(parts, np.int64)
     sizes = np.array(sizes)
     begins = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
-    counts = sizes - window + 1
-    of = np.repeat(np.arange(len(texts)), counts)
-    offset = np.arange(len(of)) - np.repeat(np.concatenate([[0], np.cumsum(counts)])[:-1], counts)
-    found = FmIndex(sequence).repeated(sequence, begins[of] + offset, window)
-    out: list[list[int]] = [[] for _ in texts]
-    for i, o in zip(of[found].tolist(), offset[found].tolist()):
-        out[i].append(o)
+    counts = np.maximum(sizes - window + 1, 0)
+    stretch = 2 * window
+    n = -(-counts // stretch)
+    of = np.repeat(np.arange(len(texts)), n)
+    offset = stretch * (np.arange(len(of)) - np.repeat(np.concatenate([[0], np.cumsum(n)])[:-1], n))
+    index = FmIndex(sequence, stretch + window)
+    out: list[list[list[int]]] = [[] for _ in texts]
+    for a in range(0, len(of), STREAMED):
+        some, off = of[a : a + STREAMED], offset[a : a + STREAMED]
+        ends = np.minimum(off + stretch, counts[some])
+        found = index.statistics(sequence, begins[some] + off, begins[some] + ends, begins[some] + ends + window - 1)
+        for i, o, lengths in zip(some.tolist(), off.tolist(), found):
+            longest = lengths >= window
+            longest[1:] &= lengths[1:] >= lengths[:-1]  # others end with the interval that starts a word before
+            out[i] += [[o + int(k), int(lengths[k])] for k in np.flatnonzero(longest)]
     return out
 
 
-def _ranges(numbers: list[int]) -> list[list[int]]:
-    """Runs of neighbouring numbers as [first, count]."""
-    x = np.array(numbers)
-    cuts = np.flatnonzero(np.diff(x) != 1) + 1
-    return [[int(p[0]), len(p)] for p in np.split(x, cuts)] if len(x) else []
+def _runs(intervals: list[list[int]], window: int) -> list[list[int]]:
+    """Intervals in order as runs [first, count] of their windows; those that follow one another or overlap are one run."""
+    runs: list[list[int]] = []
+    for first, words in intervals:
+        stop = first + words - window + 1
+        if runs and first <= runs[-1][0] + runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], stop - runs[-1][0])
+        else:
+            runs.append([first, stop - first])
+    return runs
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -274,7 +330,7 @@ def repeated_windows(
 
         def shard(rows):
             found = search_shard([t for _, _, t in rows], window)
-            done = [(k, c, _ranges(f)) for (k, c, _), f in zip(rows, found) if f]
+            done = [(k, c, _runs(f, window)) for (k, c, _), f in zip(rows, found) if f]
             return pd.DataFrame(done, columns=["key", "code", "runs"])
 
         for batch in batches:

@@ -245,7 +245,8 @@ def test_fm_index_counts():
     texts = [b" ".join(rnd.choice([b"a", b"b", b"c"]) for _ in range(rnd.randint(4, 60))) for _ in range(30)]
     seen = Counter(tuple(w[i : i + 4]) for t in texts for w in [t.split()] for i in range(len(w) - 3))
     wanted = [[i for i in range(len(w) - 3) if seen[tuple(w[i : i + 4])] > 1] for t in texts for w in [t.split()]]
-    assert substring_dedup.search_shard(texts, 4) == wanted
+    runs = [substring_dedup._runs(found, 4) for found in substring_dedup.search_shard(texts, 4)]
+    assert [[i for a, n in r for i in range(a, a + n)] for r in runs] == wanted
 
 
 # mixing
