@@ -66,20 +66,31 @@ def packaged(parcels: DataFrame, tolerance: float, order: str = "source_order")
     return made.drop("categories"), left_out, made.where("size(categories) > 1").select(*group, "categories")
 
 
-def prompt_signals(category: Column) -> Column:
-    """Signals of a list of categories with commas between them, in order and without repeats; an error for a category that
-    is unknown, and where there is none. As compact JSON, use ``F.to_json``."""
+def _signals(category: Column) -> tuple[Column, Column, Column]:
+    """Of a list of categories with commas between them: how many, those that are unknown, and the signals in order without repeats."""
     items = F.filter(F.transform(F.split(category, ","), lambda c: F.trim(c)), lambda c: c != "")
     table = F.create_map(*[F.lit(x) for kv in SIGNALS.items() for x in kv])
     unknown = F.array_sort(F.array_distinct(F.filter(items, lambda c: (c != STILL) & F.get(F.array(table[c]), F.lit(0)).isNull())))
-    signals = F.array_distinct(F.array_compact(F.transform(items, lambda c: table[c])))
+    return F.size(items), unknown, F.array_distinct(F.array_compact(F.transform(items, lambda c: table[c])))
+
+
+def prompt_signals(category: Column) -> Column:
+    """Signals of a list of categories; an error for a category that is unknown, and where there is none. As compact JSON, use
+    ``F.to_json``."""
+    n, unknown, signals = _signals(category)
     return (
-        F.when(category.isNull() | (F.size(items) == 0), F.raise_error(F.lit("a product has no category")).cast("array<string>"))
+        F.when(category.isNull() | (n == 0), F.raise_error(F.lit("a product has no category")).cast("array<string>"))
         .when(F.size(unknown) > 0, F.raise_error(F.concat(F.lit("categories without a signal: "), F.array_join(unknown, ", "))).cast("array<string>"))
         .otherwise(signals)
     )
 
 
+def canonical_signals(category: Column) -> Column:
+    """The signals as compact JSON; null where ``prompt_signals`` gives an error."""
+    n, unknown, signals = _signals(category)
+    return F.when((n > 0) & (F.size(unknown) == 0), F.to_json(signals))
+
+
 def review_gate(regions: DataFrame, reviews: DataFrame, region: str, strict: bool) -> DataFrame:
     """What holds a candidate back, as a report: regions rejected or to be run again, states that are none, and, if strict,
     regions without a review or not approved. Regions and reviews have unique names; a null state is blank."""

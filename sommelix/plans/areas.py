@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sommelix.operators import borders, dissolve, overlay, packaging, partition, tiling, validity
+from sommelix.operators import borders, contract, dissolve, overlay, packaging, partition, tiling, validity
 from sommelix.plans.registry import query
 
 
@@ -197,3 +197,30 @@ def review_gate(table):
     state = F.when(k == 1, "rejected").when(k == 2, " rerun_required").when(k == 3, "").when(k == 5, "perhaps").when(k != 4, "approved")
     reviews = table("customer").where("c_custkey % 10 > 0").select(F.col("c_custkey").alias("region"), state.alias("review_status"))
     return packaging.review_gate(regions, reviews, "region", True)
+
+
+# A product's feature for each customer; of fifty, each of the first twelve is wrong in a way of its own.
+@query("""WITH f AS (SELECT c_custkey AS k, c_custkey % 50 AS m, CAST(c_custkey AS VARCHAR) AS t FROM customer)
+SELECT "check", count(*) AS n, min(t) AS first FROM f JOIN (VALUES (1, 'missing property'), (1, 'properties or their order'), (2, 'properties or their order'),
+  (3, 'blank app'), (4, 'no area in square metres'), (5, 'no area in square metres'), (6, 'no geometry'), (7, 'neither Polygon nor MultiPolygon'),
+  (8, 'geometry: crossing'), (8, 'geometry: no area'), (9, 'signals not those of the category'), (10, 'signals not those of the category'),
+  (11, 'identity: repeated rows')) c(m, "check") USING (m) GROUP BY 1""")
+def product_contract(table):
+    k, m = F.col("c_custkey"), F.col("c_custkey") % 50
+    kind = F.when(m == 10, "Vin inconnu").otherwise("Vin mousseux, Vin de paille")
+    texts = {
+        "region": F.concat(F.lit("R"), F.floor(k / 50)), "app": F.when(m == 3, " ").otherwise(F.concat(F.lit("App "), F.when(m == 11, k + 1).otherwise(k))),
+        "display_name": F.lit("Name"), "colour": F.lit("red"), "categorie": kind, "prompt_signals": F.when(m == 9, "[]").otherwise('["sparkling","straw_wine"]'),
+    }
+    size = F.when(m == 4, "-1.5").when(m == 5, '"12"').otherwise("12.5")
+    member = lambda c: F.concat(F.lit(f'"{c}":'), F.concat(F.lit('"'), F.regexp_replace(texts[c], '"', r'\\"'), F.lit('"')))
+    members = F.array(*[F.when(F.lit(c != "colour") | (m != 1), member(c)) for c in texts], F.concat(F.lit('"source_area_m2":'), size))
+    members = F.array_compact(members)
+    properties = F.concat(F.lit("{"), F.array_join(F.when(m == 2, F.reverse(members)).otherwise(members), ","), F.lit("}"))
+    x = (k * 2).cast("string")
+    at = lambda a, b: F.format_string("[%d,%d]", k * 2 + a, F.lit(b))
+    ring = lambda *points: F.concat(F.lit("[["), F.concat_ws(",", *points), F.lit("]]"))
+    box, bow = ring(at(0, 0), at(1, 0), at(1, 1), at(0, 1), at(0, 0)), ring(at(0, 0), at(1, 1), at(1, 0), at(0, 1), at(0, 0))
+    coordinates = F.when(m == 7, F.concat(F.lit("["), x, F.lit(",0]"))).when(m == 8, bow).otherwise(box)
+    geometry = F.when(m != 6, F.struct(F.when(m == 7, "Point").otherwise("Polygon").alias("type"), coordinates.alias("coordinates")))
+    return contract.product_faults(table("customer").select(k.alias("feature"), properties.alias("properties"), geometry.alias("geometry")), "feature", 1.0)

@@ -72,12 +72,21 @@ def write_csv(frame: DataFrame, path: str, decimals: int | None = None) -> None:
     frame.withColumns(fixed).write.option("header", True).option("escape", '"').option("emptyValue", "").mode("errorifexists").csv(path)
 
 
+def _features(spark: SparkSession, path: str, properties: str, one_document: bool) -> DataFrame:
+    schema = f"type string, features array<struct<type: string, properties: {properties}, geometry: {GEOMETRY}>>"
+    read = spark.read.schema(schema).option("multiLine", one_document).option("mode", "FAILFAST").json(path)
+    return read.where("features IS NOT NULL").select(F.explode("features").alias("f"))
+
+
 def read_geojson(spark: SparkSession, path: str, properties: str, one_document: bool = False) -> DataFrame:
     """One row for each feature: the properties named by the schema, and ``geometry`` with its coordinates as JSON text.
     ``one_document``: a file is one FeatureCollection over many lines; else each line is one, and lines are read apart."""
-    schema = f"type string, features array<struct<type: string, properties: struct<{properties}>, geometry: {GEOMETRY}>>"
-    read = spark.read.schema(schema).option("multiLine", one_document).option("mode", "FAILFAST").json(path)
-    return read.where("features IS NOT NULL").select(F.explode("features").alias("f")).select("f.properties.*", "f.geometry")
+    return _features(spark, path, f"struct<{properties}>", one_document).select("f.properties.*", "f.geometry")
+
+
+def read_features(spark: SparkSession, path: str, one_document: bool = False) -> DataFrame:
+    """One row for each feature as it stands in the file: ``properties`` as JSON text with its keys in order, and ``geometry``."""
+    return _features(spark, path, "string", one_document).select("f.properties", "f.geometry")
 
 
 def polygons(geometry: Column) -> Column:
