@@ -141,6 +141,15 @@ aggregate(array_sort(hits), CAST(array() AS array<array<int>>), (s, x) -> if(
 """
 
 
+def _dealt(benchmark: DataFrame, part_chars: int) -> tuple[DataFrame, int]:
+    """item_id, text and part of the different items, and the number of parts. Items of one text may lie in several parts, so a text
+    under very many ids is divided as well."""
+    items = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
+    chars = items.agg(F.sum(F.length("text") + F.coalesce(F.length("item_id"), F.lit(0)))).first()[0] or 0
+    n_parts = chars // part_chars + 1
+    return items.withColumn("part", F.pmod(F.xxhash64("text", "item_id"), F.lit(n_parts))), n_parts
+
+
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_chars: int = PART_CHARS, keep=None) -> DataFrame:
     """row (the kept columns), n_words, hits (first word and number of words of merged hit spans), ids of items found.
 
@@ -148,13 +157,11 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     and the broadcast hold one part at a time (of about that size; a single longer text is a part). What a pass finds is
     written to a table by the hash of the text, so only texts with hits are joined back."""
     context = docs.sparkSession.sparkContext
-    items = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
-    chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    n_parts = chars // part_chars + 1
-    part = F.pmod(F.xxhash64("text"), F.lit(n_parts))
+    items, n_parts = _dealt(benchmark, part_chars)
 
     def sent(k: int) -> Broadcast:
-        return context.broadcast(zlib.compress(pickle.dumps([tuple(r) for r in items.where(part == k).collect()])))
+        rows = items.where(F.col("part") == k).select("item_id", "text").collect()
+        return context.broadcast(zlib.compress(pickle.dumps([tuple(r) for r in rows])))
 
     if n_parts == 1:
         return _find(docs, sent(0), window, keep)
