@@ -138,6 +138,7 @@ def _two_years(table) -> tuple[DataFrame, DataFrame]:
     base = table("customer").select(
         k.alias("source_row"), F.concat(F.lit("Chez "), "c_name").alias("name"),
         F.concat(k.cast("string"), F.lit(" rue A, Ville, 75001, France")).alias("address"),
+        F.lit("Ville, 75001").alias("location"),  # house numbers of five digits are no postcodes
         F.concat(F.lit("https://www.example.org/"), (k - F.when(k % 10 == 0, 1).otherwise(0)).cast("string"), F.lit("/")).alias("url"),
         F.get(F.array(*[F.lit(x) for x in (0.25, 0.5, 1.0, 2.0, 3.0)]), (k % 5).cast("int")).alias("stars"),
         F.lit("1 Star").alias("award"), (k % 2).cast("double").alias("greenstar"),

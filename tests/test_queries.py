@@ -90,6 +90,15 @@ def test_ambiguous_names_are_only_candidates(spark):
         linkage.compare(a, b, 2023, 2025)
 
 
+def test_house_numbers_of_five_digits_are_no_postcodes(spark, duck, tmp_path):
+    duck.execute(f"COPY (SELECT * REPLACE (c_custkey + 9990 AS c_custkey) FROM customer) TO '{tmp_path}/customer.parquet' (FORMAT parquet)")
+    duck.execute(f"CREATE TEMP VIEW customer AS SELECT * FROM read_parquet('{tmp_path}/customer.parquet')")
+    wanted = duck.execute(catalog.ORACLES["match_waterfall"]).fetchall()
+    duck.execute("DROP VIEW temp.customer")
+    got = catalog.QUERIES["match_waterfall"](spark, str(tmp_path)).select("previous_row", "current_row", "method", "confidence", "evidence")
+    assert sorted(map(tuple, got.collect())) == sorted(wanted)
+
+
 def test_cubes_fail_closed(spark):
     cube = spark.createDataFrame([("01", "a", 70), ("01", "b", 20), ("01", "t", 100)], "geo string, m string, v int")
     wide = cubes.pivoted(cube, "geo", "m", "v", ["a", "b", "t"])
