@@ -10,8 +10,12 @@ from sommelix.operators.lineage import saved
 from sommelix.operators.quality import QualityError
 from sommelix.operators.tiling import TILE, along
 
-#: A tile is split when more pairs of pieces meet in it.
+#: A tile is split when more pairs of pieces meet in it, and more than so many of both sides: where one side has few, pairs
+#: are in proportion to the other side's pieces, and no split makes them fewer.
 PAIRS = 1024
+FEW = 32
+#: Of the larger side of a tile, so many pieces are dealt to one group.
+DEALT = 4096
 #: An intersection below this share of the smaller area is a touch.
 NEGLIGIBLE = 1e-12
 
@@ -31,32 +35,45 @@ def _shared() -> Column:
 
 def overlaps(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """(left_key, right_key, overlap_area) of all pairs that share more than a touch, from two frames of areas with ``rings``;
-    keys are unique, of one type, and have names that differ.
+    keys are unique and have names that differ.
 
-    Both sides are cut to the same tiles; tiles that only one side has are dropped, so only areas that share a tile meet. The
-    integrals of a pair are added up where the tile lies before they are added over tiles."""
-    sides = [
-        areas.select(F.lit(side).alias("side"), F.col(key).alias("key"), "rings") for side, areas, key in (("l", left, left_key), ("r", right, right_key))
-    ]
+    Copies of an area are looked at once. Both sides are cut to the same tiles; tiles that only one side has are dropped, so only
+    areas that share a tile meet, the larger side in groups. The integrals of a pair are added up where the tile lies before
+    they are added over tiles."""
+    (lefts, of_left), (rights, of_right) = tiling.shapes(left, left_key, "_l"), tiling.shapes(right, right_key, "_r")
+    found = saved(_overlaps(lefts, rights))
+    return found.join(of_left, "_l").join(of_right, "_r").select(left_key, right_key, "overlap_area")
+
+
+def _overlaps(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(_l, _r, overlap_area) of shapes."""
+    sides = [areas.select(F.lit(side).alias("side"), F.col(f"_{side}").alias("key"), "rings") for side, areas in (("l", left), ("r", right))]
     edges = saved(tiling.directed_edges(sides[0].unionByName(sides[1]), ["side", "key"]))
     counts = {"l": F.count_if(F.col("side") == "l"), "r": F.count_if(F.col("side") == "r")}
-    rows = tiling.tiled(tiling.pieces(edges, ["side", "key"], tiling.frame(edges)), ["side", "key"], counts, f"l * r > {PAIRS}", "l > 0 AND r > 0")
-    others = rows.where("side = 'r'").select(*TILE, F.col("key").alias("r_key"), *[F.col(c).alias(f"r_{c}") for c in (*tiling.LINE, "s")])
-    met = rows.where("side = 'l'").join(others, list(TILE)).where("x1 < r_x2 AND r_x1 < x2")
+    hot = f"l * r > {PAIRS} AND least(l, r) > {FEW}"
+    rows = tiling.tiled(tiling.pieces(edges, ["side", "key"], tiling.frame(edges)), ["side", "key"], counts, hot, "l > 0 AND r > 0")
+    groups = rows.groupBy(*TILE).agg(*[v.alias(k) for k, v in counts.items()]).withColumn("groups", F.ceil(F.greatest("l", "r") / DEALT))
+    dealt = F.array(F.pmod(F.xxhash64("key"), "groups"))
+    larger = (F.col("side") == "l") == (F.col("l") >= F.col("r"))
+    rows = rows.join(groups, list(TILE)).withColumn("group", F.explode(F.when(larger, dealt).otherwise(F.sequence(F.lit(0), F.col("groups") - 1))))
+    others = rows.where("side = 'r'").select(*TILE, "group", F.col("key").alias("r_key"), *[F.col(c).alias(f"r_{c}") for c in (*tiling.LINE, "s")])
+    met = rows.where("side = 'l'").join(others, [*TILE, "group"]).where("x1 < r_x2 AND r_x1 < x2")
     found = met.groupBy("key", "r_key").agg(F.sum(F.col("s") * F.col("r_s") * _shared()).alias("overlap_area"))
-    sizes = [tiling.area_of(f, key).select(F.col(key).alias(k), F.col("area").alias(n)) for f, key, k, n in ((left, left_key, "key", "a"), (right, right_key, "r_key", "b"))]
-    found = found.join(sizes[0], "key").join(sizes[1], "r_key").where(F.col("overlap_area") > NEGLIGIBLE * F.least("a", "b"))
-    return found.select(F.col("key").alias(left_key), F.col("r_key").alias(right_key), "overlap_area")
+    sizes = [tiling.area_of(f, k).withColumnRenamed("area", n) for f, k, n in ((left, "_l", "a"), (right, "_r", "b"))]
+    found = found.withColumnsRenamed({"key": "_l", "r_key": "_r"}).join(sizes[0], "_l").join(sizes[1], "_r").where(F.col("overlap_area") > NEGLIGIBLE * F.least("a", "b"))
+    return found.select("_l", "_r", "overlap_area")
 
 
 def majority_overlap(areas: DataFrame, regions: DataFrame, key: str = "aoc_key", region: str = "region") -> DataFrame:
     """(key, region, overlap_area, overlap_ratio): the region that holds the largest part of each area, of equal parts the
     one whose name comes first. Areas that share nothing with any region have no row. The ratio is to the area's own size."""
-    shares = overlaps(areas, regions, key, region)
-    best = shares.groupBy(key).agg(F.min(F.struct((-F.col("overlap_area")).alias("less"), F.col(region).alias("name"))).alias("best"))
-    own = tiling.area_of(areas, key)
+    different, members = tiling.shapes(areas, key, "_shape")
+    shares = overlaps(different, regions, "_shape", region)
+    best = shares.groupBy("_shape").agg(F.min(F.struct((-F.col("overlap_area")).alias("less"), F.col(region).alias("name"))).alias("best"))
+    own = tiling.area_of(different, "_shape")
     overlap = -F.col("best.less")
-    return best.join(own, key).select(key, F.col("best.name").alias(region), overlap.alias("overlap_area"), (overlap / F.col("area")).alias("overlap_ratio"))
+    best = best.join(own, "_shape").select("_shape", F.col("best.name").alias(region), overlap.alias("overlap_area"), (overlap / F.col("area")).alias("overlap_ratio"))
+    return members.join(best, "_shape").select(key, region, "overlap_area", "overlap_ratio")
 
 
 def assigned_regions(

@@ -28,6 +28,13 @@ ROUNDS = 8
 POINTS = "array<array<struct<x: double, y: double>>>"
 
 
+def shapes(areas: DataFrame, key: str, shape: str) -> tuple[DataFrame, DataFrame]:
+    """(shape, rings) of all different rings, with a number, and (key, shape): copies of an area share a shape, so what follows from rings alone
+    is worked out once. Areas whose rings are null have no shape."""
+    different = saved(areas.select("rings").where("rings IS NOT NULL").distinct().withColumn(shape, F.monotonically_increasing_id()))
+    return different, saved(areas.select(key, "rings").join(different, "rings").select(key, shape))
+
+
 def ring_edges(ring: Column) -> Column:
     """Array of (a, b), from each point to the next."""
     return F.transform(F.sequence(F.lit(0), F.size(ring) - 2), lambda i: F.struct(F.get(ring, i).alias("a"), F.get(ring, i + 1).alias("b")))

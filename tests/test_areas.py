@@ -255,3 +255,18 @@ def test_faults_have_kind_and_place(spark):
         validity.require_valid(frame(spark, rows), "k", 1.0)
     assert validity.require_valid(frame(spark, rows[:1]), "k", 1.0).count() == 1
     assert {r.k for r in validity.ring_faults(frame(spark, rows), "k").where("x IS NULL").collect()} == {6, 9, 10}
+
+
+@pytest.mark.parametrize("different", [0.0, 0.001])
+def test_crowded_tiles_with_few_pieces_of_one_side_are_not_split(spark, monkeypatch, different):
+    def no_split(*_):
+        raise AssertionError("a split makes no pair fewer here")
+
+    monkeypatch.setattr(tiling, "split", no_split)
+    box = lambda x, y, side: [[(x, y), (x + side, y), (x + side, y + side), (x, y + side), (x, y)]]
+    shape = "array<array<struct<x: double, y: double>>>"
+    left = spark.createDataFrame([(k, box(k * different, 0.0, 2.0)) for k in range(1000)], f"k int, rings {shape}")
+    right = spark.createDataFrame([(m, box(1.0, 1.0, 2.0)) for m in range(4 if different else 400)], f"m int, rings {shape}")
+    got = overlay.overlaps(left, right, "k", "m").groupBy("k").agg(F.count("*").alias("n"), F.max("overlap_area").alias("most")).collect()
+    assert len(got) == 1000 and {r.n for r in got} == {4 if different else 400}
+    assert all(r.most == pytest.approx(1 + r.k * different) for r in got)
