@@ -7,6 +7,7 @@ import re
 import unicodedata
 from urllib.parse import urlsplit, urlunsplit
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -51,6 +52,86 @@ def similarity(a: str, b: str) -> float:
     return difflib.SequenceMatcher(None, a, b).ratio()
 
 
+class Names:
+    """Texts that many others are compared with. ``bound`` is never below ``similarity``: matching blocks are a common
+    subsequence, and that has no more letters than both texts share, in whatever order."""
+
+    WIDTH = 64  # longer texts are bounded by their letters only
+    OTHER = 37
+
+    def __init__(self, names: list[str]):
+        self.names = names
+        self.sizes = np.array([len(n) for n in names], dtype=np.int64)
+        width = min(self.WIDTH, int(self.sizes.max(initial=0)))
+        self.codes = np.full((len(names), width), self.OTHER + 1, np.uint8)  # a code that no letter has fills up
+        self.counts = np.zeros((self.OTHER + 1, len(names)), np.int32)
+        for i, name in enumerate(names):
+            codes = self._codes(name)
+            self.codes[i, : min(len(codes), width)] = codes[:width]
+            self.counts[:, i] = np.bincount(codes, minlength=self.OTHER + 1)
+
+    @classmethod
+    def _codes(cls, name: str) -> np.ndarray:
+        """a-z, 0-9 and the space have codes of their own, all others have one."""
+        code = lambda c: ord(c) - 97 if "a" <= c <= "z" else ord(c) - 22 if "0" <= c <= "9" else 36 if c == " " else cls.OTHER
+        return np.array([code(c) for c in name], dtype=np.int64)
+
+    def _ratio(self, shared: np.ndarray, which: np.ndarray, other: str) -> np.ndarray:
+        total = self.sizes[which] + len(other)
+        return np.where(total > 0, 2.0 * shared / np.maximum(total, 1), 1.0)
+
+    def bound(self, other: str, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the names that may be as similar to the other text as ``least``, and their bounds."""
+        codes = self._codes(other)
+        shared = np.zeros(len(self.names), np.int32)
+        for letter, n in zip(*np.unique(codes, return_counts=True)):
+            shared += np.minimum(self.counts[letter], n)
+        which = np.arange(len(self.names))
+        bounds = self._ratio(shared, which, other)
+        which, bounds = which[bounds >= least], bounds[bounds >= least]
+        if len(which) == 0 or len(other) > self.WIDTH:
+            return which, bounds
+        # longest common subsequences, all names at once: a bit for each letter of the other text (Hyyro's form)
+        masks = np.zeros(self.OTHER + 2, np.uint64)
+        for i, letter in enumerate(codes.tolist()):
+            masks[letter] |= np.uint64(1) << np.uint64(i)
+        row = np.full(len(which), np.uint64(2**64 - 1))
+        for place in range(self.codes.shape[1]):
+            hit = row & masks[self.codes[which, place]]
+            row = (row + hit) | (row - hit)
+        whole = np.uint64((1 << len(other)) - 1)
+        common = np.bitwise_count(~row & whole)
+        bounds = np.where(self.sizes[which] > self.WIDTH, bounds, self._ratio(common, which, other))
+        return which[bounds >= least], bounds[bounds >= least]
+
+    def nearest(self, other: str, least: float, weights: np.ndarray, enough: int) -> list[tuple[int, float]]:
+        """(place, similarity) of the names at least as similar as ``least``, the most similar first: as far as their weights
+        add up to ``enough``, and all that are as similar as the last of these."""
+        which, bounds = self.bound(other, least)
+        found: list[tuple[int, float]] = []
+        for k in np.argsort(-bounds, kind="stable"):
+            if bounds[k] < least:
+                break
+            score = similarity(self.names[which[k]], other)
+            if score < least:
+                continue
+            found.append((int(which[k]), score))
+            if len(found) % 16 == 0 or sum(weights[p] for p, _ in found) >= enough:
+                least, found = self._cut(found, least, weights, enough)
+        return self._cut(found, least, weights, enough)[1]
+
+    @staticmethod
+    def _cut(found: list[tuple[int, float]], least: float, weights: np.ndarray, enough: int) -> tuple[float, list[tuple[int, float]]]:
+        found = sorted(found, key=lambda f: -f[1])
+        seen = 0
+        for place, score in found:
+            seen += weights[place]
+            if seen >= enough:
+                least = max(least, score)
+                break
+        return least, [f for f in found if f[1] >= least]
+
+
 @pandas_udf(StringType())
 def normalized_text(s: pd.Series) -> pd.Series:
     return s.map(lambda x: plain(None if pd.isna(x) else x))

@@ -6,7 +6,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sommelix.functions import text
@@ -28,11 +29,16 @@ NEAR_NAME_KM = 5.0
 FUZZY_KM = 2.0
 FUZZY_SCORE = 0.72
 FUZZY_PER_ROW = 3
+#: Rows of one postcode or address meet by their names if there are more pairs of them; then so many names of either year meet at once.
+DIRECT = 1024
+NAMES_PREVIOUS, NAMES_CURRENT = 65536, 256
 MATERIAL = ("promoted", "demoted", "newly_starred", "green_star_gained", "green_star_lost")
 
 
 def prepare(frame: DataFrame) -> DataFrame:
-    """Adds the four keys; the postcode comes from the location if there is one, else from the address."""
+    """Adds the four keys; the postcode comes from the location if there is one, else from the address. Rows are dealt before
+    their texts are made plain, however few files they come from."""
+    frame = frame.repartition("source_row")
     place = F.col("location") if "location" in frame.columns else F.col("address")
     url = text.normalized_url(F.col("url")) if "url" in frame.columns else F.lit("")
     return frame.withColumns(
@@ -78,9 +84,50 @@ def duplicate_conflicts(previous: DataFrame, current: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def _searched(previous: pd.DataFrame, current: pd.DataFrame, per_row: int) -> pd.DataFrame:
+    """(block, name, p_name, n, score): for each current name the previous ones that its rows may need."""
+    names = text.Names(previous["p_name"].tolist())
+    found = [(name, *hit) for name in current["name"] for hit in names.nearest(name, FUZZY_SCORE, previous["n"].to_numpy(), per_row)]
+    made = pd.DataFrame(found, columns=["name", "place", "score"])
+    at = previous.iloc[made["place"].astype(int)]
+    return made.assign(block=previous["block"].iloc[0] if len(previous) else "", p_name=at["p_name"].to_numpy(), n=at["n"].to_numpy())[["block", "name", "p_name", "n", "score"]]
+
+
+def _same_block(previous: DataFrame, current: DataFrame, per_row: int) -> DataFrame:
+    """(p_source_row, c_source_row) of rows with one postcode or address: all pairs of small blocks. In others names are compared,
+    each once, and a row meets those with the most similar names: ``per_row`` rows and all that tie with the last of them."""
+    c = F.col
+
+    def blocks(frame: DataFrame, s: str) -> DataFrame:
+        keys = [F.when(c(f"{s}_{k}") != "", F.concat(F.lit(f"{k}:"), c(f"{s}_{k}"))) for k in ("postal_code", "normalized_address")]
+        return frame.select(f"{s}_source_row", c(f"{s}_normalized_name").alias(f"{s}_name"), F.explode(F.array_compact(F.array(*keys))).alias("block"))
+
+    a, b = blocks(previous, "p"), blocks(current, "c")
+    size = lambda f, s: f.groupBy("block").agg(F.count("*").alias(f"{s}_rows"), F.count_distinct(f"{s}_name").alias(f"{s}_names"))
+    sizes = saved(size(a, "p").join(size(b, "c"), "block"))
+    few, many = (sizes.where(f"p_rows * c_rows {o} {DIRECT}") for o in ("<=", ">"))
+    ids = ["p_source_row", "c_source_row"]
+    direct = a.join(few.select("block"), "block").join(b, "block").select(*ids)
+    parts, pieces = F.ceil(c("p_names") / NAMES_PREVIOUS), F.ceil(c("c_names") / NAMES_CURRENT)
+    dealt = lambda name, n: F.pmod(F.xxhash64(name), n)
+    names_a = a.join(many, "block").groupBy("block", "p_name", "p_names", "c_names").agg(F.count("*").alias("n"))
+    names_a = names_a.select("block", "p_name", "n", dealt("p_name", parts).alias("part"), F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"))
+    names_b = b.join(many, "block").select("block", c("c_name").alias("name"), "p_names", "c_names").distinct()
+    names_b = names_b.select("block", "name", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), dealt("name", pieces).alias("piece"))
+    meet = ["block", "part", "piece"]
+    found = names_a.groupBy(*meet).cogroup(names_b.groupBy(*meet)).applyInPandas(
+        lambda p, q: _searched(p, q, per_row), "block string, name string, p_name string, n long, score double"
+    )
+    of_name = Window.partitionBy("block", "name")
+    upto = F.sum("n").over(of_name.orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    before = upto - F.sum("n").over(Window.partitionBy("block", "name", "score"))
+    found = saved(found.withColumn("before", before).where(f"before < {per_row}").select("block", c("name").alias("c_name"), "p_name"))
+    return direct.union(found.join(a, ["block", "p_name"]).join(b, ["block", "c_name"]).select(*ids))
+
+
 def fuzzy_candidates(previous: DataFrame, current: DataFrame, per_row: int = FUZZY_PER_ROW) -> DataFrame:
     """At most three candidates for each current row, by name similarity, among rows with the same postcode or address or
-    within 2 km. Pairs come from two equi-joins and a join on cells of a latitude-longitude grid, not from all pairs."""
+    within 2 km. Rows meet by postcode or address, see ``_same_block``, and by cells of a latitude-longitude grid."""
     columns = ["source_row", "normalized_name", "normalized_address", "postal_code", "latitude", "longitude"]
     a, b = _sided(previous, "p", columns), _sided(current, "c", columns)
     # a degree of latitude is 111.2 km; longitude cells widen with latitude, so neighbours are taken by latitude band
@@ -93,12 +140,8 @@ def fuzzy_candidates(previous: DataFrame, current: DataFrame, per_row: int = FUZ
         .withColumn("cell", F.explode(F.sequence(F.col("mid") - 2, F.col("mid") + 2)))
     )
     ids = ["p_source_row", "c_source_row"]
-    pairs = (
-        near_a.join(near_b.drop("mid"), ["band", "cell"]).select(*ids)
-        .union(a.join(b, (F.col("p_postal_code") == F.col("c_postal_code")) & (F.col("p_postal_code") != "")).select(*ids))
-        .union(a.join(b, (F.col("p_normalized_address") == F.col("c_normalized_address")) & (F.col("p_normalized_address") != "")).select(*ids))
-        .distinct()
-    )
+    near = near_a.join(near_b.drop("mid"), ["band", "cell"]).select(*ids)
+    pairs = saved(near.union(_same_block(a, b, per_row)).distinct())
     full = pairs.join(a, "p_source_row").join(b, "c_source_row")
     distance = haversine_km(F.col("p_latitude"), F.col("p_longitude"), F.col("c_latitude"), F.col("c_longitude"))
     same = lambda c: F.coalesce((F.col(f"p_{c}") == F.col(f"c_{c}")) & (F.col(f"p_{c}") != ""), F.lit(False))
@@ -199,10 +242,10 @@ def compare(previous: DataFrame, current: DataFrame, previous_year: int, current
     if current_year != previous_year + 1:
         raise QualityError("only consecutive years are compared")
     green = "greenstar" in previous.columns and "greenstar" in current.columns
-    linked = link(prepare(previous), prepare(current), overrides)
+    previous, current = saved(prepare(previous)), saved(prepare(current))
+    linked = link(previous, current, overrides)
 
     def side(frame: DataFrame, prefix: str) -> DataFrame:
-        frame = prepare(frame)
         missing = {c: F.lit(None).cast("string" if c not in ("stars", "greenstar") else "double") for c in (*SHOWN, "department", "region") if c not in frame.columns}
         return _sided(frame.withColumns(missing), prefix, ["source_row", *SHOWN, "department", "region", "normalized_name", "normalized_address", "postal_code"]).withColumnRenamed(
             f"{prefix}_source_row", f"{prefix}_row"

@@ -1,7 +1,10 @@
 """Every query of the reference's operators against its SQL twin, and the reference's own small cases."""
 
+import random
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from sommelix.functions import text
 from sommelix.operators import cubes, joins, linkage, rollups, snapshots
@@ -90,6 +93,28 @@ def test_ambiguous_names_are_only_candidates(spark):
         linkage.compare(a, b, 2023, 2025)
 
 
+def test_candidates_of_a_crowded_postcode(spark, monkeypatch):
+    """Names are compared once however many rows have them, and the candidates are those of all pairs."""
+    rnd = random.Random(5)
+    schema = "source_row int, name string, address string, stars double, latitude double, longitude double"
+    made = lambda n: spark.createDataFrame([(k, "".join(rnd.choice("abc ") for _ in range(rnd.randint(4, 9))), f"{rnd.randint(0, 99)} rue, Lyon, 6900{k % 2}, France", 1.0, 45.0 + rnd.random(), 4.0 + rnd.random()) for k in range(n)], schema)
+    a, b = (linkage.prepare(made(n).union(made(n))).localCheckpoint() for n in (60, 40))
+    a, b = (f.withColumn("source_row", F.monotonically_increasing_id()).localCheckpoint() for f in (a, b))
+    shown = lambda: sorted(map(tuple, linkage.fuzzy_candidates(a, b).collect()))
+    monkeypatch.setattr(linkage, "DIRECT", 10**9)
+    wanted = shown()
+    assert len(wanted) > 60
+    for size in (65536, 16):
+        monkeypatch.setattr(linkage, "DIRECT", 4)
+        monkeypatch.setattr(linkage, "NAMES_PREVIOUS", size)
+        monkeypatch.setattr(linkage, "NAMES_CURRENT", size)
+        assert shown() == wanted
+    rows = [(k, f"Chez {k % 7}", "1 rue, Lyon, 69001, France", 1.0, 45.0 + k, 4.0) for k in range(3000)]
+    a = linkage._sided(linkage.prepare(spark.createDataFrame(rows[:1500], schema)), "p", ["source_row", "normalized_name", "normalized_address", "postal_code"])
+    b = linkage._sided(linkage.prepare(spark.createDataFrame([(k + 9000, f"Chez un {k}", *r[2:]) for k, r in enumerate(rows[:20])], schema)), "c", ["source_row", "normalized_name", "normalized_address", "postal_code"])
+    assert linkage._same_block(a, b, 3).count() < 20 * 1500
+
+
 def test_house_numbers_of_five_digits_are_no_postcodes(spark, duck, tmp_path):
     duck.execute(f"COPY (SELECT * REPLACE (c_custkey + 9990 AS c_custkey) FROM customer) TO '{tmp_path}/customer.parquet' (FORMAT parquet)")
     duck.execute(f"CREATE TEMP VIEW customer AS SELECT * FROM read_parquet('{tmp_path}/customer.parquet')")
