@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sommelix.operators import evidence, packaging, validity
+from sommelix.operators.lineage import saved
 from sommelix.sources.files import polygons
 
 # The product's properties in their order, those that tell one feature from another, and those that are texts.
@@ -27,20 +28,22 @@ def product_faults(features: DataFrame, key: str, cell: float, properties: tuple
     among the properties, are what the category gives, letter by letter. Geometries without any ring are empty and are not
     looked at further; others that are areas must have no fault that ``validity.faults`` finds with this cell. Of features
     with one identity all but one count, any value and its absence being values."""
-    rows = features.select(F.col(key).alias("k"), "properties", "geometry").withColumn("v", F.try_parse_json("properties"))
+    dealt = features.select(F.col(key).alias("k"), "properties", "geometry").repartition("k")  # few files may hold many features
+    rows = dealt.withColumn("v", F.try_parse_json("properties"))
     wanted = F.array(*map(F.lit, properties))
     value = lambda c: F.try_variant_get("v", f"$.{c}", "variant")
     kind = lambda c: F.coalesce(F.schema_of_variant(value(c)), F.lit("VOID"))
     said = lambda c: F.when(kind(c) == "STRING", F.try_variant_get("v", f"$.{c}", "string"))
     names = F.coalesce(F.when(F.col("v").isNotNull(), F.json_object_keys("properties")), F.array().cast("array<string>"))
     number = kind("source_area_m2").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-    rows = rows.select(
+    made = rows.select(
         "k", "geometry", names.alias("names"), *[F.to_json(value(c)).alias(f"i_{c}") for c in IDENTITY],
         *[F.coalesce(F.trim(said(c)) == "", F.lit(True)).alias(f"b_{c}") for c in NAMES],
         F.coalesce(number & (F.try_variant_get("v", "$.source_area_m2", "double") >= 0), F.lit(False)).alias("area"),
         said("prompt_signals").eqNullSafe(packaging.canonical_signals(said("categorie"))).alias("canonical"),
         said("prompt_signals").alias("signals"), rings_of(F.col("geometry")).alias("rings"),
     )
+    rows = saved(made)  # parsed once; read for the properties, the shapes and the identities
     is_area = F.coalesce(F.col("geometry.type").isin("Polygon", "MultiPolygon"), F.lit(False))
     empty = F.coalesce(F.regexp_replace("geometry.coordinates", r"[\[\],\s]", "") == "", F.lit(False))
     here = lambda fault, check: F.when(fault, F.array(F.lit(check)))

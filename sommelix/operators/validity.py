@@ -9,6 +9,10 @@ from sommelix.operators import tiling
 from sommelix.operators.quality import QualityError
 
 
+#: Up to so many edges of an area are compared where the area is; more meet by grid cell.
+FEW_EDGES = 32
+
+
 def _steps(low: Column, high: Column, cell: float) -> Column:
     return F.explode(F.sequence(F.floor(low / cell), F.floor(high / cell)))
 
@@ -46,19 +50,36 @@ def crossings(areas: DataFrame, key: str, cell: float) -> DataFrame:
     """(key, kind, x, y): places where two edges of one area cross inside both (``crossing``) or run along each other
     (``overlap``, the first common point), once each.
 
-    Edges meet by area and grid cell of side ``cell``; a pair is looked at in the cell of its lower left common corner only, so
+    Areas of few edges are looked at row by row. Edges of others meet by area and grid cell of side ``cell``; a pair is looked at in the cell of its lower left common corner only, so
     cells should be of the order of an edge's length."""
-    edges = areas.select(F.col(key).alias("owner"), F.posexplode("rings").alias("no", "r")).where("size(r) > 1")
-    edges = edges.select("owner", "no", F.posexplode(tiling.ring_edges(F.col("r"))).alias("i", "e")).where("e.a <> e.b")
-    box = {f"{f}_{d}": g(F.col(f"e.a.{d}"), F.col(f"e.b.{d}")) for d in "xy" for f, g in (("low", F.least), ("high", F.greatest))}
-    edges = edges.withColumns(box).where("abs(low_x) < 1e15 AND abs(low_y) < 1e15 AND abs(high_x) < 1e15 AND abs(high_y) < 1e15")
+    ends = lambda e, d: (F.least(e["a"][d], e["b"][d]), F.greatest(e["a"][d], e["b"][d]))
+    near = lambda e: (F.abs(e["a"]["x"]) < 1e15) & (F.abs(e["a"]["y"]) < 1e15) & (F.abs(e["b"]["x"]) < 1e15) & (F.abs(e["b"]["y"]) < 1e15)
+    of_ring = lambda r: F.filter(tiling.ring_edges(r), lambda e: (e["a"] != e["b"]) & near(e))
+    shaped = areas.select(F.col(key).alias("owner"), F.filter("rings", lambda r: F.size(r) > 1).alias("rings"))
+    n_edges = F.aggregate("rings", F.lit(0), lambda s, r: s + F.size(r) - 1)
+    # areas of few edges: what each edge may cross among those after it
+    few = shaped.where(n_edges <= FEW_EDGES).select("owner", F.flatten(F.transform("rings", of_ring)).alias("all"))
+    few = few.select("owner", "all", F.posexplode("all").alias("i", "e"))
+
+    def meet(e: Column, f: Column) -> Column:
+        (e_x, e_x2), (e_y, e_y2), (f_x, f_x2), (f_y, f_y2) = (ends(v, d) for v in (e, f) for d in "xy")
+        return (e_x <= f_x2) & (f_x <= e_x2) & (e_y <= f_y2) & (f_y <= e_y2)
+
+    few = few.select("owner", "e", F.explode(F.filter("all", lambda f, j: (j > F.col("i")) & meet(F.col("e"), f))).alias("f"))
+    # others: edges meet by area and cell
+    edges = shaped.where(n_edges > FEW_EDGES).select("owner", F.posexplode("rings").alias("no", "r"))
+    edges = edges.select("owner", "no", F.posexplode(of_ring(F.col("r"))).alias("i", "e"))
+    edges = edges.withColumns({f"{f}_{d}": v for d in "xy" for f, v in zip(("low", "high"), ends(F.col("e"), d))})
     cells = edges.withColumn("cx", _steps(F.col("low_x"), F.col("high_x"), cell)).withColumn("cy", _steps(F.col("low_y"), F.col("high_y"), cell))
-    other = cells.select("owner", "cx", "cy", F.struct("no", "i").alias("o"), F.col("e").alias("f"), *[F.col(c).alias(f"o_{c}") for c in box])
+    other = cells.select(
+        "owner", "cx", "cy", F.struct("no", "i").alias("o"), F.col("e").alias("f"), *[F.col(f"{p}_{d}").alias(f"o_{p}_{d}") for p in ("low", "high") for d in "xy"]
+    )
     met = cells.join(other, ["owner", "cx", "cy"]).where(
         "struct(no, i) < o AND low_x <= o_high_x AND o_low_x <= high_x AND low_y <= o_high_y AND o_low_y <= high_y"
     )
     for d in "xy":
         met = met.where(F.floor(F.greatest(f"low_{d}", f"o_low_{d}") / cell) == F.col(f"c{d}"))
+    met = few.unionByName(met.select("owner", "e", "f"))
     at = lambda p, d: F.col(f"{p}.{d}")
     side = lambda a, b, p: (at(b, "x") - at(a, "x")) * (at(p, "y") - at(a, "y")) - (at(b, "y") - at(a, "y")) * (at(p, "x") - at(a, "x"))
     met = met.select(

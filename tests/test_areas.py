@@ -270,3 +270,16 @@ def test_crowded_tiles_with_few_pieces_of_one_side_are_not_split(spark, monkeypa
     got = overlay.overlaps(left, right, "k", "m").groupBy("k").agg(F.count("*").alias("n"), F.max("overlap_area").alias("most")).collect()
     assert len(got) == 1000 and {r.n for r in got} == {4 if different else 400}
     assert all(r.most == pytest.approx(1 + r.k * different) for r in got)
+
+
+def test_crossings_are_the_same_row_by_row_and_by_cell(spark, monkeypatch):
+    rnd = random.Random(9)
+    rows = [(k, [[*p, p[0]] for p in [[(rnd.randint(0, 6), rnd.randint(0, 6)) for _ in range(rnd.randint(1, 7))] for _ in range(2)]]) for k in range(60)]
+    areas = frame(spark, rows)
+    found = []
+    for few in (0, 32):
+        monkeypatch.setattr(validity, "FEW_EDGES", few)
+        made = validity.crossings(areas, "k", 1.5)
+        assert few == 0 or "Exchange" not in made._jdf.queryExecution().analyzed().toString()
+        found.append(sorted((r.k, r.kind, round(r.x, 9), round(r.y, 9)) for r in made.collect()))
+    assert found[0] == found[1] and len(found[0]) > 50
