@@ -114,7 +114,9 @@ def smallest_wins(areas: DataFrame, key: str, name: str) -> tuple[DataFrame, Dat
     that nothing is left of have no outline. Areas without any size are empty from the start."""
     sizes = areas.select(key, name).join(tiling.area_of(areas, key), key, "left").na.fill(0.0, ["area"])
     ranked = saved(numbered(sizes, [F.col("area"), F.col(name), F.col(key)], "priority_rank"))
-    made = saved(faces(areas.join(ranked.select(key, "priority_rank"), key), key, F.col("priority_rank")))
+    # of copies the first covers the others
+    firsts = areas.join(ranked.select(key, "priority_rank"), key).groupBy("rings").agg(F.min(F.struct("priority_rank", key)).alias("first"))
+    made = saved(faces(firsts.select("rings", "first.*"), key, F.col("priority_rank")))
     final = made.groupBy(key).agg(F.sum(face_area()).alias("final"))
     left = F.coalesce("final", F.lit(0.0))
     removed = F.greatest(F.lit(0.0), F.col("area") - left)

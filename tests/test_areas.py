@@ -283,3 +283,13 @@ def test_crossings_are_the_same_row_by_row_and_by_cell(spark, monkeypatch):
         assert few == 0 or "Exchange" not in made._jdf.queryExecution().analyzed().toString()
         found.append(sorted((r.k, r.kind, round(r.x, 9), round(r.y, 9)) for r in made.collect()))
     assert found[0] == found[1] and len(found[0]) > 50
+
+
+def test_copies_of_an_area_are_divided_once(spark, monkeypatch):
+    given, faces = [], partition.faces
+    monkeypatch.setattr(partition, "faces", lambda areas, *more: given.append(areas.count()) or faces(areas, *more))
+    rows = [(k, "n", [box(0.0, 0.0, 2.0)]) for k in range(30)] + [(30, "n", [box(1.0, 0.0, 2.0)])]
+    outlines, report = partition.smallest_wins(spark.createDataFrame(rows, "k long, name string, rings array<array<struct<x: double, y: double>>>"), "k", "name")
+    assert given == [2]
+    assert {r.k: r.final_area for r in report.collect() if r.final_area} == {0: 4.0, 30: 2.0}
+    assert sorted(r.k for r in outlines.collect()) == [0, 30]
