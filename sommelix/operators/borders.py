@@ -1,23 +1,28 @@
 """Simplification that keeps the borders which areas share.
 
 Every border is cut into arcs at the points where more or fewer than two edges meet, so an arc is a border of the same areas all
-along. Areas that share an arc have it with the same points, perhaps in the other direction; written in one direction, such arcs
-are equal, are reduced once, and rings are put together again from what is left. So no gap and no overlap can come up along a
-shared border, and no two areas need to be looked at together.
+along. Areas that share an arc have it with the same points, perhaps in the other direction; it is always reduced in one
+direction, so they are left with the same points of it. So no gap and no overlap can come up along a shared border, and no two
+areas need to be looked at together.
+
+An arc follows from either of its end edges, as no other edge meets it on the way. So arcs are told from each other by these, and
+rings never leave their row: only points go through a shuffle, to be counted and to be found among those where borders meet.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sommelix.operators import tiling
+from sommelix.operators.lineage import saved
 
-POINT = "struct<x: double, y: double>"
+#: Stretches of fewer points are looked at without numpy, which is slower for a handful.
+FEW_POINTS = 32
 
 
 def _distances(points: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -28,34 +33,72 @@ def _distances(points: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.hypot(*(points - a - share[:, None] * along).T)
 
 
-def reduced(points: np.ndarray, tolerance: float, least: int) -> np.ndarray:
-    """Which points stay: both ends, and of the others the farthest from the stretch between its neighbours that stay, as long
+def _farthest(points: list[tuple[float, float]], s: int, e: int) -> tuple[int, float]:
+    """Of the points between two, the first of those farthest from the stretch between these, by its place among them."""
+    if e - s > FEW_POINTS:
+        line = np.array(points[s : e + 1])
+        far = _distances(line[1:-1], line[0], line[-1])
+        k = int(far.argmax())
+        return k, far[k]
+    (ax, ay), *between, (bx, by) = points[s : e + 1]
+    ux, uy = bx - ax, by - ay
+    size = ux * ux + uy * uy
+    best, most = 0, -1.0
+    for k, (x, y) in enumerate(between):
+        share = min(max(((x - ax) * ux + (y - ay) * uy) / size, 0.0), 1.0) if size > 0 else 0.0
+        far = math.hypot(x - ax - share * ux, y - ay - share * uy)
+        if far > most:
+            best, most = k, far
+    return best, most
+
+
+def reduced(points: list[tuple[float, float]], tolerance: float, least: int) -> list[int]:
+    """Which points stay, in order: both ends, and of the others the farthest from the stretch between its neighbours that stay, as long
     as it is farther than the tolerance; at least so many others, if there are any. No point is farther than the tolerance from
     the line that is left."""
-    stay = np.zeros(len(points), bool)
-    stay[[0, -1]] = True
+    stay = [0, len(points) - 1]
     waiting, kept = [(0, len(points) - 1)], 0
     while waiting:
         # those whose points are needed to keep a ring's shape come first: the widest stretch is looked at next
         s, e = waiting.pop(0) if kept < least else waiting.pop()
         if e - s < 2:
             continue
-        far = _distances(points[s + 1 : e], points[s], points[e])
-        k = int(far.argmax())
-        if far[k] > tolerance or kept < least:
-            stay[s + 1 + k] = True
+        k, far = _farthest(points, s, e)
+        if far > tolerance or kept < least:
+            stay.append(s + 1 + k)
             kept += 1
             waiting += [(s, s + 1 + k), (s + 1 + k, e)]
-    return stay
+    return sorted(stay)
+
+
+def _stay(points: list[tuple[float, float]], nodes: list[int], told: set[int], tolerances: list[float]) -> list[list[int]]:
+    """For each tolerance, which points of a closed ring stay, the repeated last one too. Nodes are where arcs begin, the first is 0."""
+    ends = [*nodes[1:], len(points) - 1]
+    out = [[] for _ in tolerances]
+    for k, (s, e) in enumerate(zip(nodes, ends)):
+        # a ring of one arc needs two more points, of two arcs one on each; then neighbours leave it there too
+        least = 2 if len(nodes) == 1 else int(len(nodes) == 2 or k in told)
+        line = points[s : e + 1]
+        forth = line[:2] <= line[:-3:-1]
+        for stay, tolerance in zip(out, tolerances):
+            if e - s < 2:
+                stay.append(s)
+            elif forth:
+                stay += [s + i for i in reduced(line, tolerance, least)[:-1]]
+            else:
+                stay += [e - i for i in reduced(line[::-1], tolerance, least)[:0:-1]]
+    return [[*stay, len(points) - 1] for stay in out]
 
 
-def _reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        out = []
-        for arc, least, tolerance in zip(batch["arc"], batch["least"], batch["tolerance"]):
-            points = np.array([(p["x"], p["y"]) for p in arc])
-            out.append([{"x": x, "y": y} for x, y in points[reduced(points, tolerance, int(least))].tolist()])
-        yield pd.DataFrame({"arc_id": batch["arc_id"], "tolerance": batch["tolerance"], "line": out})
+def _staying(tolerances: list[float]):
+    """Function of the closed rings' x and y, their nodes and the arcs that need a point: array<array<int>>, places by tolerance."""
+
+    @F.pandas_udf("array<array<int>>")
+    def staying(xs: pd.Series, ys: pd.Series, nodes: pd.Series, told: pd.Series) -> pd.Series:
+        rows = zip(xs, ys, nodes, told)
+        return pd.Series([_stay(list(zip(x.tolist(), y.tolist())), n.tolist(), set() if t is None else set(t.tolist()), tolerances) for x, y, n, t in rows])
+
+    return staying
 
 
 def simplified(areas: DataFrame, key: str, tolerance: float) -> DataFrame:
@@ -71,50 +114,63 @@ def simplified_at(areas: DataFrame, key: str, tolerances: list[float]) -> DataFr
     have its same points; then they share the simplified one as well. Rings of fewer than four points are left out, and
     repeated points count once. Reduced arcs may cross others where areas are narrower than the tolerance: see ``validity``."""
     c = F.col
-    rings = areas.select(c(key).alias("owner"), F.posexplode(F.filter("rings", lambda r: F.size(r) > 3)).alias("ring_no", "ring"))
+    # dealt anew before points are made of them: one split of the input may hold any number of areas
+    dealt = areas.select(c(key).alias("owner"), "rings").repartition("owner")
+    rings = dealt.select("owner", F.posexplode(F.filter("rings", lambda r: F.size(r) > 3)).alias("ring_no", "ring"))
     open_ = F.slice("ring", F.lit(1), F.size("ring") - 1)
     open_ = F.filter(open_, lambda p, i: p != F.get(c("ring"), i + 1))  # no point twice in a row
     rings = rings.select("owner", "ring_no", open_.alias("ring")).where("size(ring) > 2")
-    # starting at its smallest point, which stays
+    # starting at its smallest point, which stays, and closed
     start = F.array_position("ring", F.array_min("ring")).cast("int")
-    turned = F.concat(F.slice("ring", start, F.size("ring")), F.slice("ring", F.lit(1), start - 1))
-    points = rings.select("owner", "ring_no", turned.alias("ring")).select("owner", "ring_no", F.size("ring").alias("n"), F.posexplode("ring").alias("i", "p"), "ring")
-    around = F.array(F.get("ring", F.pmod(c("i") - 1, c("n"))), F.get("ring", F.pmod(c("i") + 1, c("n"))))
-    points = points.select("owner", "ring_no", "i", "p", around.alias("near"))
-    # one row a point and neighbour before they are counted, however many areas have them
-    met = points.select("p", F.explode("near").alias("q")).distinct().groupBy("p").agg(F.count("*").alias("degree"))
-    firsts = points.where("i = 0").select("p", F.lit(True).alias("first")).distinct()
-    nodes = met.join(firsts, "p", "left").where("degree <> 2 OR first").select("p", F.lit(1).alias("node"))
-    in_ring = Window.partitionBy("owner", "ring_no").orderBy("i")
-    marked = points.join(nodes, "p", "left").select("owner", "ring_no", "i", "p", F.coalesce("node", F.lit(0)).alias("node"))
-    marked = marked.withColumn("arc_no", F.sum("node").over(in_ring))
-    arcs = marked.groupBy("owner", "ring_no", "arc_no").agg(F.sort_array(F.collect_list(F.struct("i", "p"))).alias("arc"))
-    by_arc = Window.partitionBy("owner", "ring_no").orderBy("arc_no")
-    first_of_ring = F.first(F.get("arc", F.lit(0))).over(by_arc)
-    arcs = arcs.select(
-        "owner", "ring_no", "arc_no", F.transform("arc", lambda a: a["p"]).alias("arc"),
-        F.coalesce(F.lead(F.get("arc", F.lit(0))).over(by_arc), first_of_ring)["p"].alias("end"),
-        F.count("*").over(Window.partitionBy("owner", "ring_no")).alias("n_arcs"),
-    )
-    arcs = arcs.select("owner", "ring_no", "arc_no", "n_arcs", F.concat("arc", F.array("end")).alias("arc"))
-    forth = c("arc") <= F.reverse("arc")
-    arcs = arcs.select("owner", "ring_no", "arc_no", "n_arcs", forth.alias("forth"), F.when(forth, c("arc")).otherwise(F.reverse("arc")).alias("arc"))
-    arcs = arcs.withColumn("arc_id", F.unhex(F.sha2(F.to_json("arc"), 256)))
-    # a ring of one arc needs two more points, of two arcs one on each
-    least = F.max(F.when(c("n_arcs") == 1, 2).when(c("n_arcs") == 2, 1).otherwise(0))
-    unique = arcs.groupBy("arc_id").agg(F.min("arc").alias("arc"), least.alias("least"))
-    at = unique.withColumn("tolerance", F.explode(F.array(*[F.lit(float(t)) for t in tolerances])))
-    lines = at.mapInPandas(_reduce, f"arc_id binary, tolerance double, line array<{POINT}>")
-    back = arcs.select("owner", "ring_no", "arc_no", "forth", "arc_id").join(lines, "arc_id")
-    line = F.when(c("forth"), c("line")).otherwise(F.reverse("line"))
-    whole = back.select("tolerance", "owner", "ring_no", F.struct("arc_no", F.slice(line, F.lit(1), F.size("line") - 1).alias("line")).alias("part"))
-    whole = whole.groupBy("tolerance", "owner", "ring_no").agg(F.sort_array(F.collect_list("part")).alias("parts"))
-    ring = F.flatten(F.transform("parts", lambda p: p["line"]))
-    whole = whole.select("tolerance", "owner", "ring_no", ring.alias("ring")).select("tolerance", "owner", F.struct("ring_no", F.concat("ring", F.slice("ring", 1, 1)).alias("ring")).alias("r"))
-    whole = whole.groupBy("tolerance", "owner").agg(F.sort_array(F.collect_list("r")).alias("r"))
+    turned = F.concat(F.slice("ring", start, F.size("ring")), F.slice("ring", F.lit(1), start))
+    rings = saved(rings.select("owner", "ring_no", turned.alias("ring"), F.monotonically_increasing_id().alias("ring_id")))
+    # one row an edge before ends are counted, however many areas have it
+    edges = rings.select(F.explode(_edges(c("ring"))).alias("e")).select(*_flat("e.p", "p"), *_flat("e.q", "q")).distinct()
+    ends = edges.select(F.explode(F.array(*[F.struct(c(f"{d}x").alias("x"), c(f"{d}y").alias("y")) for d in "pq"])).alias("p"))
+    ends = ends.select(*_flat("p"), F.lit(1).alias("n"), F.lit(False).alias("first"))
+    firsts = rings.select(c("ring")[0].alias("p")).select(*_flat("p"), F.lit(0).alias("n"), F.lit(True).alias("first"))
+    nodes = ends.unionByName(firsts).groupBy("x", "y").agg(F.sum("n").alias("degree"), F.max("first").alias("first")).where("degree <> 2 OR first")
+    points = rings.select("ring_id", F.posexplode(F.slice("ring", F.lit(2), F.size("ring") - 2)).alias("i", "p")).select("ring_id", "i", *_flat("p"))
+    at = points.join(nodes.select("x", "y"), ["x", "y"]).groupBy("ring_id").agg(F.sort_array(F.collect_list(c("i") + 1)).alias("at"))
+    at = F.concat(F.array(F.lit(0)), F.coalesce("at", F.array().cast("array<int>"))), at
+    rings = saved(rings.join(at[1], "ring_id", "left").withColumn("at", at[0]))
+    # where one of two areas needs a point to stay on an arc, it stays for both
+    arcs = rings.where("size(at) > 1").select("ring_id", F.size("at").alias("n_arcs"), F.posexplode(_arcs(c("ring"), c("at"))).alias("arc_no", "arc"))
+    needed = arcs.where("n_arcs = 2").select("arc").distinct()
+    told = arcs.where("n_arcs > 2").join(needed, "arc").groupBy("ring_id").agg(F.collect_list("arc_no").alias("told"))
+    known = rings.join(told, "ring_id", "left")
+    staying = _staying([float(t) for t in tolerances])(c("ring.x"), c("ring.y"), "at", "told")
+    each = F.arrays_zip(F.array(*[F.lit(float(t)) for t in tolerances]).alias("tolerance"), staying.alias("stay"))
+    whole = known.select("owner", "ring_no", "ring", F.explode(each).alias("e")).select("e.tolerance", "owner", "ring_no", "ring", "e.stay")
+    ring = F.transform("stay", lambda i: F.get("ring", i))
+    whole = whole.groupBy("tolerance", "owner").agg(F.sort_array(F.collect_list(F.struct("ring_no", ring.alias("ring")))).alias("r"))
     return whole.select("tolerance", c("owner").alias(key), F.transform("r", lambda r: r["ring"]).alias("rings"))
 
 
+def _flat(point: str, name: str = "") -> list[Column]:
+    return [F.col(f"{point}.{d}").alias(f"{name}{d}") for d in "xy"]
+
+
+def _undirected(a: Column, b: Column) -> Column:
+    """The two, the smaller first."""
+    return F.when(a <= b, F.struct(a.alias("p"), b.alias("q"))).otherwise(F.struct(b.alias("p"), a.alias("q")))
+
+
+def _edges(ring: Column) -> Column:
+    return F.transform(tiling.ring_edges(ring), lambda e: _undirected(e["a"], e["b"]))
+
+
+def _arcs(ring: Column, at: Column) -> Column:
+    """The arcs of a closed ring by one of their end edges, directed inwards: of the two the smaller one."""
+
+    def arc(s: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(at, k + 1), F.size(ring) - 1)
+        edge = lambda i, j: F.struct(*[F.get(ring, v)[d].alias(f"{p}{d}") for p, v in (("a", i), ("b", j)) for d in "xy"])
+        return F.least(edge(s, s + 1), edge(end, end - 1))
+
+    return F.transform(at, arc)
+
+
 def sweep(areas: DataFrame, key: str, region: str, tolerances: list[float]) -> DataFrame:
     """(region, tolerance, n_areas, n_rings, n_points, area): what each tolerance leaves of each region's areas, in one job.
 

@@ -293,3 +293,15 @@ def test_copies_of_an_area_are_divided_once(spark, monkeypatch):
     assert given == [2]
     assert {r.k: r.final_area for r in report.collect() if r.final_area} == {0: 4.0, 30: 2.0}
     assert sorted(r.k for r in outlines.collect()) == [0, 30]
+
+
+def test_areas_are_dealt_before_points_are_made_of_them(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(borders, "saved", lambda rows: tables.append(rows) or rows, raising=False)
+    # an enclave of two arcs: where it needs a point to stay, so does the area around it
+    rows = [(1, [[(0, 0), (4, 0), (4, 4), (0, 4), (0, 3), (1, 3), (1, 2), (0, 2), (0, 0)]]), (2, [[(0, 2), (1, 2), (1, 3), (0, 3), (0, 2)]])]
+    made = borders.simplified(frame(spark, rows).coalesce(1), "k", 9.0)
+    plan = tables[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan and plan.rindex("Generate") < plan.index("RepartitionByExpression")  # what is further down comes first
+    got = {r.k: [tuple(p) for p in r.rings[0]] for r in made.collect()}
+    assert got[2] == [(0, 2), (1, 2), (0, 3), (0, 2)] and {(0, 2), (1, 2), (0, 3)} < set(got[1]) and (1, 3) not in got[1]
