@@ -87,22 +87,22 @@ def rings(edges: DataFrame, keep: Sequence[str]) -> DataFrame:
     order = F.struct((F.col("ahead") > 0).alias("later"), (-F.col("ahead")).alias("ahead"), F.col("ax").alias("x"), F.col("ay").alias("y"))
     made = placed.groupBy(*keep, "least").agg(F.sort_array(F.collect_list(order)).alias("points"))
     points = F.transform("points", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
-    ring = straightened(points)
-    made = made.select(*keep, F.concat(ring, F.slice(ring, 1, 1)).alias("ring")).where("size(ring) > 3")
+    ring = tiling.bound(straightened(points), lambda r: F.concat(r, F.slice(r, 1, 1)))
+    made = made.select(*keep, ring.alias("ring")).where("size(ring) > 3")
     return made.withColumn("hole", tiling.signed_area(F.col("ring")) < 0)
 
 
 def straightened(points: Column) -> Column:
     """Points, not closed, without those on a straight stretch between the points before and after."""
-    n = F.size(points)
 
-    def bends(p: Column, i: Column) -> Column:
+    def bends(points: Column, p: Column, i: Column) -> Column:
+        n = F.size(points)
         a, b = F.get(points, F.pmod(i - 1, n)), F.get(points, F.pmod(i + 1, n))
         ux, uy, vx, vy = p["x"] - a["x"], p["y"] - a["y"], b["x"] - p["x"], b["y"] - p["y"]
         cross, dot = ux * vy - uy * vx, ux * vx + uy * vy
         return ~((F.abs(cross) <= 1e-9 * (F.abs(ux * vx) + F.abs(uy * vy) + F.abs(ux * vy) + F.abs(uy * vx))) & (dot > 0))
 
-    return F.filter(points, bends)
+    return tiling.bound(points, lambda points: F.filter(points, lambda p, i: bends(points, p, i)))
 
 
 def dissolved(parts: DataFrame, key: str) -> DataFrame:

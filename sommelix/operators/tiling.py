@@ -12,8 +12,10 @@ one piece, however large it is. Vertical edges bound nothing from above or below
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +28,10 @@ FAN = 8
 #: Splits of splits end here: two areas may share any number of edges, and no split takes those apart.
 ROUNDS = 8
 POINTS = "array<array<struct<x: double, y: double>>>"
+#: Areas of more rings find out by sorted points which of them are holes.
+FEW_RINGS = 16
+#: So many pairs of an edge and a point are looked at together.
+PAIRS = 1 << 20
 
 
 def shapes(areas: DataFrame, key: str, shape: str) -> tuple[DataFrame, DataFrame]:
@@ -35,6 +41,12 @@ def shapes(areas: DataFrame, key: str, shape: str) -> tuple[DataFrame, DataFrame
     return different, saved(areas.select(key, "rings").join(different, "rings").select(key, shape))
 
 
+def bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """What a function gives of a value that is worked out once: an expression named within a function of an array's items is worked
+    out again for every item."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def ring_edges(ring: Column) -> Column:
     """Array of (a, b), from each point to the next."""
     return F.transform(F.sequence(F.lit(0), F.size(ring) - 2), lambda i: F.struct(F.get(ring, i).alias("a"), F.get(ring, i + 1).alias("b")))
@@ -42,9 +54,13 @@ def ring_edges(ring: Column) -> Column:
 
 def signed_area(ring: Column) -> Column:
     """Positive where the ring runs counterclockwise. Taken from its first point, so large coordinates lose little."""
-    x0, y0 = ring[0]["x"], ring[0]["y"]
-    step = lambda s, e: s + ((e["a"]["x"] - x0) * (e["b"]["y"] - y0) - (e["b"]["x"] - x0) * (e["a"]["y"] - y0))
-    return F.aggregate(ring_edges(ring), F.lit(0.0), step) / 2
+
+    def size(ring: Column) -> Column:
+        x0, y0 = ring[0]["x"], ring[0]["y"]
+        step = lambda s, e: s + ((e["a"]["x"] - x0) * (e["b"]["y"] - y0) - (e["b"]["x"] - x0) * (e["a"]["y"] - y0))
+        return F.aggregate(ring_edges(ring), F.lit(0.0), step) / 2
+
+    return bound(ring, size)
 
 
 def _around(ring: Column, x: Column, y: Column) -> Column:
@@ -57,6 +73,59 @@ def _around(ring: Column, x: Column, y: Column) -> Column:
     return F.size(right) % 2 == 1
 
 
+def around_odd(x: np.ndarray, y: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether each ring, given by the number of its points, lies within an odd number of the others; by the middle of its first
+    edge. An edge is looked at with the points at its height only (or, if they are fewer, those above and below it)."""
+    first = np.cumsum(sizes) - sizes
+    tail = np.ones(len(x), bool)
+    tail[first + sizes - 1] = False
+    a = np.flatnonzero(tail)
+    ring = np.repeat(np.arange(len(sizes)), sizes)[a]
+    spans = []
+    for u, v in ((x, y), (y, x)):
+        at = (v[first] + v[first + 1]) / 2
+        order = np.argsort(at, kind="stable")
+        low, high = (np.searchsorted(at[order], f(v[a], v[a + 1])) for f in (np.minimum, np.maximum))
+        spans.append((int((high - low).sum()), u, v, (u[first] + u[first + 1]) / 2, at, order, low, high - low))
+    _, u, v, pu, pv, order, low, n = min(spans, key=lambda s: s[0])
+    held = np.flatnonzero(n)
+    upto = np.cumsum(n[held])
+    odd = np.zeros(len(sizes), np.int64)
+    start = 0
+    while start < len(held):
+        stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + PAIRS)))
+        e = held[start:stop]
+        start = stop
+        k = np.repeat(np.arange(len(e)), n[e])
+        p = order[low[e][k] + np.arange(len(k)) - (np.cumsum(n[e]) - n[e])[k]]
+        owner, e = ring[e][k], a[e][k]
+        right = (owner != p) & (pu[p] < (u[e + 1] - u[e]) * (pv[p] - v[e]) / (v[e + 1] - v[e]) + u[e])
+        odd += np.bincount(p[right], minlength=len(sizes))
+    return odd % 2 == 1
+
+
+def _within_odd(xs: pd.Series, ys: pd.Series, sizes: pd.Series) -> pd.Series:
+    return pd.Series([None if n is None else around_odd(x, y, n) for x, y, n in zip(xs, ys, sizes)])
+
+
+def turned(areas: DataFrame) -> DataFrame:
+    """areas with ``turn``, for each of the rings: see ``_turns``, which compares all rings of an area with each other. Those of
+    areas with very many rings are looked up by height."""
+    few = F.size("rings") <= FEW_RINGS
+    rest = F.when(~few, F.col("rings"))
+    points = F.flatten(rest)
+    within = F.pandas_udf(_within_odd, "array<boolean>")(points["x"], points["y"], F.transform(rest, F.size))
+    known = areas.withColumn("_within", within)
+    many = F.transform("rings", lambda ring, k: (F.signum(signed_area(ring)) * F.when(F.get("_within", k), -1).otherwise(1)).cast("int"))
+    return known.withColumn("turn", F.when(few, _turns(F.col("rings"))).otherwise(many)).drop("_within")
+
+
+def size_of(rings: Column, turn: Column) -> Column:
+    """The size of an area, holes left out; null if it has none."""
+    sizes = F.zip_with(rings, turn, lambda ring, t: signed_area(ring) * t)
+    return F.when(F.exists(turn, lambda t: t != 0), F.aggregate(sizes, F.lit(0.0), lambda s, v: s + v))
+
+
 def _turns(rings: Column) -> Column:
     """For each ring 1 where the area is to its left, -1 where it is to its right, 0 where it encloses nothing. A ring within
     an odd number of others is a hole; rings of one area may touch in vertices."""
@@ -74,8 +143,8 @@ def directed_edges(areas: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Columns to keep and ax, ay, bx, by: every edge, the area to its left. ``rings`` lists the closed rings of an area, of its
     parts and its holes alike, in any direction; rings of fewer than four points have no edges, nor have repeated points."""
     shaped = areas.select(*keep, F.filter("rings", lambda r: F.size(r) > 3).alias("rings")).where("size(rings) > 0")
-    turned = shaped.select(*keep, F.explode(F.arrays_zip("rings", _turns(F.col("rings")).alias("turn"))).alias("_r"))
-    edges = turned.select(*keep, F.col("_r.turn").alias("_turn"), F.explode(ring_edges(F.col("_r.rings"))).alias("_e")).where("_turn <> 0")
+    each = turned(shaped).select(*keep, F.explode(F.arrays_zip("rings", "turn")).alias("_r"))
+    edges = each.select(*keep, F.col("_r.turn").alias("_turn"), F.explode(ring_edges(F.col("_r.rings"))).alias("_e")).where("_turn <> 0")
     a, b = (F.when(F.col("_turn") > 0, F.col(f"_e.{p}")).otherwise(F.col(f"_e.{q}")) for p, q in ("ab", "ba"))
     edges = edges.select(*keep, a.alias("a"), b.alias("b")).where("a <> b")
     return edges.select(*keep, F.col("a.x").alias("ax"), F.col("a.y").alias("ay"), F.col("b.x").alias("bx"), F.col("b.y").alias("by"))
@@ -177,7 +246,6 @@ def piece_area() -> Column:
 
 def area_of(areas: DataFrame, key: str) -> DataFrame:
     """(key, area): the size of every area, holes left out; areas without any have none."""
-    x, y = (F.col("rings")[0][0][d] for d in "xy")
-    edges = directed_edges(areas.select(F.col(key).alias("_key"), "rings", x.alias("_x"), y.alias("_y")), ["_key", "_x", "_y"])
-    part = (F.col("ax") - F.col("_x")) * (F.col("by") - F.col("_y")) - (F.col("bx") - F.col("_x")) * (F.col("ay") - F.col("_y"))
-    return edges.groupBy(F.col("_key").alias(key)).agg((F.sum(part) / 2).alias("area"))
+    shaped = areas.select(F.col(key).alias("_key"), F.filter("rings", lambda r: F.size(r) > 3).alias("rings")).where("size(rings) > 0")
+    sizes = turned(shaped).select(F.col("_key").alias(key), size_of(F.col("rings"), F.col("turn")).alias("area")).where("area IS NOT NULL")
+    return sizes.groupBy(key).agg(F.sum("area").alias("area"))

@@ -305,3 +305,34 @@ def test_areas_are_dealt_before_points_are_made_of_them(spark, monkeypatch):
     assert "Generate" in plan and plan.rindex("Generate") < plan.index("RepartitionByExpression")  # what is further down comes first
     got = {r.k: [tuple(p) for p in r.rings[0]] for r in made.collect()}
     assert got[2] == [(0, 2), (1, 2), (0, 3), (0, 2)] and {(0, 2), (1, 2), (0, 3)} < set(got[1]) and (1, 3) not in got[1]
+
+
+def test_holes_among_many_rings_are_found_by_height(spark, monkeypatch):
+    rnd = random.Random(11)
+    rows = []
+    for k in range(6):
+        rings = [box(0, 0, 100)]
+        for i in range(9):
+            for j in range(9):
+                nest = [box(10 * i + 1 + d, 10 * j + 1 + d, 8 - 2 * d) for d in range(rnd.randint(0, 4))]
+                rings += [r[::-1] if rnd.random() < 0.5 else r for r in nest]
+        rnd.shuffle(rings)
+        rows.append((k, [[(y, x) for x, y in r] for r in rings] if k % 2 else rings))
+    areas, found = frame(spark, rows), []
+    for few in (10**6, 0):
+        monkeypatch.setattr(tiling, "FEW_RINGS", few)
+        sizes = {r.k: r.area for r in tiling.area_of(areas, "k").collect()}
+        found.append((sizes, sorted(map(tuple, tiling.directed_edges(areas, ["k"]).collect()))))
+    assert found[0] == found[1] and len(found[0][0]) == 6
+    monkeypatch.setattr(tiling, "PAIRS", 7)  # looked at in portions
+    rings = [box(0, 0, 10), *[box(1, y, 1) for y in range(1, 9, 2)], box(3, 1, 6), box(4, 2, 4)]
+    x, y = np.array([p for r in rings for p in r], float).T
+    assert tiling.around_odd(x, y, np.array([len(r) for r in rings])).tolist() == [False, True, True, True, True, True, False]
+
+
+def test_points_of_a_ring_are_not_made_again_for_each_of_them(spark):
+    ring = F.transform("rings", lambda r: F.reverse(r))[0]
+    rows = frame(spark, [(1, [[(0, 0), (1, 0), (2, 0), (2, 2)]])])
+    made = rows.select(dissolve.straightened(ring).alias("line"), tiling.signed_area(ring).alias("a"))
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("reverse(") == 2
+    assert len(rows.select(dissolve.straightened(ring).alias("line")).first().line) == 3
