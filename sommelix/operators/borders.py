@@ -175,11 +175,11 @@ def sweep(areas: DataFrame, key: str, region: str, tolerances: list[float]) -> D
     """(region, tolerance, n_areas, n_rings, n_points, area): what each tolerance leaves of each region's areas, in one job.
 
     Areas of a region that are left out by ``simplified_at`` do not count; points count with the repeated last one."""
-    made = simplified_at(areas, key, tolerances).join(areas.select(key, region), key)
+    made = tiling.turned(simplified_at(areas, key, tolerances))
     points = F.aggregate("rings", F.lit(0), lambda s, r: s + F.size(r)).cast("long")
-    sizes = tiling.area_of(made.select(F.struct("tolerance", key).alias("_which"), "rings"), "_which")
-    sizes = sizes.select(F.col("_which.tolerance").alias("tolerance"), F.col(f"_which.{key}").alias(key), "area")
-    counted = made.select(region, "tolerance", key, F.size("rings").cast("long").alias("n_rings"), points.alias("n_points")).join(sizes, ["tolerance", key], "left")
+    size = tiling.size_of(F.col("rings"), F.col("turn"))
+    sizes = made.select("tolerance", key, F.size("rings").cast("long").alias("n_rings"), points.alias("n_points"), size.alias("area"))
+    counted = sizes.join(areas.select(key, region), key)
     return counted.groupBy(region, "tolerance").agg(
         F.count("*").alias("n_areas"), F.sum("n_rings").alias("n_rings"), F.sum("n_points").alias("n_points"), F.sum("area").alias("area")
     )

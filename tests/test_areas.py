@@ -336,3 +336,13 @@ def test_points_of_a_ring_are_not_made_again_for_each_of_them(spark):
     made = rows.select(dissolve.straightened(ring).alias("line"), tiling.signed_area(ring).alias("a"))
     assert made._jdf.queryExecution().optimizedPlan().toString().count("reverse(") == 2
     assert len(rows.select(dissolve.straightened(ring).alias("line")).first().line) == 3
+
+
+def test_a_sweep_sizes_areas_in_their_row(spark, monkeypatch):
+    def no_edges(*_):
+        raise AssertionError("edges are not needed for sizes")
+
+    monkeypatch.setattr(tiling, "directed_edges", no_edges)
+    rows = [(1, [box(0, 0, 4), box(1, 1, 2)]), (2, [box(10, 0, 1), box(12, 0, 1)[::-1]]), (3, [[(0, 0), (1, 1), (0, 0)]])]
+    got = borders.sweep(frame(spark, rows).withColumn("region", F.lit("r")), "k", "region", [0.0, 0.5]).collect()
+    assert sorted(map(tuple, got)) == [("r", 0.0, 2, 4, 20, 14.0), ("r", 0.5, 2, 4, 20, 14.0)]
